@@ -27,6 +27,17 @@ BROADCAST_ROW_LIMIT = 1_000_000
 class Promotion:
     promoted: DataFrame
     quarantine: DataFrame
+    flagged: DataFrame | None = None  # every row + reject_reason (null = promoted) + stamp
+
+    @staticmethod
+    def split(flagged: DataFrame) -> "Promotion":
+        """Promoted / quarantined views of one flagged table (two filters, one source)."""
+        cols = [c for c in flagged.columns if c not in ("reject_reason", "dq_load_date")]
+        return Promotion(
+            flagged.filter(F.col("reject_reason").isNull()).select(*cols, "dq_load_date"),
+            flagged.filter(F.col("reject_reason").isNotNull()).select(*cols, "reject_reason", "dq_load_date"),
+            flagged,
+        )
 
 
 @dataclass
@@ -65,32 +76,30 @@ def apply_corrections(df: DataFrame, corrections: DataFrame | None, key: str) ->
 
 
 def promote(df: DataFrame, spec: PromoteSpec, as_of=DEFAULT_AS_OF, corrections: DataFrame | None = None) -> Promotion:
+    """Normalise → correct → reject ladder → orphan check against each promoted
+    parent → stamp.  Few projections (each ``withColumns`` is one Project), one
+    left join per parent on its distinct keys, no extra pass for the split:
+    promoted and quarantined rows are two filters over the same plan."""
     out = apply_corrections(df, corrections, spec.key)
-    for name, expr in spec.normalise.items():
-        out = out.withColumn(name, expr)
-    for name, expr in spec.fills.items():
-        out = out.withColumn(name, F.coalesce(F.col(name), expr))
-    for name, typ in spec.casts.items():
-        out = out.withColumn(name, F.col(name).cast("string").try_cast(typ) if typ != "string" else F.col(name).cast(typ))
+    if spec.normalise:
+        out = out.withColumns(spec.normalise)
+    fix = {name: F.coalesce(F.col(name), expr) for name, expr in spec.fills.items()}
+    fix.update({name: F.col(name).cast("string").try_cast(typ) if typ != "string" else F.col(name).cast(typ)
+                for name, typ in spec.casts.items()})
+    if fix:
+        out = out.withColumns(fix)
     reason = F.lit(None).cast("string")
     for label, bad in reversed(spec.reject):
         reason = F.when(F.coalesce(bad, F.lit(False)), F.lit(label)).otherwise(reason)
+    base_cols = list(out.columns)
     out = out.withColumn("reject_reason", reason)
-    base_cols = [c for c in out.columns if c != "reject_reason"]
     for i, (fk, parent, pk, label) in enumerate(spec.parents):
-        hit = f"__hit{i}"
-        keys = parent.select(F.col(pk).alias(f"__pk{i}")).distinct().withColumn(hit, F.lit(True))
-        out = out.join(keys, out[fk] == keys[f"__pk{i}"], "left")
-        out = out.withColumn(
-            "reject_reason",
-            F.when(F.col("reject_reason").isNull() & F.col(fk).isNotNull() & F.col(hit).isNull(), F.lit(label)).otherwise(
-                F.col("reject_reason")
-            ),
-        ).drop(hit, f"__pk{i}")
-    out = out.withColumn("dq_load_date", _as_of_date(as_of))
-    promoted = out.filter(F.col("reject_reason").isNull()).select(*base_cols, "dq_load_date")
-    quarantine = out.filter(F.col("reject_reason").isNotNull()).select(*base_cols, "reject_reason", "dq_load_date")
-    return Promotion(promoted, quarantine)
+        hit, pkc = f"__hit{i}", f"__pk{i}"
+        keys = parent.select(F.col(pk).alias(pkc)).distinct().withColumn(hit, F.lit(True))
+        out = out.join(keys, out[fk] == keys[pkc], "left")
+        orphan = F.col("reject_reason").isNull() & F.col(fk).isNotNull() & F.col(hit).isNull()
+        out = out.select(*base_cols, F.when(orphan, F.lit(label)).otherwise(F.col("reject_reason")).alias("reject_reason"))
+    return Promotion.split(out.select(*base_cols, "reject_reason", _as_of_date(as_of).alias("dq_load_date")))
 
 
 # ---------------------------------------------------------------------------

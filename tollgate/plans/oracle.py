@@ -225,7 +225,7 @@ def suite_sql(source: str, checks: Sequence[Check], layer: str, table: str, colu
         elif ch.kind == "relationship":
             c, parent, pk = ch.column, ch.params["parent_sql"], ch.params.get("pk", ch.column)
             inner = (f"SELECT (SELECT count(*) FROM {source}) AS total_rows, count(*) AS evaluated_rows, "
-                     f"sum(CASE WHEN {c} NOT IN (SELECT {pk} FROM {parent} WHERE {pk} IS NOT NULL) THEN 1 ELSE 0 END) AS failing_rows "
+                     f"coalesce(sum(CASE WHEN {c} NOT IN (SELECT {pk} FROM {parent} WHERE {pk} IS NOT NULL) THEN 1 ELSE 0 END), 0) AS failing_rows "
                      f"FROM {source} WHERE {c} IS NOT NULL")
         else:
             raise ValueError(ch.kind)

@@ -45,126 +45,151 @@ class Check:
         return self.name or self.kind
 
 
-def _num(c: str) -> Column:
-    return to_number(c)
+NUMERIC_TYPES = ("tinyint", "smallint", "int", "bigint", "float", "double", "decimal")
 
 
-def row_condition(check: Check) -> tuple[Column, Column]:
-    """(evaluated, failing) row predicates of a per-row check."""
-    c = F.col(check.column) if check.column else None
+def q(name: str) -> str:
+    """Backtick-quote an identifier for Spark SQL."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def lit_sql(v) -> str:
+    """A Spark SQL literal (backslashes and quotes escaped for the SQL parser)."""
+    if v is None:
+        return "NULL"
+    if isinstance(v, bool):
+        return "true" if v else "false"
+    if isinstance(v, (int, float)):
+        return repr(float(v)) if isinstance(v, float) else str(v)
+    return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def row_condition_sql(check: Check, dtypes: dict[str, str] | None = None) -> tuple[str, str]:
+    """(evaluated, failing) row predicates of a per-row check, as Spark SQL."""
+    from ..functions.text import _translate
+
+    dtypes = dtypes or {}
+    c = q(check.column) if check.column else None
     p = check.params
+    text = f"CAST({c} AS STRING)" if c else None
     if check.kind == "not_null":
-        return F.lit(True), c.isNull()
+        return "true", f"{c} IS NULL"
     if check.kind == "null_rate":
-        blank = p.get("blank_is_null", False)
-        return F.lit(True), (c.isNull() | is_blank(check.column)) if blank else c.isNull()
+        blank = f" OR regexp_replace({text}, '^\\\\s+|\\\\s+$', '') = ''" if p.get("blank_is_null") else ""
+        return "true", f"({c} IS NULL{blank})"
     if check.kind == "in_set":
+        vals = ", ".join(lit_sql(v) for v in p["values"])
         if p.get("null_is_violation", False):
-            return F.lit(True), ~F.coalesce(c.isin(*p["values"]), F.lit(False))
-        return c.isNotNull(), ~c.isin(*p["values"])
+            return "true", f"NOT coalesce({c} IN ({vals}), false)"
+        return f"{c} IS NOT NULL", f"NOT ({c} IN ({vals}))"
     if check.kind == "between":
-        x = _num(check.column)
-        bad = x.isNull()
+        numeric = dtypes.get(check.column, "string").startswith(NUMERIC_TYPES)
+        x = f"CAST({c} AS DOUBLE)" if numeric else f"try_cast({text} AS DOUBLE)"
+        bad = [f"{x} IS NULL"]
         if p.get("min") is not None:
-            bad = bad | (x < float(p["min"]))
+            bad.append(f"{x} < {float(p['min'])!r}")
         if p.get("max") is not None:
-            bad = bad | (x > float(p["max"]))
-        return c.isNotNull(), bad
+            bad.append(f"{x} > {float(p['max'])!r}")
+        return f"{c} IS NOT NULL", "(" + " OR ".join(bad) + ")"
     if check.kind == "match_regex":
-        return c.isNotNull(), ~c.cast("string").rlike(p["regex"])
+        return f"{c} IS NOT NULL", f"NOT ({text} RLIKE {lit_sql(p['regex'])})"
     if check.kind == "strftime":
-        return c.isNotNull(), ~matches_strptime(c, p.get("format", "%Y-%m-%d"))
+        guard, pattern = _translate(p.get("format", "%Y-%m-%d"))
+        return f"{c} IS NOT NULL", f"NOT ({text} RLIKE {lit_sql(guard)} AND try_to_timestamp({text}, {lit_sql(pattern)}) IS NOT NULL)"
     if check.kind == "expression":
-        return F.lit(True), ~F.expr(p["expr"])
+        return "true", f"NOT ({p['expr']})"
     if check.kind == "not_empty":
-        return c.isNotNull(), is_blank(check.column)
+        return f"{c} IS NOT NULL", f"regexp_replace({text}, '^\\\\s+|\\\\s+$', '') = ''"
     raise ValueError(f"not a per-row check kind: {check.kind}")
 
 
-def _verdict(check: Check, total: Column, evaluated: Column, failing: Column) -> Column:
-    ratio = F.when(evaluated > 0, (evaluated - failing).cast("double") / evaluated.cast("double"))
+def row_condition(check: Check, dtypes: dict[str, str] | None = None) -> tuple[Column, Column]:
+    ev, bad = row_condition_sql(check, dtypes)
+    return F.expr(ev), F.expr(bad)
+
+
+def _verdict_sql(check: Check, total: str, ev: str, bad: str) -> str:
     if check.kind == "null_rate":
-        rate = F.when(total > 0, failing.cast("double") / total.cast("double")).otherwise(F.lit(0.0))
-        return rate <= F.lit(float(check.params.get("threshold", 0.0)))
+        thr = float(check.params.get("threshold", 0.0))
+        return f"(CASE WHEN {total} > 0 THEN CAST({bad} AS DOUBLE) / CAST({total} AS DOUBLE) ELSE 0.0 END) <= {thr!r}"
     if check.mostly is not None:
-        return F.coalesce(ratio >= F.lit(float(check.mostly)), F.lit(True))
+        return (f"coalesce(CASE WHEN {ev} > 0 THEN CAST({ev} - {bad} AS DOUBLE) / CAST({ev} AS DOUBLE) END "
+                f">= {float(check.mostly)!r}, true)")
     if check.max_allowed is not None:
-        return failing <= F.lit(int(check.max_allowed))
-    return failing == 0
-
-
-def _row(check: Check, layer: str, table: str, total: Column, evaluated: Column, failing: Column) -> Column:
-    ratio = F.when(evaluated > 0, (evaluated - failing).cast("double") / evaluated.cast("double"))
-    return F.struct(
-        F.lit(layer).alias("layer"), F.lit(table).alias("table_name"), F.lit(check.rule).alias("rule"),
-        F.lit(check.column).cast("string").alias("column_name"), F.lit(check.severity).alias("severity"),
-        total.cast("bigint").alias("total_rows"), evaluated.cast("bigint").alias("evaluated_rows"),
-        failing.cast("bigint").alias("failing_rows"), F.round(ratio, 6).alias("conforming_ratio"),
-        F.lit(check.mostly).cast("double").alias("mostly"), F.lit(check.max_allowed).cast("bigint").alias("max_allowed"),
-        _verdict(check, total, evaluated, failing).alias("passed"),
-    )
+        return f"{bad} <= {int(check.max_allowed)}"
+    return f"{bad} = 0"
+
+
+def _row_sql(check: Check, layer: str, table: str, total: str, ev: str, bad: str) -> str:
+    """One result row as a ``named_struct`` over aggregate outputs."""
+    ratio = f"round(CASE WHEN {ev} > 0 THEN CAST({ev} - {bad} AS DOUBLE) / CAST({ev} AS DOUBLE) END, 6)"
+    return (f"named_struct('layer', {lit_sql(layer)}, 'table_name', {lit_sql(table)}, 'rule', {lit_sql(check.rule)}, "
+            f"'column_name', CAST({lit_sql(check.column)} AS STRING), 'severity', {lit_sql(check.severity)}, "
+            f"'total_rows', CAST({total} AS BIGINT), 'evaluated_rows', CAST({ev} AS BIGINT), "
+            f"'failing_rows', CAST({bad} AS BIGINT), 'conforming_ratio', {ratio}, "
+            f"'mostly', CAST({lit_sql(check.mostly)} AS DOUBLE), 'max_allowed', CAST({lit_sql(check.max_allowed)} AS BIGINT), "
+            f"'passed', {_verdict_sql(check, total, ev, bad)})")
 
 
 def _fused(df: DataFrame, checks: Sequence[Check], layer: str, table: str) -> DataFrame:
-    """All per-row checks (plus row-count and schema checks) from ONE aggregate."""
-    aggs = [F.count(F.lit(1)).alias("__total")]
-    for i, ch in enumerate(checks):
-        if ch.kind in ROW_KINDS:
-            ev, bad = row_condition(ch)
-            aggs.append(count_if(ev).alias(f"__e{i}"))
-            aggs.append(count_if(ev & F.coalesce(bad, F.lit(False))).alias(f"__f{i}"))
-    one = df.agg(*aggs)
-    total = F.col("__total")
+    """All per-row checks (plus row-count and schema checks) from ONE aggregate.
+
+    The plan is Scan → partial HashAggregate → one-row Exchange → final
+    HashAggregate → Generate: one pass over the table whatever the number of
+    checks.  Expressions are assembled as SQL text so building a large suite
+    costs two calls into the JVM, not thousands.
+    """
+    dtypes = dict(df.dtypes)
+    aggs = ["count(1) AS __total"]
     rows = []
-    cols = set(df.columns)
     for i, ch in enumerate(checks):
         if ch.kind in ROW_KINDS:
-            if ch.column is not None and ch.column not in cols:
-                rows.append(_row(ch, layer, table, total, F.lit(0), F.lit(1)))  # missing column → failed
-            else:
-                rows.append(_row(ch, layer, table, total, F.col(f"__e{i}"), F.col(f"__f{i}")))
+            if ch.column is not None and ch.column not in dtypes:
+                rows.append(_row_sql(ch, layer, table, "__total", "0", "1"))  # missing column → failed
+                continue
+            ev, bad = row_condition_sql(ch, dtypes)
+            aggs.append(f"count_if({ev}) AS __e{i}")
+            aggs.append(f"count_if(({ev}) AND coalesce({bad}, false)) AS __f{i}")
+            rows.append(_row_sql(ch, layer, table, "__total", f"__e{i}", f"__f{i}"))
         elif ch.kind == "row_count":
             lo, hi = ch.params.get("min"), ch.params.get("max")
-            bad = F.lit(False)
-            if lo is not None:
-                bad = bad | (total < lo)
-            if hi is not None:
-                bad = bad | (total > hi)
-            rows.append(_row(ch, layer, table, total, F.lit(1), bad.cast("int")))
+            bad = " OR ".join(([f"__total < {lo}"] if lo is not None else []) + ([f"__total > {hi}"] if hi is not None else [])) or "false"
+            rows.append(_row_sql(ch, layer, table, "__total", "1", f"CAST({bad} AS INT)"))
         elif ch.kind in SCHEMA_KINDS:
             wanted = list(ch.params["columns"])
-            missing = [c for c in wanted if c not in cols]
+            missing = [c for c in wanted if c not in dtypes]
             extra = [c for c in df.columns if c not in wanted] if ch.params.get("exact") else []
-            rows.append(_row(ch, layer, table, total, F.lit(len(wanted)), F.lit(len(missing) + len(extra))))
+            rows.append(_row_sql(ch, layer, table, "__total", str(len(wanted)), str(len(missing) + len(extra))))
     if not rows:
         return None
-    return one.select(F.explode(F.array(*rows)).alias("__r")).select("__r.*")
+    one = df.selectExpr(*aggs)
+    return one.selectExpr(f"explode(array({', '.join(rows)})) AS __r").select("__r.*")
 
 
 def _shuffle_check(df: DataFrame, ch: Check, layer: str, table: str) -> DataFrame:
     if ch.column not in df.columns:
-        return df.agg(F.count(F.lit(1)).alias("t")).select(_row(ch, layer, table, F.col("t"), F.lit(0), F.lit(1)).alias("r")).select("r.*")
+        return df.selectExpr("count(1) AS __t").selectExpr(f"{_row_sql(ch, layer, table, '__t', '0', '1')} AS r").select("r.*")
     c = F.col(ch.column)
     if ch.kind in ("unique", "unique_values"):
-        # partial counts per value are combined map-side: a hot value costs one row per task
-        groups = df.filter(c.isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("n"))
-        dup = groups.filter(F.col("n") > 1)
-        failing = F.sum("n") if ch.kind == "unique" else F.count(F.lit(1))
-        bad = dup.agg(F.coalesce(failing, F.lit(0)).alias("bad"))
-        ev = groups.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("ev"))
-        total = df.agg(F.count(F.lit(1))).scalar()
-        return bad.select(F.col("bad"), ev.select("ev").scalar().alias("ev"), total.alias("t")).select(
-            _row(ch, layer, table, F.col("t"), F.col("ev"), F.col("bad")).alias("r")).select("r.*")
+        # One shuffle: per-value counts (combined map-side, so a hot value costs
+        # one row per task), then one tiny global aggregate for all three numbers.
+        groups = df.groupBy(c.alias("__v")).agg(F.count(F.lit(1)).alias("n"))
+        present = F.col("__v").isNotNull()
+        dup = present & (F.col("n") > 1)
+        failing = F.sum(F.when(dup, F.col("n")).otherwise(0)) if ch.kind == "unique" else count_if(dup)
+        stats = groups.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("__t"),
+                           F.coalesce(F.sum(F.when(present, F.col("n")).otherwise(0)), F.lit(0)).alias("__ev"),
+                           F.coalesce(failing, F.lit(0)).alias("__bad"))
+        return stats.selectExpr(f"{_row_sql(ch, layer, table, '__t', '__ev', '__bad')} AS r").select("r.*")
     if ch.kind == "relationship":
         parent: DataFrame = ch.params["parent"]
         pk = ch.params.get("pk", ch.column)
-        keys = parent.select(F.col(pk).alias("__pk")).dropna().distinct()
-        child = df.select(c.alias("__fk")).filter(F.col("__fk").isNotNull())
-        orphans = child.join(keys, child["__fk"] == keys["__pk"], "left_anti")
-        ev = child.agg(F.count(F.lit(1))).scalar()
-        total = df.agg(F.count(F.lit(1))).scalar()
-        return orphans.agg(F.count(F.lit(1)).alias("bad")).select(
-            _row(ch, layer, table, total, ev, F.col("bad")).alias("r")).select("r.*")
+        keys = parent.select(F.col(pk).alias("__pk")).dropna().distinct().withColumn("__hit", F.lit(True))
+        child = df.select(c.alias("__fk"))
+        joined = child.join(keys, child["__fk"] == keys["__pk"], "left")
+        stats = joined.agg(F.count(F.lit(1)).alias("__t"), count_if(F.col("__fk").isNotNull()).alias("__ev"),
+                           count_if(F.col("__fk").isNotNull() & F.col("__hit").isNull()).alias("__bad"))
+        return stats.selectExpr(f"{_row_sql(ch, layer, table, '__t', '__ev', '__bad')} AS r").select("r.*")
     raise ValueError(ch.kind)
 
 
@@ -186,15 +211,16 @@ def run_suite(df: DataFrame, checks: Sequence[Check], table: str = "table", laye
 def unexpected_rows(df: DataFrame, checks: Sequence[Check], key_cols: Sequence[str]) -> DataFrame:
     """Violating rows (keys, rule, column, value) for every per-row check, lazily,
     in one scan — the ``include_unexpected_rows`` option, never collected by default."""
-    arr = []
+    dtypes = dict(df.dtypes)
+    arms = []
     for ch in checks:
-        if ch.kind not in ROW_KINDS or (ch.column and ch.column not in df.columns):
+        if ch.kind not in ROW_KINDS or (ch.column and ch.column not in dtypes):
             continue
-        ev, bad = row_condition(ch)
-        val = F.col(ch.column).cast("string") if ch.column else F.lit(None).cast("string")
-        arr.append(F.when(F.coalesce(ev & bad, F.lit(False)),
-                          F.struct(F.lit(ch.rule).alias("rule"), F.lit(ch.column).cast("string").alias("column_name"), val.alias("value"))))
-    out = df.select(*key_cols, F.explode(F.array(*arr)).alias("__u")).filter(F.col("__u").isNotNull())
+        ev, bad = row_condition_sql(ch, dtypes)
+        val = f"CAST({q(ch.column)} AS STRING)" if ch.column else "CAST(NULL AS STRING)"
+        arms.append(f"CASE WHEN coalesce(({ev}) AND ({bad}), false) THEN named_struct('rule', {lit_sql(ch.rule)}, "
+                    f"'column_name', CAST({lit_sql(ch.column)} AS STRING), 'value', {val}) END")
+    out = df.selectExpr(*[q(k) for k in key_cols], f"explode(array({', '.join(arms)})) AS __u").filter("__u IS NOT NULL")
     return out.select(*key_cols, "__u.rule", "__u.column_name", "__u.value")
 
 

@@ -7,13 +7,14 @@ and re-reads them (lineage cut, scans prune and push down on Parquet).
 """
 from __future__ import annotations
 
+import re
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import transform as T
 from . import fixtures
-from .sinks import materialize_layer
+from ..session import shared_path
 
 
 class Medallion:
@@ -68,6 +69,7 @@ class Medallion:
         """All rejected rows of the three promotions: (table_name, record_id, reject_reason)."""
         from pyspark.sql import functions as F
 
+
         q = [(self._suppliers.quarantine, "suppliers", "supplier_id"), (self._parts.quarantine, "parts", "part_id"),
              (self._work_orders.quarantine, "work_orders", "work_order_id")]
         out = None
@@ -91,16 +93,46 @@ class Medallion:
         return fixtures.test_runs(self.spark, self.sf_dir)
 
     def materialize(self, root: str | None = None) -> "Medallion":
-        """Write silver and gold once (shared folder) and serve them from Parquet."""
+        """Write every layer once as Parquet (shared folder) and serve it from there.
+
+        Bronze is the landed table, silver and gold the promoted ones — as in
+        production, checks then start from files: one scan per table with
+        pushed filters and pruned columns, and a lost executor recomputes from
+        the written layer instead of from the sources.
+        """
+        base = (root or shared_path(self.spark, "tollgate", self.spark.sparkContext.applicationId,
+                                    re.sub(r"[^A-Za-z0-9]+", "_", self.sf_dir))).rstrip("/")
         m = Medallion(self.spark, self.sf_dir, self.as_of)
-        m.__dict__["bronze_suppliers"] = self.bronze_suppliers
-        m.__dict__["bronze_parts"] = self.bronze_parts
-        m.__dict__["bronze_work_orders"] = self.bronze_work_orders
-        sup = materialize_layer(self.spark, self.silver_suppliers, "silver", "suppliers", root)
-        par = materialize_layer(self.spark, self.silver_parts, "silver", "parts", root)
-        wo = materialize_layer(self.spark, self.silver_work_orders, "silver", "work_orders", root)
-        m.__dict__["_suppliers"] = T.Promotion(sup, self._suppliers.quarantine)
-        m.__dict__["_parts"] = T.Promotion(par, self._parts.quarantine)
-        m.__dict__["_work_orders"] = T.Promotion(wo, self._work_orders.quarantine)
-        m.__dict__["gold"] = materialize_layer(self.spark, self.gold, "gold", "production_metrics", root)
+
+        def put(name: str, df: DataFrame) -> DataFrame:
+            path = f"{base}/{name}"
+            # REBALANCE: AQE sizes the output files, so later scans split evenly
+            df.hint("rebalance").write.mode("overwrite").parquet(path)
+            return self.spark.read.parquet(path)
+
+        for name in ("bronze_suppliers", "bronze_parts", "bronze_work_orders", "runs"):
+            m.__dict__[name] = put(name, getattr(self, name))
+        # each layer is computed from the already-written parents, once
+        p = T.promote_suppliers(m.bronze_suppliers, self.as_of)
+        m.__dict__["_suppliers"] = T.Promotion.split(put("suppliers_flagged", p.flagged))
+        p = T.promote_parts(m.bronze_parts, m.silver_suppliers, self.as_of)
+        m.__dict__["_parts"] = T.Promotion.split(put("parts_flagged", p.flagged))
+        p = T.promote_work_orders(m.bronze_work_orders, m.silver_parts, self.as_of)
+        m.__dict__["_work_orders"] = T.Promotion.split(put("work_orders_flagged", p.flagged))
+        m.__dict__["gold_clean"] = put("gold_clean", T.build_gold(m.silver_work_orders, m.silver_parts, m.silver_suppliers, self.as_of))
+        m.__dict__["gold"] = put("gold_production_metrics", fixtures.gold_with_drift(self.spark, m.gold_clean))
         return m
+
+
+_MATERIALIZED: dict[tuple[str, str], Medallion] = {}
+
+
+def materialized(spark: SparkSession, sf_dir: str) -> Medallion:
+    """The session's written medallion for ``sf_dir`` (built on first use).
+
+    Keyed by application id, so a new session never reads an older run's files.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in _MATERIALIZED:
+        _MATERIALIZED[key] = Medallion(spark, sf_dir).materialize()
+    return _MATERIALIZED[key]
