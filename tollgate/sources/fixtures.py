@@ -177,12 +177,9 @@ def bronze_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bronze_work_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # Hash-partition both sides on the join key: this is exactly the shuffle a
-    # sort-merge join of two large tables performs anyway, and it spreads the
-    # string building over all cores even when a source file is one row group.
-    lineitem = _read(spark, sf_dir, "lineitem").repartition("l_orderkey")
-    orders = _read(spark, sf_dir, "orders").repartition("o_orderkey")
-    return spark.sql(BRONZE_WORK_ORDERS_SQL, lineitem=lineitem, orders=orders)
+    # No hand-placed repartition: the join's own shuffle is the one AQE can
+    # split when an order key is skewed (or drop, when orders fits a broadcast).
+    return spark.sql(BRONZE_WORK_ORDERS_SQL, lineitem=_read(spark, sf_dir, "lineitem"), orders=_read(spark, sf_dir, "orders"))
 
 
 def gold_with_drift(spark: SparkSession, gold: DataFrame) -> DataFrame:

@@ -124,6 +124,15 @@ class Medallion:
         return m
 
 
+    def from_landed_bronze(self) -> "Medallion":
+        """Silver and gold recomputed lazily from this medallion's bronze tables
+        (as a promotion job reads the landed bronze in production)."""
+        m = Medallion(self.spark, self.sf_dir, self.as_of)
+        for name in ("bronze_suppliers", "bronze_parts", "bronze_work_orders", "runs"):
+            m.__dict__[name] = getattr(self, name)
+        return m
+
+
 _MATERIALIZED: dict[tuple[str, str], Medallion] = {}
 
 
