@@ -67,3 +67,19 @@ def test_cardinality_and_freshness(spark, bronze_suppliers):
     assert f["lag_hours"] == 12.0 and f["passed"]
     bad = spark.createDataFrame([("garbage",)], "t string")
     assert not P.freshness(bad, "t", as_of="2024-02-01 00:00:00").first()["passed"]
+
+
+def test_distributed_order_statistics_equal_percentile(spark, monkeypatch):
+    import random
+
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(P, "SINGLE_TASK_LIMIT", 0)
+    monkeypatch.setattr(P, "GATHER_LIMIT", 50)  # force several narrowing rounds
+    rnd = random.Random(7)
+    qs = [0.0, 0.25, 0.33, 0.75, 1.0]
+    for vals in ([rnd.gauss(0, 1) for _ in range(3000)], [float(rnd.choice([1, 2, 2, 3, 3, 3, 9])) for _ in range(2000)], [5.0]):
+        df = spark.createDataFrame([(v,) for v in vals], "v double")
+        n, got = P.exact_quantiles(df, "v", qs)
+        want = df.agg(F.percentile("v", F.array(*[F.lit(q) for q in qs]))).first()[0]
+        assert n == len(vals) and got == want
