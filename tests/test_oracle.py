@@ -28,6 +28,15 @@ def _norm(v):
     return v
 
 
+_DUCK = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string", "BOOLEAN": "boolean",
+         "DATE": "date", "TIMESTAMP": "timestamp_ntz"}
+
+
+def _duck_type(t):
+    t = str(t)
+    return t.lower().replace(" ", "") if t.startswith("DECIMAL") else _DUCK.get(t, t)
+
+
 def _canon(rows, cols):
     order = sorted(range(len(cols)), key=lambda i: cols[i])
     return sorted((tuple(_norm(r[i]) for i in order) for r in rows), key=lambda t: tuple((x is None, str(x)) for x in t))
@@ -53,6 +62,8 @@ def test_query_matches_oracle(spark, con, key):
     cur = con.execute(E.oracle_sql()[key])
     dcols = [d[0] for d in cur.description]
     assert sorted(df.columns) == sorted(dcols)
+    dtypes = {d[0]: _duck_type(d[1]) for d in cur.description}
+    assert {c: t for c, t in df.dtypes} == dtypes
     assert _canon([tuple(r) for r in df.collect()], df.columns) == _canon(cur.fetchall(), dcols)
 
 

@@ -95,7 +95,7 @@ def whitespace_report(df: DataFrame, key: str = "supplier_id", column: str = "su
     """Padded values with raw and stripped lengths (strict: trailing-only padding counts)."""
     c = F.col(column)
     return df.filter(c.isNotNull() & (F.length(c) != F.length(strip_ws(c)))).select(
-        key, column, F.length(c).alias("raw_length"), F.length(strip_ws(c)).alias("trimmed_length"),
+        key, column, F.length(c).cast("bigint").alias("raw_length"), F.length(strip_ws(c)).cast("bigint").alias("trimmed_length"),
         F.lit("Leading/trailing whitespace").alias("issue"),
     )
 
@@ -397,4 +397,4 @@ def month_continuity(gold: DataFrame, column: str = "metric_month") -> DataFrame
     gaps = m.select(prev.alias("prev"), F.col("m")).filter(F.col("prev").isNotNull())
     months = (F.year("m") - F.year("prev")) * 12 + (F.month("m") - F.month("prev"))
     return gaps.filter(months > 1).select(F.date_format("prev", "yyyy-MM").alias("gap_after"),
-                                          F.date_format("m", "yyyy-MM").alias("gap_before"), months.alias("months_apart"))
+                                          F.date_format("m", "yyyy-MM").alias("gap_before"), months.cast("bigint").alias("months_apart"))
