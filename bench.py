@@ -16,8 +16,6 @@ from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-from pyspark.sql import functions as F  # noqa: E402
-
 from tollgate.plans import registry  # noqa: E402
 from tollgate.plans import suite as S  # noqa: E402
 from tollgate.session import local_session  # noqa: E402

@@ -4,9 +4,8 @@ from .text import (  # noqa: F401
     is_blank,
     is_null_or_blank,
     iso_date,
-    lenient_date,
     matches_strptime,
     strip_ws,
     to_number,
 )
-from .metrics import count_if, rate  # noqa: F401
+from .metrics import count_if  # noqa: F401

@@ -8,8 +8,3 @@ from pyspark.sql import functions as F
 def count_if(cond: Column) -> Column:
     """Rows where ``cond`` is true (null counts as false).  Bigint."""
     return F.sum(F.when(cond, F.lit(1)).otherwise(F.lit(0))).cast("bigint")
-
-
-def rate(part: Column, whole: Column) -> Column:
-    """part / whole as double, 0.0 on an empty whole."""
-    return F.when(whole > 0, part.cast("double") / whole.cast("double")).otherwise(F.lit(0.0))

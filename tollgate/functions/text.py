@@ -82,12 +82,3 @@ def iso_date(col) -> Column:
     """Strict ``yyyy-MM-dd`` parse (the ISO style 23 of the T-SQL checks)."""
     s = _c(col).cast("string")
     return F.when(s.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"), F.try_to_date(s, "yyyy-MM-dd"))
-
-
-def lenient_date(col) -> Column:
-    """Parse ISO dates with optional time part; anything else is null."""
-    s = _c(col).cast("string")
-    return F.when(
-        s.rlike(r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}([ T].*)?$"),
-        F.try_to_date(F.substring_index(F.substring_index(s, " ", 1), "T", 1), "y-M-d"),
-    )

@@ -18,7 +18,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.metrics import count_if
-from ..functions.text import is_blank, matches_strptime, to_number
 
 RESULT_COLUMNS = [
     "layer", "table_name", "rule", "column_name", "severity", "total_rows", "evaluated_rows", "failing_rows",
