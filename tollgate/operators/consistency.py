@@ -83,17 +83,20 @@ def referential_integrity(
 ) -> DataFrame:
     """Child rows whose key (compared as text) is absent from the parent.
 
-    A left-anti join against the parent's distinct non-null keys: AQE turns it
-    into a broadcast when the distinct parent keys turn out small at run time,
-    else a sort-merge anti join whose skewed child partitions it splits.
+    Membership is a salted left join (``skew.mark_membership``): a foreign-key
+    value holding a large share of the rows is spread over many tasks.
     ``allow_null=False`` makes a null foreign key an orphan.
     """
+    from .skew import mark_membership
+
     require(df, fk_column)
-    parent = reference_df.select(F.col(pk_column).cast("string").alias("__pk")).dropna().distinct()
-    child = df.select(*keys_of(key_cols), F.col(fk_column).alias("orphan_value"))
+    child = df.select(*keys_of(key_cols), F.col(fk_column).alias("orphan_value"),
+                      F.col(fk_column).cast("string").alias("__fk_text"))
     if allow_null:
         child = child.filter(F.col("orphan_value").isNotNull())
-    return child.join(parent, F.col("orphan_value").cast("string") == parent["__pk"], "left_anti")
+    parent = reference_df.select(F.col(pk_column).cast("string").alias("__pk_text"))
+    marked = mark_membership(child, "__fk_text", parent, "__pk_text")
+    return marked.filter(F.col("__hit").isNull()).select(*keys_of(key_cols), "orphan_value")
 
 
 def lenient_timestamp(col) -> Column:

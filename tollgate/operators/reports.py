@@ -149,8 +149,10 @@ def numeric_range_report(suppliers: DataFrame, parts: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 def _anti(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
-    keys = parent.select(F.col(pk).alias("__pk")).dropna().distinct()
-    return child.join(keys, child[fk] == keys["__pk"], "left_anti")
+    """Child rows whose key is missing from the parent (null keys included), skew-safe."""
+    from .skew import mark_membership
+
+    return mark_membership(child, fk, parent, pk).filter(F.col("__hit").isNull()).drop("__hit")
 
 
 def orphans_parts_suppliers(parts: DataFrame, suppliers: DataFrame) -> DataFrame:

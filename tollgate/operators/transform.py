@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import iso_date, is_null_or_blank, strip_ws, to_number
 from ..sources.fixtures import PAYMENT_TERMS, SUPPLIER_STATUSES, WORK_ORDER_STATUSES
+from .skew import mark_membership
 
 DEFAULT_AS_OF = "2025-01-01"
 # Corrections tables above this many rows are joined by a shuffle instead of a broadcast.
@@ -94,9 +95,9 @@ def promote(df: DataFrame, spec: PromoteSpec, as_of=DEFAULT_AS_OF, corrections:
     base_cols = list(out.columns)
     out = out.withColumn("reject_reason", reason)
     for i, (fk, parent, pk, label) in enumerate(spec.parents):
-        hit, pkc = f"__hit{i}", f"__pk{i}"
-        keys = parent.select(F.col(pk).alias(pkc)).distinct().withColumn(hit, F.lit(True))
-        out = out.join(keys, out[fk] == keys[pkc], "left")
+        hit = f"__hit{i}"
+        # salted membership: a hot foreign key is spread over many tasks
+        out = mark_membership(out, fk, parent, pk, flag=hit)
         orphan = F.col("reject_reason").isNull() & F.col(fk).isNotNull() & F.col(hit).isNull()
         out = out.select(*base_cols, F.when(orphan, F.lit(label)).otherwise(F.col("reject_reason")).alias("reject_reason"))
     return Promotion.split(out.select(*base_cols, "reject_reason", _as_of_date(as_of).alias("dq_load_date")))

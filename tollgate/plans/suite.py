@@ -181,13 +181,17 @@ def _shuffle_check(df: DataFrame, ch: Check, layer: str, table: str) -> DataFram
                            F.coalesce(failing, F.lit(0)).alias("__bad"))
         return stats.selectExpr(f"{_row_sql(ch, layer, table, '__t', '__ev', '__bad')} AS r").select("r.*")
     if ch.kind == "relationship":
+        # Counts only: reduce the child to (key, rows) first — a hot key becomes
+        # one row map-side — then both join inputs hold each key once.
         parent: DataFrame = ch.params["parent"]
         pk = ch.params.get("pk", ch.column)
         keys = parent.select(F.col(pk).alias("__pk")).dropna().distinct().withColumn("__hit", F.lit(True))
-        child = df.select(c.alias("__fk"))
-        joined = child.join(keys, child["__fk"] == keys["__pk"], "left")
-        stats = joined.agg(F.count(F.lit(1)).alias("__t"), count_if(F.col("__fk").isNotNull()).alias("__ev"),
-                           count_if(F.col("__fk").isNotNull() & F.col("__hit").isNull()).alias("__bad"))
+        per_key = df.groupBy(c.alias("__fk")).agg(F.count(F.lit(1)).alias("__n"))
+        joined = per_key.join(keys, per_key["__fk"] == keys["__pk"], "left")
+        present = F.col("__fk").isNotNull()
+        stats = joined.agg(F.coalesce(F.sum("__n"), F.lit(0)).alias("__t"),
+                           F.coalesce(F.sum(F.when(present, F.col("__n")).otherwise(0)), F.lit(0)).alias("__ev"),
+                           F.coalesce(F.sum(F.when(present & F.col("__hit").isNull(), F.col("__n")).otherwise(0)), F.lit(0)).alias("__bad"))
         return stats.selectExpr(f"{_row_sql(ch, layer, table, '__t', '__ev', '__bad')} AS r").select("r.*")
     raise ValueError(ch.kind)
 
