@@ -19,7 +19,8 @@ def test_hot_keys_bounded(spark):
     assert [r["__hk"] for r in hot] == [7]
 
 
-def test_salted_membership_spreads_hot_key_and_stays_exact(spark):
+def test_salted_membership_spreads_hot_key_and_stays_exact(spark, monkeypatch):
+    monkeypatch.setattr(SK, "broadcast_limit", lambda df: -1)  # force the salted path
     child = _skewed(spark)
     parent = spark.range(0, 1500).select(F.col("id").alias("pk"))
     marked = SK.mark_membership(child, "fk", parent, "pk")
@@ -47,3 +48,10 @@ def test_uniqueness_and_suite_relationship_on_hot_keys(spark):
     parent = spark.range(0, 1500).select(F.col("id").alias("fk"))
     r = S.run_suite(child, [S.Check("relationship", "fk", {"parent": parent, "pk": "fk"})], "c", "bronze").first()
     assert (r["evaluated_rows"], r["failing_rows"]) == (30000, 10000)
+
+
+def test_small_parent_takes_broadcast_path(spark):
+    child = _skewed(spark)
+    parent = spark.range(0, 1500).select(F.col("id").alias("pk"))
+    plan = SK.mark_membership(child, "fk", parent, "pk")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "__salt" not in plan

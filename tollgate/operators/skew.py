@@ -12,6 +12,10 @@ when the parent side is a ``distinct`` aggregate.  So hot keys are salted:
 3. each distinct parent key is replicated over all salts only when it is hot;
 4. one left join on (key, salt) marks membership.  A hot key is now spread over
    ``salts`` tasks; nothing is dropped, capped or sampled.
+
+When Catalyst's size estimate of the parent's key column is under the session's
+broadcast threshold, the distinct keys are broadcast instead: a broadcast hash
+join has no shuffle on the child, hence no skew, and needs no extra pass.
 """
 from __future__ import annotations
 
@@ -22,6 +26,22 @@ DEFAULT_SALTS = 32
 DEFAULT_SHARE = 0.01  # a key with ≥ 1% of the rows is hot → at most 100 hot keys
 
 
+def estimated_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate of ``df`` (what Spark's own broadcast decision uses)."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def broadcast_limit(df: DataFrame) -> int:
+    v = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
+    v = v.strip().lower()
+    mult = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}
+    if v and v[-1] == "b":
+        v = v[:-1]
+    if v and v[-1] in mult:
+        return int(float(v[:-1]) * mult[v[-1]])
+    return int(v)
+
+
 def hot_keys(df: DataFrame, key: str, share: float = DEFAULT_SHARE) -> DataFrame:
     """Keys holding at least ``share`` of the rows (at most ``1/share`` rows): column ``__hk``."""
     counts = df.groupBy(F.col(key).alias("__hk")).agg(F.count(F.lit(1)).alias("__n"))
@@ -35,11 +55,17 @@ def mark_membership(child: DataFrame, fk: str, parent: DataFrame, pk: str, flag:
     ``parent[pk]``, null otherwise.  Keys are compared as they are; cast first
     for text comparison."""
     cols = child.columns
+    keys = parent.select(F.col(pk).alias("__pk")).dropna()
+    limit = broadcast_limit(child)
+    if 0 <= estimated_bytes(keys) <= limit:
+        small = F.broadcast(keys.distinct().withColumn(flag, F.lit(True)))
+        j = child.join(small, child[fk] == small["__pk"], "left")
+        return j.select(*[child[x] for x in cols], small[flag])
     hot = F.broadcast(hot_keys(child, fk, share).withColumn("__is_hot", F.lit(True)))
     c = child.join(hot, child[fk] == hot["__hk"], "left").select(
         *[child[x] for x in cols],
         F.when(F.col("__is_hot"), F.pmod(F.xxhash64(*[child[x] for x in cols]), F.lit(salts))).otherwise(F.lit(0)).alias("__salt"))
-    keys = parent.select(F.col(pk).alias("__pk")).dropna().distinct()
+    keys = keys.distinct()
     k = keys.join(hot, keys["__pk"] == hot["__hk"], "left").select(
         "__pk",
         F.explode(F.when(F.col("__is_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))).alias("__ks"),
