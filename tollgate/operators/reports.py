@@ -244,10 +244,11 @@ def rules_work_orders(work_orders: DataFrame) -> DataFrame:
 def unexplained_critical_drops(bronze_parts: DataFrame, silver_parts: DataFrame) -> DataFrame:
     """Critical bronze parts missing from silver, excluding the documented causes
     (non-positive price, null supplier)."""
-    kept = silver_parts.select(F.col("part_id").alias("__pk")).dropna().distinct()
+    from .skew import keep_matching
+
     crit = bronze_parts.filter((F.col("is_critical") == F.lit(True)) & (F.col("unit_price").cast("double") > 0)
                                & F.col("supplier_id").isNotNull())
-    return crit.join(kept, crit["part_id"] == kept["__pk"], "left_anti").select("part_id", "unit_price", "supplier_id")
+    return keep_matching(crit, "part_id", silver_parts, "part_id", keep=False).select("part_id", "unit_price", "supplier_id")
 
 
 # ---------------------------------------------------------------------------
@@ -363,10 +364,14 @@ def scoped_sum_reconcile(work_orders: DataFrame, parts: DataFrame, gold: DataFra
     gold total spend.  One row: silver_total, gold_total, diff_pct, passed."""
     wo = work_orders.filter(F.col("status").isin(*CLOSED_STATES)).select(
         "part_id", month_of("order_date").alias("metric_month"), "total_cost")
-    sw = wo.join(parts.select("part_id", "supplier_id"), "part_id", "inner")
-    months = gold.select(F.col("metric_month").cast("string").alias("metric_month")).distinct()
-    sups = gold.select(F.col("supplier_id").cast("string").alias("supplier_id")).distinct()
-    scoped = sw.join(months, "metric_month", "left_semi").join(sups, sw["supplier_id"].cast("string") == sups["supplier_id"], "left_semi")
+    from .skew import keep_matching
+
+    sw = wo.join(parts.select("part_id", "supplier_id"), "part_id", "inner").withColumn(
+        "__sup_text", F.col("supplier_id").cast("string"))
+    months = gold.select(F.col("metric_month").cast("string").alias("metric_month"))
+    sups = gold.select(F.col("supplier_id").cast("string").alias("supplier_id"))
+    # a month or supplier may hold a large share of the rows: skew-safe semi joins
+    scoped = keep_matching(keep_matching(sw, "metric_month", months, "metric_month"), "__sup_text", sups, "supplier_id")
     gsum = gold.agg(F.sum(F.col("total_spend").cast("decimal(18,2)")).cast("double")).scalar()
     both = scoped.agg(F.coalesce(F.sum(F.col("total_cost").cast("decimal(18,2)")).cast("double"), F.lit(0.0)).alias("silver_total")).select(
         "silver_total", gsum.alias("gold_total"))
@@ -377,9 +382,10 @@ def scoped_sum_reconcile(work_orders: DataFrame, parts: DataFrame, gold: DataFra
 
 def coverage(work_orders: DataFrame, parts: DataFrame, gold: DataFrame) -> DataFrame:
     """Suppliers with CLOSED/PARTIAL orders in gold's months that gold lacks."""
+    from .skew import keep_matching
+
     wo = work_orders.filter(F.col("status").isin(*CLOSED_STATES)).select("part_id", month_of("order_date").alias("metric_month"))
-    months = gold.select("metric_month").distinct()
-    in_scope = wo.join(months, "metric_month", "left_semi").join(parts.select("part_id", "supplier_id"), "part_id", "inner")
+    in_scope = keep_matching(wo, "metric_month", gold, "metric_month").join(parts.select("part_id", "supplier_id"), "part_id", "inner")
     expected = in_scope.select(F.col("supplier_id").cast("string").alias("supplier_id")).dropna().distinct()
     present = gold.select(F.col("supplier_id").cast("string").alias("supplier_id")).distinct()
     return expected.join(present, "supplier_id", "left_anti")

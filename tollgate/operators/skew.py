@@ -72,3 +72,11 @@ def mark_membership(child: DataFrame, fk: str, parent: DataFrame, pk: str, flag:
         F.lit(True).alias(flag))
     j = c.join(k, (c[fk] == k["__pk"]) & (c["__salt"] == k["__ks"]), "left")
     return j.select(*[c[x] for x in cols], k[flag])
+
+
+def keep_matching(df: DataFrame, col: str, keys: DataFrame, key: str, keep: bool = True) -> DataFrame:
+    """Skew-safe semi join (``keep``) or anti join (not ``keep``; null keys kept,
+    like a left-anti join) of ``df`` rows against ``keys[key]``."""
+    marked = mark_membership(df, col, keys, key, flag="__in")
+    cond = F.col("__in").isNotNull() if keep else F.col("__in").isNull()
+    return marked.filter(cond).drop("__in")
