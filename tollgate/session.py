@@ -28,19 +28,29 @@ def local_session(cores: int | str = "*", app: str = "tollgate", shuffle_partiti
     return spark
 
 
+_OWN_DIRS: dict[str, str] = {}
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
+    """Return the shared checkpoint folder of the session.
 
-    A cluster names a shared (distributed) folder there; we only pick our own
-    when it is unset, which happens in local tests.
+    A cluster names a shared (distributed) folder in ``spark.checkpoint.dir``;
+    that is used as is.  Only when it is unset (local tests) do we pick a folder
+    of our own — through ``SparkContext.setCheckpointDir``, because the config
+    itself cannot be changed on a running session.
     """
+    sc = spark.sparkContext
     current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = tempfile.mkdtemp(prefix="tollgate-ckpt-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", current)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(current)
-    return current
+    if current:
+        if sc.getCheckpointDir() is None:
+            sc.setCheckpointDir(current)
+        return current
+    existing = sc.getCheckpointDir()
+    if existing:
+        return existing
+    own = _OWN_DIRS.setdefault(sc.applicationId, tempfile.mkdtemp(prefix="tollgate-ckpt-", dir="/tmp"))
+    sc.setCheckpointDir(own)
+    return own
 
 
 def shared_path(spark: SparkSession, *parts: str) -> str:
