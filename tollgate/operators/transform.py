@@ -21,7 +21,7 @@ from .skew import mark_membership
 
 DEFAULT_AS_OF = "2025-01-01"
 # Corrections tables above this many rows are joined by a shuffle instead of a broadcast.
-BROADCAST_ROW_LIMIT = 1_000_000
+BROADCAST_ROW_LIMIT = 200_000
 
 
 @dataclass
