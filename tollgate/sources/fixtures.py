@@ -147,7 +147,7 @@ SELECT
        WHEN event_id % 7 = 0 THEN 'def test_check():' || chr(10) || '>       assert result.passed' || chr(10)
             || 'E       AssertionError: ' || CAST(event_id % 13 AS STRING) || ' rows failed' || chr(10) || chr(10)
             || 'tests/check.py:42: AssertionError'
-       WHEN event_id % 7 = 1 THEN 'E   ModuleNotFoundError: No module named ''great_expectations'''
+       WHEN event_id % 7 = 1 THEN 'E   ModuleNotFoundError: No module named ''yaml_loader'''
        WHEN event_id % 7 = 2 THEN 'Traceback (most recent call last):' || chr(10)
             || '  File "loader.py", line 47' || chr(10) || 'FileNotFoundError: [Errno 2] No such file: data.csv'
        WHEN event_id % 7 = 3 THEN 'query failed' || chr(10) || 'duckdb.BinderException: Binder Error: column not found'
