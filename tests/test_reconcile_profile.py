@@ -83,3 +83,15 @@ def test_distributed_order_statistics_equal_percentile(spark, monkeypatch):
         n, got = P.exact_quantiles(df, "v", qs)
         want = df.agg(F.percentile("v", F.array(*[F.lit(q) for q in qs]))).first()[0]
         assert n == len(vals) and got == want
+
+
+def test_empty_and_zero_inputs_do_not_raise_under_ansi(spark):
+    from tollgate.operators import reports as RP
+
+    assert spark.conf.get("spark.sql.ansi.enabled") == "true"
+    empty = spark.createDataFrame([], "supplier_id string, supplier_name string, email string, country string, "
+                                      "contract_start_date string, quality_rating string")
+    rows = RP.null_profile_suppliers(empty).collect()
+    assert all(r["null_rate_pct"] is None and r["dq_status"] == "PASS" for r in rows)
+    flat = spark.createDataFrame([(i, 2.0) for i in range(6)], "k int, v double")
+    assert P.zscore_outliers(flat, "k", "v").count() == 0

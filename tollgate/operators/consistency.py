@@ -132,7 +132,7 @@ def ratio_consistency(
 ) -> DataFrame:
     """Stored rate vs numerator / denominator × scale, both rounded to 2 dp;
     rows with denominator > 0 whose difference exceeds ``tolerance``."""
-    computed = F.round(F.col(numerator).cast("double") / F.col(denominator).cast("double") * F.lit(scale), 2)
+    computed = F.round(F.try_divide(F.col(numerator).cast("double"), F.col(denominator).cast("double")) * F.lit(scale), 2)
     stored_r = F.round(F.col(stored).cast("double"), 2)
     return df.filter((F.col(denominator) > 0) & (F.abs(stored_r - computed) > F.lit(tolerance))).select(
         *keys_of(key_cols), stored_r.alias("stored_rate"), computed.alias("computed_rate")

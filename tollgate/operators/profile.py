@@ -23,7 +23,7 @@ def zscore_outliers(df: DataFrame, key_cols, column: str, threshold: float = 3.0
     x = to_number(column)
     num = df.select(*keys_of(key_cols), x.alias("value")).filter(F.col("value").isNotNull())
     stats = num.agg(F.struct(F.count(F.lit(1)).alias("n"), F.avg("value").alias("mu"), F.stddev_samp("value").alias("sd"))).scalar()
-    z = (F.col("value") - stats["mu"]) / stats["sd"]
+    z = F.try_divide(F.col("value") - stats["mu"], stats["sd"])  # null, never an error, when sd = 0
     ok = (stats["n"] >= 3) & (stats["sd"] != 0)
     return num.filter(ok & (F.abs(z) > F.lit(float(threshold)))).select(*keys_of(key_cols), "value", F.round(z, 3).alias("zscore"))
 

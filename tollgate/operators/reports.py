@@ -75,7 +75,7 @@ def null_profile_suppliers(df: DataFrame, table_name: str = "bronze.suppliers_ra
 
     def status(name, n, t):
         return (F.when(name.isin("supplier_id", "supplier_name", "status") & (n > 0), F.lit(FAIL_CRITICAL_NULLS))
-                .when((name == "email") & (n * 100.0 / t > 10), F.lit(FAIL_EMAIL_RATE))
+                .when((name == "email") & (F.try_divide(n * 100.0, t) > 10), F.lit(FAIL_EMAIL_RATE))
                 .when(n > 0, F.lit(WARN_NULLS)).otherwise(F.lit("PASS")))
     return null_profile(df, table_name, cols, status)
 
@@ -86,7 +86,7 @@ def null_profile_parts(df: DataFrame, table_name: str = "bronze.parts_catalog_ra
 
     def status(name, n, t):
         return (F.when((name == "part_id") & (n > 0), F.lit(FAIL_PK_NULL))
-                .when(n * 100.0 / t > 5, F.lit(FAIL_OVER_5))
+                .when(F.try_divide(n * 100.0, t) > 5, F.lit(FAIL_OVER_5))
                 .when(n > 0, F.lit(WARN_REVIEW)).otherwise(F.lit("PASS")))
     return null_profile(df, table_name, cols, status)
 
@@ -353,7 +353,7 @@ def top_spend_variance(gold: DataFrame, work_orders: DataFrame, parts: DataFrame
     g = gold.groupBy("metric_month", "supplier_id").agg(
         F.sum(F.col("total_spend").cast("decimal(18,2)")).cast("double").alias("gold_total"))
     j = g.join(s, ["metric_month", "supplier_id"], "inner").filter(F.col("silver_total") > 0)
-    var = F.round(F.abs(F.col("silver_total") - F.col("gold_total")) / F.col("silver_total") * 100, 1)
+    var = F.round(F.try_divide(F.abs(F.col("silver_total") - F.col("gold_total")), F.col("silver_total")) * 100, 1)
     return j.select("metric_month", "supplier_id", F.round("silver_total", 2).alias("silver_total"),
                     F.round("gold_total", 2).alias("gold_total"), var.alias("variance_pct")).orderBy(
         F.col("variance_pct").desc(), "metric_month", "supplier_id").limit(k)

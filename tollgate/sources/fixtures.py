@@ -98,7 +98,7 @@ SELECT
   CASE WHEN o.o_orderstatus = 'O' THEN NULL
        WHEN (l.l_orderkey + l.l_linenumber) % 401 = 0 THEN NULL
        ELSE CAST(CAST(l.l_shipdate AS DATE) AS STRING) END AS actual_delivery,
-  l.l_extendedprice / l.l_quantity AS unit_cost,
+  l.l_extendedprice / NULLIF(l.l_quantity, 0) AS unit_cost,
   l.l_extendedprice AS total_cost,
   CASE WHEN o.o_orderstatus = 'F' THEN 'CLOSED'
        WHEN o.o_orderstatus = 'P' THEN 'PARTIAL'
