@@ -8,6 +8,7 @@ and re-reads them (lineage cut, scans prune and push down on Parquet).
 from __future__ import annotations
 
 import re
+import threading
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -134,6 +135,7 @@ class Medallion:
 
 
 _MATERIALIZED: dict[tuple[str, str], Medallion] = {}
+_LOCK = threading.Lock()
 
 
 def materialized(spark: SparkSession, sf_dir: str) -> Medallion:
@@ -142,6 +144,7 @@ def materialized(spark: SparkSession, sf_dir: str) -> Medallion:
     Keyed by application id, so a new session never reads an older run's files.
     """
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
-    if key not in _MATERIALIZED:
-        _MATERIALIZED[key] = Medallion(spark, sf_dir).materialize()
-    return _MATERIALIZED[key]
+    with _LOCK:  # concurrent callers wait for one writer instead of racing on the same folder
+        if key not in _MATERIALIZED:
+            _MATERIALIZED[key] = Medallion(spark, sf_dir).materialize()
+        return _MATERIALIZED[key]
