@@ -7,10 +7,12 @@ and re-reads them (lineage cut, scans prune and push down on Parquet).
 """
 from __future__ import annotations
 
-import re
+import hashlib
 import threading
 from functools import cached_property
+from pathlib import Path
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import transform as T
@@ -93,6 +95,21 @@ class Medallion:
     def runs(self) -> DataFrame:
         return fixtures.test_runs(self.spark, self.sf_dir)
 
+    def fingerprint(self) -> str:
+        """Identity of the derived layers: the source files (path, size, mtime —
+        listed by Spark's file source without reading contents), the as-of date
+        and the derivation code.  Same fingerprint → same tables."""
+        files = (self.spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(self.sf_dir)
+                 .select("path", "length", "modificationTime").collect())
+        h = hashlib.sha1(self.as_of.encode())
+        for r in sorted(files, key=lambda r: r["path"]):
+            h.update(f"{r['path']}|{r['length']}|{r['modificationTime']}".encode())
+        here = Path(__file__).resolve().parent
+        for src in (here / "fixtures.py", here / "layers.py", here.parent / "operators" / "transform.py",
+                    here.parent / "operators" / "skew.py", here.parent / "functions" / "text.py"):
+            h.update(src.read_bytes())
+        return h.hexdigest()[:20]
+
     def materialize(self, root: str | None = None) -> "Medallion":
         """Write every layer once as Parquet (shared folder) and serve it from there.
 
@@ -101,27 +118,37 @@ class Medallion:
         pushed filters and pruned columns, and a lost executor recomputes from
         the written layer instead of from the sources.
         """
-        base = (root or shared_path(self.spark, "tollgate", self.spark.sparkContext.applicationId,
-                                    re.sub(r"[^A-Za-z0-9]+", "_", self.sf_dir))).rstrip("/")
+        base = (root or shared_path(self.spark, "tollgate", "layers", self.fingerprint())).rstrip("/")
         m = Medallion(self.spark, self.sf_dir, self.as_of)
-
-        def put(name: str, df: DataFrame) -> DataFrame:
+        marker = f"{base}/_complete"
+        try:  # a completed set with the same fingerprint is reused (other sessions, other processes)
+            self.spark.read.parquet(marker).count()
+            done = True
+        except AnalysisException:
+            done = False
+
+        def put(name: str, build) -> DataFrame:
+            """Write ``build()`` once; a reused set skips building the plan at all."""
             path = f"{base}/{name}"
-            # REBALANCE: AQE sizes the output files, so later scans split evenly
-            df.hint("rebalance").write.mode("overwrite").parquet(path)
+            if not done:
+                # REBALANCE: AQE sizes the output files, so later scans split evenly
+                build().hint("rebalance").write.mode("overwrite").parquet(path)
             return self.spark.read.parquet(path)
 
         for name in ("bronze_suppliers", "bronze_parts", "bronze_work_orders", "runs"):
-            m.__dict__[name] = put(name, getattr(self, name))
+            m.__dict__[name] = put(name, lambda name=name: getattr(self, name))
         # each layer is computed from the already-written parents, once
-        p = T.promote_suppliers(m.bronze_suppliers, self.as_of)
-        m.__dict__["_suppliers"] = T.Promotion.split(put("suppliers_flagged", p.flagged))
-        p = T.promote_parts(m.bronze_parts, m.silver_suppliers, self.as_of)
-        m.__dict__["_parts"] = T.Promotion.split(put("parts_flagged", p.flagged))
-        p = T.promote_work_orders(m.bronze_work_orders, m.silver_parts, self.as_of)
-        m.__dict__["_work_orders"] = T.Promotion.split(put("work_orders_flagged", p.flagged))
-        m.__dict__["gold_clean"] = put("gold_clean", T.build_gold(m.silver_work_orders, m.silver_parts, m.silver_suppliers, self.as_of))
-        m.__dict__["gold"] = put("gold_production_metrics", fixtures.gold_with_drift(self.spark, m.gold_clean))
+        m.__dict__["_suppliers"] = T.Promotion.split(
+            put("suppliers_flagged", lambda: T.promote_suppliers(m.bronze_suppliers, self.as_of).flagged))
+        m.__dict__["_parts"] = T.Promotion.split(
+            put("parts_flagged", lambda: T.promote_parts(m.bronze_parts, m.silver_suppliers, self.as_of).flagged))
+        m.__dict__["_work_orders"] = T.Promotion.split(
+            put("work_orders_flagged", lambda: T.promote_work_orders(m.bronze_work_orders, m.silver_parts, self.as_of).flagged))
+        m.__dict__["gold_clean"] = put(
+            "gold_clean", lambda: T.build_gold(m.silver_work_orders, m.silver_parts, m.silver_suppliers, self.as_of))
+        m.__dict__["gold"] = put("gold_production_metrics", lambda: fixtures.gold_with_drift(self.spark, m.gold_clean))
+        if not done:
+            self.spark.createDataFrame([(self.sf_dir,)], "sf_dir string").write.mode("overwrite").parquet(marker)
         return m
 
 
@@ -139,10 +166,8 @@ _LOCK = threading.Lock()
 
 
 def materialized(spark: SparkSession, sf_dir: str) -> Medallion:
-    """The session's written medallion for ``sf_dir`` (built on first use).
-
-    Keyed by application id, so a new session never reads an older run's files.
-    """
+    """The written medallion for ``sf_dir`` (built on first use, then reused by
+    fingerprint — a changed input file or derivation code gives a new folder)."""
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
     with _LOCK:  # concurrent callers wait for one writer instead of racing on the same folder
         if key not in _MATERIALIZED:
