@@ -118,13 +118,15 @@ class Medallion:
         pushed filters and pruned columns, and a lost executor recomputes from
         the written layer instead of from the sources.
         """
-        base = (root or shared_path(self.spark, "tollgate", "layers", self.fingerprint())).rstrip("/")
+        home = (root or shared_path(self.spark, "tollgate", "layers", self.fingerprint())).rstrip("/")
         m = Medallion(self.spark, self.sf_dir, self.as_of)
-        marker = f"{base}/_complete"
+        marker = f"{home}/_complete"
         try:  # a completed set with the same fingerprint is reused (other sessions, other processes)
-            self.spark.read.parquet(marker).count()
+            base = self.spark.read.parquet(marker).first()["folder"]
             done = True
         except AnalysisException:
+            # each writer gets its own folder, so concurrent sessions never write into the same one
+            base = f"{home}/{self.spark.sparkContext.applicationId}"
             done = False
 
         def put(name: str, build) -> DataFrame:
@@ -147,8 +149,9 @@ class Medallion:
         m.__dict__["gold_clean"] = put(
             "gold_clean", lambda: T.build_gold(m.silver_work_orders, m.silver_parts, m.silver_suppliers, self.as_of))
         m.__dict__["gold"] = put("gold_production_metrics", lambda: fixtures.gold_with_drift(self.spark, m.gold_clean))
-        if not done:
-            self.spark.createDataFrame([(self.sf_dir,)], "sf_dir string").write.mode("overwrite").parquet(marker)
+        if not done:  # published only once every table is written
+            self.spark.createDataFrame([(self.sf_dir, base)], "sf_dir string, folder string").coalesce(1) \
+                .write.mode("overwrite").parquet(marker)
         return m
 
 
