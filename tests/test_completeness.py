@@ -59,3 +59,9 @@ def test_conditional_not_null(spark, bronze_work_orders):
 
     got = C.conditional_not_null(bronze_work_orders, "work_order_id", F.col("status") == "CLOSED", "actual_delivery")
     assert collect_set(got, "work_order_id") == {"W11"}
+
+
+def test_no_applicable_columns_gives_empty_typed_result(spark, bronze_suppliers):
+    out = C.empty_strings(bronze_suppliers, "supplier_id", ["not_there"])
+    assert out.columns == ["supplier_id", "column_name"] and out.count() == 0
+    assert C.whitespace_padding(bronze_suppliers, "supplier_id", []).count() == 0

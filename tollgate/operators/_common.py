@@ -31,6 +31,8 @@ def flag_rows(df: DataFrame, key_cols, flags: list[tuple[str, Column, Column]],
     """
     keys = keys_of(key_cols)
     label, val = names
+    if not flags:  # nothing to check: an empty result with the usual columns
+        return df.select(*keys, F.lit(None).cast("string").alias(label), F.lit(None).cast("string").alias(val)).filter(F.lit(False))
     arr = F.array(
         *[
             F.when(F.coalesce(cond, F.lit(False)), F.struct(F.lit(lab).alias(label), value.cast("string").alias(val)))
