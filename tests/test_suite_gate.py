@@ -51,3 +51,10 @@ def test_unique_relationship_and_unexpected_rows(spark, bronze_parts, bronze_sup
     assert (rel["evaluated_rows"], rel["failing_rows"]) == (10, 1)
     rows = S.unexpected_rows(bronze_parts, EX.SUITES["bronze_parts"], ["part_id"])
     assert ("P20", "unit_price") in collect_set(rows, "part_id", "column_name")
+
+
+def test_empty_suite_and_no_row_checks(spark, bronze_parts):
+    res = S.run_suite(bronze_parts, [], "parts", "bronze")
+    assert res.columns == S.RESULT_COLUMNS and res.count() == 0
+    rows = S.unexpected_rows(bronze_parts, [S.Check("unique", "part_id")], ["part_id"])
+    assert rows.columns == ["part_id", "rule", "column_name", "value"] and rows.count() == 0
