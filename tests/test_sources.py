@@ -51,3 +51,14 @@ def test_store_results_appends_by_layer(spark, bronze_suppliers):
     assert first.count() == 1
     assert spark.read.parquet(root + "/r").filter("layer = 'bronze'").count() == 2
     assert S.run_name("bronze").endswith("-bronze-gate")
+
+
+def test_json_totals_sink(spark):
+    from tollgate.operators import triage as TR
+
+    runs = spark.createDataFrame([(1, "tests/sql/t.py::a", "", "passed", ""), (2, "tests/gold/t.py::b", "", "failed", "E   AssertionError: x")],
+                                 "run_id int, node_id string, keywords string, outcome string, longrepr string")
+    path = tempfile.mkdtemp(prefix="tollgate-json-", dir="/tmp") + "/totals"
+    SK.write_json_totals(TR.result_totals(TR.triage(runs)), path)
+    got = {r["decision"]: r["n_runs"] for r in spark.read.json(path).collect()}
+    assert got == {"pass": 1, "must_fail": 1}
