@@ -141,3 +141,12 @@ def ratio_consistency(
 
 def no_negative(df: DataFrame, key_cols, column: str) -> DataFrame:
     return df.filter(F.col(column) < 0).select(*keys_of(key_cols), F.col(column))
+
+
+def expression_is_true(df: DataFrame, key_cols, expressions: dict[str, str]) -> DataFrame:
+    """dbt ``expression_is_true``: per column, rows where its SQL expression is
+    false (null passes, as in ``WHERE NOT (expr)``); all expressions in one scan."""
+    from ._common import flag_rows
+
+    flags = [(col, ~F.expr(e), F.col(col)) for col, e in expressions.items()]
+    return flag_rows(df, key_cols, flags)
