@@ -55,3 +55,14 @@ def test_small_parent_takes_broadcast_path(spark):
     parent = spark.range(0, 1500).select(F.col("id").alias("pk"))
     plan = SK.mark_membership(child, "fk", parent, "pk")._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "__salt" not in plan
+
+
+def test_keep_matching_null_semantics_on_both_paths(spark, monkeypatch):
+    df = spark.createDataFrame([(1, "a"), (2, None), (3, "b"), (4, "a")], "k int, v string")
+    keys = spark.createDataFrame([("a",), (None,)], "v string")
+    for force_salted in (False, True):
+        if force_salted:
+            monkeypatch.setattr(SK, "broadcast_limit", lambda d: -1)
+        semi = {r["k"] for r in SK.keep_matching(df, "v", keys, "v").collect()}
+        anti = {r["k"] for r in SK.keep_matching(df, "v", keys, "v", keep=False).collect()}
+        assert semi == {1, 4} and anti == {2, 3}  # null never matches; left-anti keeps it
