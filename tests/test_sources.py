@@ -62,3 +62,10 @@ def test_json_totals_sink(spark):
     SK.write_json_totals(TR.result_totals(TR.triage(runs)), path)
     got = {r["decision"]: r["n_runs"] for r in spark.read.json(path).collect()}
     assert got == {"pass": 1, "must_fail": 1}
+
+
+def test_seed_types_keep_text_columns(spark):
+    df = spark.createDataFrame([(1, 20240115, "x")], "phone int, contract_start_date int, other string")
+    types = CAT.seed_types(df.columns)
+    assert types == {"contract_start_date": "string", "phone": "string"}
+    assert dict(CAT.typed_load(df, types).dtypes) == {"phone": "string", "contract_start_date": "string", "other": "string"}

@@ -74,6 +74,12 @@ def typed_load(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     ])
 
 
+def seed_types(columns: list[str]) -> dict[str, str]:
+    """Text overrides (``TEXT_OVERRIDES``) for the columns a table actually has,
+    ready for ``typed_load``: these columns stay text whatever they look like."""
+    return {c: "string" for c in TEXT_OVERRIDES if c in columns}
+
+
 def discover_assets(spark: SparkSession, folder: str, pattern: str = r"(.*)\.(csv|parquet)$") -> DataFrame:
     """One asset per file whose name matches ``pattern`` (asset = first group).
 
