@@ -2,8 +2,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tollgate.llm import ngram_join
+from tollgate.llm import ngram_join, packing, token_count
 from tollgate.llm.storage import table
 
 
@@ -11,7 +12,15 @@ def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op4_ngram_jaccard_join,)}
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents")).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_count.count_tokens(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op4_ngram_jaccard_join, op9_packing, op10_token_counts)}
 
 #: None here: positions, tokenizers, kernels and graph closures are beyond one SQL text; the tests hold them against brute force.
 ORACLE: dict[str, str] = {}
