@@ -112,6 +112,7 @@ def test_blocks_of_similar_sets_meet():
             extra = rng.integers(0, 2**63, rng.integers(0, add + 1), dtype=np.int64).view(U64)
             b = np.unique(np.r_[b, extra])
             hot = np.sort(rng.choice(a, min(len(a), 5), replace=False))
+            hot = hot, rng.integers(2, 9, len(hot))
             assert len(np.intersect1d(J.block_keys(a, hot, 80), J.block_keys(b, hot, 80)))
             apart = np.bitwise_count(np.frombuffer(J.narrow_sketch(a), U64) ^ np.frombuffer(J.narrow_sketch(b), U64)).sum()
             assert apart <= len(np.setxor1d(a, b))

@@ -4,14 +4,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tollgate.llm import ngram_join, packing, token_count
+from tollgate.llm import decontaminate, ngram_join, packing, secrets, token_count, toxicity
 from tollgate.llm.storage import table
 
 
+def _bucket(parts: int):
+    return F.crc32(F.col("doc_id").cast("string")) % parts
+
+
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.find_secrets(table(spark, sf_dir, "documents"))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = table(spark, sf_dir, "documents"), _bucket(3) == 1
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels").where(~held_out))
+    return toxicity.score(docs, model).select("doc_id", held_out.alias("held_out"), "score",
+                                              (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"), "evidence")
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents")).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
@@ -20,7 +39,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count_tokens(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op4_ngram_jaccard_join, op9_packing, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op2_decontaminate, op4_ngram_jaccard_join, op6_secrets, op7_toxicity, op9_packing, op10_token_counts)}
 
 #: None here: positions, tokenizers, kernels and graph closures are beyond one SQL text; the tests hold them against brute force.
 ORACLE: dict[str, str] = {}
