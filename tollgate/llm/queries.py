@@ -4,22 +4,42 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tollgate.llm import decontaminate, ngram_join, packing, secrets, token_count, toxicity
-from tollgate.llm.storage import table
+from tollgate.llm import decontaminate, embed_dedup, extract, langid, ngram_join, packing, secrets, token_count, toxicity, warc
+from tollgate.llm.storage import settle, table
 
 
 def _bucket(parts: int):
     return F.crc32(F.col("doc_id").cast("string")) % parts
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = table(spark, sf_dir, "documents"), _bucket(4) == 2
+    model = langid.fit(docs.where(~held_out))
+    return langid.identify(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return extract.main_text(pages, extract.learn(pages))
+
+
 def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    captures = warc.round_trip(table(spark, sf_dir, "pages")).select(
+        F.regexp_extract("metadata.fields", r"page-id: (-?[0-9]+)", 1).cast("long").alias("page_id"), "capture_id", "record_type",
+        "response.refers_to", "response.payload_bytes", F.regexp_replace("response.payload_digest", "^sha256:", "").alias("payload_digest"))
+    captures = settle(captures, "captures")
+    target = captures.where("record_type = 'response'").select(F.col("capture_id").alias("refers_to"), F.col("page_id").alias("target"))
+    return captures.join(target, "refers_to", "left").select("page_id", "payload_bytes", "payload_digest", "record_type", F.col("target").alias("refers_to"))
+
+
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find_secrets(table(spark, sf_dir, "documents"))
 
@@ -31,6 +51,10 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                                               (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"), "evidence")
 
 
+def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents")).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
@@ -39,7 +63,8 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count_tokens(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_decontaminate, op4_ngram_jaccard_join, op6_secrets, op7_toxicity, op9_packing, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_decontaminate, op3_html_extraction, op4_ngram_jaccard_join, op5_warc, op6_secrets,
+                                   op7_toxicity, op8_embedding_dedup, op9_packing, op10_token_counts)}
 
 #: None here: positions, tokenizers, kernels and graph closures are beyond one SQL text; the tests hold them against brute force.
 ORACLE: dict[str, str] = {}
