@@ -105,3 +105,15 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("body"))
     out = rows.mapInArrow(run, "doc long, n_assign long, n_access long, n_hex long, n_random long, base_sha256 string, spans string")
     return out.withColumnRenamed("doc", id_col)
+
+
+def keep_clean(docs: DataFrame, text_col: str = "text", *, vocabulary: str = "byte_bpe_50k.tiktoken", max_ratio: float = MAX_RATIO) -> DataFrame:
+    """The rows of *docs* without a span of any kind (all columns, in one pass over the table)."""
+    at = docs.columns.index(text_col)
+
+    def run(batches):
+        finder = Finder(vocabulary, max_ratio)
+        for batch in batches:
+            yield batch.filter(pa.array([not finder.spans(t.as_py()) for t in batch.column(at)], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -252,3 +252,17 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     rows = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("body"))
     out = rows.mapInArrow(run, "doc long, score double, evidence double, passages array<struct<begin:int,end:int,score:double,significance:double>>")
     return out.withColumnRenamed("doc", id_col)
+
+
+def keep_clean(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of *docs* that score under *threshold* (all columns, in one pass over the table)."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index(text_col)
+
+    def run(batches):
+        scorer = Scorer(shared.value)
+        for batch in batches:
+            keep = [scorer.score(sum(p[3] for p in scorer.passages(t.as_py()))) < threshold for t in batch.column(at)]
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
