@@ -32,7 +32,7 @@ Extra columns are ignored.  An empty table gives an empty result.
 
 What is broadcast has a fixed size: `HOT_SHINGLES` hashes, `HEAVY_CLASSES`
 classes (of more than `HEAVY_COPIES` equal sets; their other members need no
-keys of their own) and a bitmap of `BLOOM_BITS` bits.  None of the three
+keys of their own) and a bitmap.  None of the three
 changes the result.
 """
 from __future__ import annotations
@@ -44,7 +44,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tollgate.llm.bitmap import bitmap_of, may_hold
 from tollgate.llm.components import components
+from tollgate.llm.grouping import sorted_groups
 from tollgate.llm.storage import settle
 from tollgate.llm.wordhash import U64, WordHashes, mix, shingle_set
 
@@ -53,10 +55,10 @@ THRESHOLD_PCT = 80
 SKETCH_BITS = 2048
 HOT_SHINGLES = 1 << 18
 HOT_SAMPLE = 32  # one text in so many is sampled for frequent shingles
-HOT_COUNT = 4
+HOT_COUNT = 2
 HEAVY_CLASSES = 1 << 17
 HEAVY_COPIES = 8
-BLOOM_BITS = 1 << 24
+TILE = 512
 _ROWS = 1 << 18  # rows of a yielded batch
 
 _S64 = np.int64
@@ -78,14 +80,18 @@ def narrow_sketch(shingles: np.ndarray) -> bytes:
     return np.packbits(parity.astype(np.uint8)).tobytes()
 
 
-def block_keys(shingles: np.ndarray, hot: np.ndarray, pct: int) -> np.ndarray:
-    """Block hashes that this set emits; similar sets share at least one."""
+def block_keys(shingles: np.ndarray, hot: tuple[np.ndarray, np.ndarray], pct: int) -> np.ndarray:
+    """Block hashes that this set emits; similar sets share at least one.  *hot*: sorted shingles and their counts;
+    a block is as frequent as its rarest shingle at most, and the rare ones come first."""
     n = len(shingles)
     if n == 0:
         return np.empty(0, U64)
     reach = n * 100 // pct
     d = max_difference(n, reach, pct)
-    is_hot = hot[np.minimum(np.searchsorted(hot, shingles), len(hot) - 1)] == shingles if len(hot) else np.zeros(n, bool)
+    count = np.zeros(n, np.int64)
+    if len(hot[0]):
+        at = np.minimum(np.searchsorted(hot[0], shingles), len(hot[0]) - 1)
+        count = np.where(hot[0][at] == shingles, hot[1][at], 0)
     band = n.bit_length() - 1
     out, short = [], False
     for c in {band, band - 1} if band and n * pct <= 100 * ((1 << band) - 1) else {band}:
@@ -96,8 +102,7 @@ def block_keys(shingles: np.ndarray, hot: np.ndarray, pct: int) -> np.ndarray:
         block = block[order]
         start = np.flatnonzero(np.r_[True, block[1:] != block[:-1]])
         content = np.bitwise_xor.reduceat(mix(h, 7)[order], start)
-        late = np.logical_or.reduceat(is_hot[order], start)
-        pick = np.argsort(late, kind="stable")[: d + 1]
+        pick = np.argsort(np.minimum.reduceat(count[order], start), kind="stable")[: d + 1]
         out.append(mix(content[pick] ^ mix(block[start][pick], 300 + c)))
         short |= len(start) <= d
     if short:  # both sets of a pair may be short of blocks: a prefix of the sorted shingles
@@ -113,7 +118,7 @@ def _mapper(one, schema: pa.Schema):
     """mapInArrow function: *one*(id, words) yields the columns of some rows; batches are bounded by rows."""
 
     def run(batches):
-        words = WordHashes()
+        words = WordHashes(150_000)
         for batch in batches:
             parts, rows = [], 0
             for key, text in _texts(batch):
@@ -149,7 +154,7 @@ _GROUP = pa.schema([("key", pa.int64()), ("pn", pa.int32()), ("pfp", pa.int64())
 
 
 def _members(batches):
-    """Rows sorted by (key, n, fp): for each class of a key but the first, a row with the key's first class.
+    """Rows sorted by key, equal classes together: for each class of a key but the first, a row with the key's first class.
     Holds one row between batches, whatever the size of a key's group."""
     last = None  # key, pivot n, pivot fp, n, fp of the row before
     for batch in batches:
@@ -185,6 +190,35 @@ def _sketch_filter(pct: int):
     return run
 
 
+def _compare_tiles(pct: int):
+    """Pairs of one tile (key, i, j) with different labels whose sketches are near enough; rows of tile i and tile j."""
+
+    def run(batches):
+        for t in sorted_groups(batches, 3):
+            block, n, doc, fp, label = (np.asarray(t.column(c)) for c in ("block", "n", "doc", "fp", "label"))
+            first, second = t.column("i")[0].as_py(), t.column("j")[0].as_py()
+            if (label == label[0]).all():
+                continue
+            order = np.argsort(n, kind="stable")
+            block, n, doc, fp, label = block[order], n[order].astype(np.int64), doc[order], fp[order], label[order]
+            sketch = np.frombuffer(b"".join(t.column("sketch").to_pylist()), U64).reshape(len(n), -1)[order]
+            reach = np.searchsorted(n, n * 100 // pct, "right")
+            left, right = [], []
+            for a in range(len(n) - 1):
+                b = np.arange(a + 1, reach[a])
+                b = b[(label[b] != label[a]) & ((block[b] != block[a]) if first != second else True)]
+                if len(b):
+                    apart = np.bitwise_count(sketch[b] ^ sketch[a]).sum(axis=1, dtype=np.int64)
+                    b = b[apart <= (100 - pct) * (n[a] + n[b]) // (100 + pct)]
+                    left.append(np.full(len(b), a))
+                    right.append(b)
+            if left:
+                a, b = np.concatenate(left), np.concatenate(right)
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (doc[a], fp[a], doc[b], fp[b])], names=list(_PAIR))
+
+    return run
+
+
 def _exact_filter(pct: int):
     def run(batches):
         for batch in batches:
@@ -214,8 +248,8 @@ class _Join:
 
         return self.texts.mapInArrow(_mapper(one, _SETS), "doc long, n int, fp long, sketch binary")
 
-    def hot_shingles(self) -> np.ndarray:
-        """Shingles frequent in a fixed share of the texts; at most HOT_SHINGLES reach the driver."""
+    def hot_shingles(self) -> tuple[np.ndarray, np.ndarray]:
+        """Shingles frequent in a fixed share of the texts, with counts; at most HOT_SHINGLES reach the driver."""
         width = self.width
 
         def one(_, words):
@@ -224,7 +258,10 @@ class _Join:
         sample = self.texts.where(F.expr(f"pmod(xxhash64(doc), {HOT_SAMPLE})") == 0)
         counts = sample.mapInArrow(_mapper(one, pa.schema([("h", pa.int64())])), "h long").groupBy("h").count()
         top = counts.where(F.col("count") >= HOT_COUNT).orderBy(F.desc("count"), "h").limit(HOT_SHINGLES)
-        return np.sort(np.array([r.h for r in top.select("h").collect()], _S64).view(U64))
+        rows = [(r.h, r[1]) for r in top.collect()]
+        h, n = np.array([r[0] for r in rows], _S64).view(U64), np.array([r[1] for r in rows], np.int64)
+        order = np.argsort(h)
+        return h[order], n[order]
 
     def heavy(self, classes: DataFrame) -> tuple[np.ndarray, np.ndarray]:
         top = classes.where(F.col("copies") > HEAVY_COPIES).orderBy(F.desc("copies"), "doc").limit(HEAVY_CLASSES)
@@ -251,42 +288,52 @@ class _Join:
     def full_sets(self, pairs: DataFrame) -> DataFrame:
         """(doc, shingles) of the texts in *pairs*.  A bitmap of fixed size says which texts can be needed;
         whatever it lets through beyond that falls out of the joins."""
-        spot = F.pmod(F.xxhash64("doc"), F.lit(BLOOM_BITS))
         docs = pairs.select(F.col("a").alias("doc")).union(pairs.select(F.col("b").alias("doc")))
-        words = docs.select(spot.alias("spot")).groupBy((F.col("spot") / 64).cast("long").alias("w")).agg(
-            F.bit_or(F.expr("shiftleft(1L, cast(spot % 64 as int))")).alias("bits"))
-        bitmap = np.zeros(BLOOM_BITS // 64, _S64)
-        for r in words.toLocalIterator():
-            bitmap[r.w] = r.bits
-        shared, width = self.spark.sparkContext.broadcast(bitmap), self.width
+        shared = self.spark.sparkContext.broadcast(bitmap_of(docs.select(F.xxhash64("doc").alias("h")), "h"))
+        width = self.width
 
         def maybe(batches):
             for batch in batches:
-                at = batch.column(2).to_numpy(zero_copy_only=False)
-                hit = (shared.value[at >> 6].view(U64) >> (at & 63).astype(U64)) & U64(1)
-                yield batch.filter(pa.array(hit.astype(bool))).select([0, 1])
+                yield batch.filter(pa.array(may_hold(shared.value, np.asarray(batch.column(2))))).select([0, 1])
 
         def one(doc, w):
             s = shingle_set(w, width)
             return [doc], [set_fingerprint(s)], [s.tobytes()]
 
-        some = self.texts.withColumn("spot", spot).mapInArrow(maybe, "doc long, body binary")
+        some = self.texts.withColumn("h", F.xxhash64("doc")).mapInArrow(maybe, "doc long, body binary")
         return some.mapInArrow(_mapper(one, _FULL), "doc long, fp long, shingles binary").dropDuplicates(["doc", "fp"])
 
-    def verified(self, pairs: DataFrame, classes: DataFrame) -> DataFrame:
-        """Pairs of classes ((pn, pfp), (n, fp)) that are similar, as (a, b) of their documents."""
+    def near(self, star: DataFrame, classes: DataFrame) -> DataFrame:
+        """Pairs of classes ((pn, pfp), (n, fp)) whose sketches are near enough, as documents and fingerprints."""
         side = lambda p: classes.select(F.col("n").alias(f"{p}n"), F.col("fp").alias(f"{p}fp"),
                                         F.col("doc").alias(f"{p}doc"), F.col("sketch").alias(f"{p}sketch"))
-        near = (pairs.join(side("p"), ["pn", "pfp"])
+        return (star.join(side("p"), ["pn", "pfp"])
                 .join(side("").withColumnRenamed("doc", "mdoc"), ["n", "fp"])
                 .select(F.col("pdoc").alias("a"), F.col("pfp").alias("afp"), F.col("mdoc").alias("b"), F.col("fp").alias("bfp"),
                         "pn", "n", "psketch", "sketch")
                 .mapInArrow(_sketch_filter(self.pct), "a long, afp long, b long, bfp long"))
+
+    def verified(self, near: DataFrame) -> DataFrame:
+        """The pairs (a, b) of *near* that are similar."""
         near = settle(near, "near")
         full = settle(self.full_sets(near), "sets")
         both = (near.join(full.toDF("a", "afp", "x"), ["a", "afp"]).join(full.toDF("b", "bfp", "y"), ["b", "bfp"]))
         return settle(both.select("a", "b", "x", "y").mapInArrow(_exact_filter(self.pct), "a long, b long"), "links")
 
+    def apart(self, groups: DataFrame, label: DataFrame, classes: DataFrame) -> DataFrame:
+        """Near pairs of members of one group that are in different components so far.  A group is cut into tiles of
+        about `TILE` members; each pair of tiles is compared by itself.  Groups of two need nothing: their only
+        pair was a star's, as were all pairs with a group's first member."""
+        rows = groups.select("key", "n", "fp").join(label, ["n", "fp"])
+        mixed = rows.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("rows")).where("lo < hi")
+        rows = (rows.join(mixed.select("key", F.ceil(F.col("rows") / TILE).cast("int").alias("tiles")), "key")
+                .withColumn("block", F.expr("cast(pmod(xxhash64(fp), tiles) as int)"))
+                .join(classes.select("n", "fp", "doc", "sketch"), ["n", "fp"])
+                .withColumn("other", F.explode(F.expr("sequence(0, tiles - 1)")))
+                .select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "n", "doc", "fp", "label", "sketch"))
+        tiles = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+        return tiles.mapInArrow(_compare_tiles(self.pct), "a long, afp long, b long, bfp long").distinct()
+
     def run(self) -> DataFrame:
         pct = self.pct
         sets = settle(self.sets(), "sets")
@@ -299,25 +346,19 @@ class _Join:
         several = (sets.join(several.select("doc"), "doc").select(F.col("doc").alias("a"), "n", "fp")
                    .join(classes.select("n", "fp", F.col("doc").alias("b")), ["n", "fp"]).select("a", "b"))
         keys = self.keys(classes)
-        groups = keys.repartition("key").sortWithinPartitions("key", "n", "fp")
+        # the order within a key depends on the key, so the groups of a text have different first members
+        groups = keys.repartition("key").sortWithinPartitions("key", F.xxhash64("key", "n", "fp"))
         groups = settle(groups.mapInArrow(_members, "key long, pn int, pfp long, n int, fp long"), "groups")
-        fits = F.col("pn") * 100 >= F.col("n") * pct
-        links = self.verified(groups.where(fits).select("pn", "pfp", "n", "fp").distinct(), sketched)
+        fits = F.least("pn", "n") * 100 >= F.greatest("pn", "n") * pct
+        one, two = F.struct(F.col("pn").alias("n"), F.col("pfp").alias("fp")), F.struct("n", "fp")
+        star = groups.where(fits).select(F.least(one, two).alias("p"), F.greatest(one, two).alias("m")).distinct()
+        star = star.select(F.col("p.n").alias("pn"), F.col("p.fp").alias("pfp"), "m.n", "m.fp")
+        links = self.verified(self.near(star, sketched))
         parts = components(links.union(several), "a", "b")
-
-        # members of one group that are still apart: every pair of them, sketches first
         label = classes.join(parts.withColumnRenamed("node", "doc"), "doc", "left").select(
             "n", "fp", F.coalesce("component", "doc").alias("label"))
-        rows = groups.select("key", "n", "fp").join(label, ["n", "fp"])
-        apart = rows.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("key")
-        rest = settle(rows.join(apart, "key"), "rest")
-        left, right = (rest.select("key", F.col("n").alias(f"{p}n"), F.col("fp").alias(f"{p}fp"), F.col("label").alias(f"{p}label")) for p in ("p", "m"))
-        again = left.join(right, "key").where((F.col("pn") * 100 >= F.col("mn") * pct) & (F.col("plabel") != F.col("mlabel")) & (
-            (F.col("pn") < F.col("mn")) | ((F.col("pn") == F.col("mn")) & (F.col("pfp") < F.col("mfp")))))
-        again = again.select("pn", "pfp", F.col("mn").alias("n"), F.col("mfp").alias("fp")).distinct()
-        more = self.verified(again, sketched)
+        more = self.verified(self.apart(groups, label, sketched))
         parts = components(links.union(several).union(more), "a", "b")
-
         label = classes.join(parts.withColumnRenamed("node", "doc"), "doc", "left").select(
             "n", "fp", F.coalesce("component", "doc").alias("component"))
         return sets.select("doc", "n", "fp").join(label, ["n", "fp"], "left").select(
