@@ -83,11 +83,10 @@ def referential_integrity(
 ) -> DataFrame:
     """Child rows whose key (compared as text) is absent from the parent.
 
-    Membership is a salted left join (``skew.mark_membership``): a foreign-key
-    value holding a large share of the rows is spread over many tasks.
-    ``allow_null=False`` makes a null foreign key an orphan.
+    One anti join (``skew.missing``), whose hot partitions adaptive execution
+    splits.  ``allow_null=False`` makes a null foreign key an orphan.
     """
-    from .skew import mark_membership
+    from .skew import missing
 
     require(df, fk_column)
     child = df.select(*keys_of(key_cols), F.col(fk_column).alias("orphan_value"),
@@ -95,8 +94,7 @@ def referential_integrity(
     if allow_null:
         child = child.filter(F.col("orphan_value").isNotNull())
     parent = reference_df.select(F.col(pk_column).cast("string").alias("__pk_text"))
-    marked = mark_membership(child, "__fk_text", parent, "__pk_text")
-    return marked.filter(F.col("__hit").isNull()).select(*keys_of(key_cols), "orphan_value")
+    return missing(child, "__fk_text", parent, "__pk_text").select(*keys_of(key_cols), "orphan_value")
 
 
 def lenient_timestamp(col) -> Column:

@@ -76,11 +76,9 @@ def numeric_sum_match(
 
 def no_dropped_critical(source: DataFrame, target: DataFrame, pk_column: str, filter_column: str, critical_value) -> DataFrame:
     """Distinct keys of critical source rows that the target lost."""
-    from .skew import keep_matching
-
-    crit = source.filter(F.col(filter_column) == F.lit(critical_value)).select(F.col(pk_column).cast("string").alias("pk_value"))
-    kept = target.select(F.col(pk_column).cast("string").alias("pk_text"))
-    return keep_matching(crit, "pk_value", kept, "pk_text", keep=False).distinct()
+    crit = source.filter(F.col(filter_column) == F.lit(critical_value)).select(F.col(pk_column).cast("string").alias("pk_value")).distinct()
+    kept = target.select(F.col(pk_column).cast("string").alias("pk_value"))
+    return crit.join(kept, "pk_value", "left_anti")  # distinct first: a hot key is one row
 
 
 def multi_entity_sla(pairs: Sequence[tuple[str, DataFrame, DataFrame, float]], max_gain_pct: float = 0.0) -> DataFrame:

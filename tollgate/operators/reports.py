@@ -150,16 +150,16 @@ def numeric_range_report(suppliers: DataFrame, parts: DataFrame) -> DataFrame:
 
 def _anti(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
     """Child rows whose key is missing from the parent (null keys included), skew-safe."""
-    from .skew import mark_membership
+    from .skew import missing
 
-    return mark_membership(child, fk, parent, pk).filter(F.col("__hit").isNull()).drop("__hit")
+    return missing(child, fk, parent, pk)
 
 
-def orphans_parts_suppliers(parts: DataFrame, suppliers: DataFrame) -> DataFrame:
-    """Parts whose (non-null) supplier is missing from suppliers."""
+def orphans_parts_suppliers(parts: DataFrame, suppliers: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
+    """Parts whose (non-null) supplier is missing from suppliers, with the ``extra`` columns of the part."""
     o = _anti(parts.filter(F.col("supplier_id").isNotNull()), "supplier_id", suppliers, "supplier_id")
     return o.select(F.lit("silver_parts → silver_suppliers").alias("relationship"), "part_id", "part_number", "part_name",
-                    F.col("supplier_id").alias("orphaned_supplier_id"), F.lit(REMEDIATION_PARTS).alias("remediation"))
+                    F.col("supplier_id").alias("orphaned_supplier_id"), F.lit(REMEDIATION_PARTS).alias("remediation"), *extra)
 
 
 def orphans_orders_parts(work_orders: DataFrame, parts: DataFrame) -> DataFrame:
@@ -180,12 +180,16 @@ def orphans_gold_suppliers(gold: DataFrame, suppliers: DataFrame) -> DataFrame:
 def orphan_summary(parts: DataFrame, suppliers: DataFrame, work_orders: DataFrame, gold: DataFrame,
                    parent_parts: DataFrame | None = None) -> DataFrame:
     """One row per relationship with its orphan count (``parent_parts``: the
-    parts work orders must reference, default ``parts``)."""
-    def n(df, label):
-        return df.agg(F.count(F.lit(1)).alias("orphaned_count")).select(F.lit(label).alias("fk_relationship"), "orphaned_count")
-    return (n(orphans_parts_suppliers(parts, suppliers), "parts → suppliers")
-            .unionByName(n(orphans_orders_parts(work_orders, parent_parts if parent_parts is not None else parts), "work_orders → parts"))
-            .unionByName(n(orphans_gold_suppliers(gold, suppliers), "gold_metrics → suppliers")))
+    parts work orders must reference, default ``parts``).  Children are reduced
+    to rows per key first, so a hot key is one row a task."""
+    def n(child, fk, parent, label, nulls):
+        per_key = child.groupBy(fk).agg(F.count(F.lit(1)).alias("n"))
+        per_key = per_key if nulls else per_key.filter(F.col(fk).isNotNull())
+        return _anti(per_key, fk, parent, fk).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("orphaned_count")).select(
+            F.lit(label).alias("fk_relationship"), "orphaned_count")
+    return (n(parts, "supplier_id", suppliers, "parts → suppliers", False)
+            .unionByName(n(work_orders, "part_id", parent_parts if parent_parts is not None else parts, "work_orders → parts", True))
+            .unionByName(n(gold, "supplier_id", suppliers, "gold_metrics → suppliers", True)))
 
 
 def evaluate_rules(df: DataFrame, key_cols: Sequence[str], rules: Sequence[tuple[str, Column, Column, Column]]) -> DataFrame:
@@ -370,10 +374,11 @@ def scoped_sum_reconcile(work_orders: DataFrame, parts: DataFrame, gold: DataFra
         "__sup_text", F.col("supplier_id").cast("string"))
     months = gold.select(F.col("metric_month").cast("string").alias("metric_month"))
     sups = gold.select(F.col("supplier_id").cast("string").alias("supplier_id"))
-    # a month or supplier may hold a large share of the rows: skew-safe semi joins
+    # totals per month and supplier first: the semi joins see one row for each
+    sw = sw.groupBy("metric_month", "__sup_text").agg(F.sum(F.col("total_cost").cast("decimal(18,2)")).alias("total_cost"))
     scoped = keep_matching(keep_matching(sw, "metric_month", months, "metric_month"), "__sup_text", sups, "supplier_id")
     gsum = gold.agg(F.sum(F.col("total_spend").cast("decimal(18,2)")).cast("double")).scalar()
-    both = scoped.agg(F.coalesce(F.sum(F.col("total_cost").cast("decimal(18,2)")).cast("double"), F.lit(0.0)).alias("silver_total")).select(
+    both = scoped.agg(F.coalesce(F.sum("total_cost").cast("double"), F.lit(0.0)).alias("silver_total")).select(
         "silver_total", gsum.alias("gold_total"))
     diff = F.when(F.col("silver_total") > 0, F.abs(F.col("silver_total") - F.col("gold_total")) / F.col("silver_total") * 100)
     return both.select("silver_total", "gold_total", F.round(diff, 4).alias("diff_pct"),
@@ -385,8 +390,9 @@ def coverage(work_orders: DataFrame, parts: DataFrame, gold: DataFrame) -> DataF
     from .skew import keep_matching
 
     wo = work_orders.filter(F.col("status").isin(*CLOSED_STATES)).select("part_id", month_of("order_date").alias("metric_month"))
-    in_scope = keep_matching(wo, "metric_month", gold, "metric_month").join(parts.select("part_id", "supplier_id"), "part_id", "inner")
-    expected = in_scope.select(F.col("supplier_id").cast("string").alias("supplier_id")).dropna().distinct()
+    sold = wo.join(parts.select("part_id", "supplier_id"), "part_id", "inner").select(
+        "metric_month", F.col("supplier_id").cast("string").alias("supplier_id")).dropna().distinct()
+    expected = keep_matching(sold, "metric_month", gold, "metric_month").select("supplier_id").distinct()
     present = gold.select(F.col("supplier_id").cast("string").alias("supplier_id")).distinct()
     return expected.join(present, "supplier_id", "left_anti")
 

@@ -1,82 +1,47 @@
-"""Skew-safe key membership: which child rows have their key in a parent table.
-
-A foreign-key value can hold a third of the child rows.  A plain sort-merge
-join would send all of them to one task, and AQE's skew split does not apply
-when the parent side is a ``distinct`` aggregate.  So hot keys are salted:
-
-1. per-key row counts of the child (one grouped pass, combined map-side) give
-   the hot keys — those holding at least ``share`` of all rows.  There are at
-   most ``1 / share`` of them, so broadcasting them is size-proven;
-2. child rows of hot keys get a salt in ``[0, salts)`` from a hash of the row,
-   other rows salt 0;
-3. each distinct parent key is replicated over all salts only when it is hot;
-4. one left join on (key, salt) marks membership.  A hot key is now spread over
-   ``salts`` tasks; nothing is dropped, capped or sampled.
-
-When Catalyst's size estimate of the parent's key column is under the session's
-broadcast threshold, the distinct keys are broadcast instead: a broadcast hash
-join has no shuffle on the child, hence no skew, and needs no extra pass.
+"""Key membership: which child rows have their key in a parent table.
+
+Plain semi and anti joins, so each child row is shuffled once and the parent
+needs no ``distinct``.  A foreign key that holds a third of the rows makes one
+large child partition, which adaptive execution splits (it may split the left
+side of semi and anti joins when the other side is a plain shuffle, as here).
+Null keys match nothing; they get a spread value of their own, so they never
+share a partition.  Whether a parent is broadcast is left to Spark, which
+decides from measured bytes.
 """
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_SALTS = 32
-DEFAULT_SHARE = 0.01  # a key with ≥ 1% of the rows is hot → at most 100 hot keys
+NULL_SPREAD = 4096  # null keys are dealt over this many join keys
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of ``df`` (what Spark's own broadcast decision uses)."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+def _keys(parent: DataFrame, pk: str) -> DataFrame:
+    return parent.select(F.col(pk).alias("__pk")).dropna()
 
 
-def broadcast_limit(df: DataFrame) -> int:
-    v = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
-    v = v.strip().lower()
-    mult = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}
-    if v and v[-1] == "b":
-        v = v[:-1]
-    if v and v[-1] in mult:
-        return int(float(v[:-1]) * mult[v[-1]])
-    return int(v)
+def matching(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
+    """Child rows whose (non-null) key occurs in ``parent[pk]``; keys are compared as they are."""
+    k = _keys(parent, pk)
+    c = child.filter(F.col(fk).isNotNull())
+    return c.join(k, c[fk] == k["__pk"], "left_semi")
 
 
-def hot_keys(df: DataFrame, key: str, share: float = DEFAULT_SHARE) -> DataFrame:
-    """Keys holding at least ``share`` of the rows (at most ``1/share`` rows): column ``__hk``."""
-    counts = df.groupBy(F.col(key).alias("__hk")).agg(F.count(F.lit(1)).alias("__n"))
-    total = counts.agg(F.sum("__n")).scalar()
-    return counts.filter(F.col("__hk").isNotNull() & (F.col("__n") >= total * F.lit(float(share)))).select("__hk")
+def missing(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
+    """Child rows whose key does not occur in ``parent[pk]``; null keys are missing."""
+    spread = F.when(F.col(fk).isNull(), F.pmod(F.xxhash64(*child.columns), F.lit(NULL_SPREAD))).otherwise(F.lit(0))
+    c = child.withColumn("__spread", spread.cast("bigint"))
+    # always 0, but no constant: both columns stay join keys
+    k = _keys(parent, pk).withColumn("__zero", F.pmod(F.xxhash64("__pk"), F.lit(1)).cast("bigint"))
+    return c.join(k, (c[fk] == k["__pk"]) & (c["__spread"] == k["__zero"]), "left_anti").drop("__spread")
 
 
-def mark_membership(child: DataFrame, fk: str, parent: DataFrame, pk: str, flag: str = "__hit",
-                    salts: int = DEFAULT_SALTS, share: float = DEFAULT_SHARE) -> DataFrame:
-    """``child`` + boolean ``flag``: true when the (non-null) key ``fk`` occurs in
-    ``parent[pk]``, null otherwise.  Keys are compared as they are; cast first
-    for text comparison."""
-    cols = child.columns
-    keys = parent.select(F.col(pk).alias("__pk")).dropna()
-    limit = broadcast_limit(child)
-    if 0 <= estimated_bytes(keys) <= limit:
-        small = F.broadcast(keys.distinct().withColumn(flag, F.lit(True)))
-        j = child.join(small, child[fk] == small["__pk"], "left")
-        return j.select(*[child[x] for x in cols], small[flag])
-    hot = F.broadcast(hot_keys(child, fk, share).withColumn("__is_hot", F.lit(True)))
-    c = child.join(hot, child[fk] == hot["__hk"], "left").select(
-        *[child[x] for x in cols],
-        F.when(F.col("__is_hot"), F.pmod(F.xxhash64(*[child[x] for x in cols]), F.lit(salts))).otherwise(F.lit(0)).alias("__salt"))
-    keys = keys.distinct()
-    k = keys.join(hot, keys["__pk"] == hot["__hk"], "left").select(
-        "__pk",
-        F.explode(F.when(F.col("__is_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))).alias("__ks"),
-        F.lit(True).alias(flag))
-    j = c.join(k, (c[fk] == k["__pk"]) & (c["__salt"] == k["__ks"]), "left")
-    return j.select(*[c[x] for x in cols], k[flag])
+def mark_membership(child: DataFrame, fk: str, parent: DataFrame, pk: str, flag: str = "__hit") -> DataFrame:
+    """``child`` + boolean ``flag``: true when the key occurs in the parent, else null.  The child is read twice."""
+    return matching(child, fk, parent, pk).withColumn(flag, F.lit(True)).unionByName(
+        missing(child, fk, parent, pk).withColumn(flag, F.lit(None).cast("boolean")))
 
 
 def keep_matching(df: DataFrame, col: str, keys: DataFrame, key: str, keep: bool = True) -> DataFrame:
-    """Skew-safe semi join (``keep``) or anti join (not ``keep``; null keys kept,
-    like a left-anti join) of ``df`` rows against ``keys[key]``."""
-    marked = mark_membership(df, col, keys, key, flag="__in")
-    cond = F.col("__in").isNotNull() if keep else F.col("__in").isNull()
-    return marked.filter(cond).drop("__in")
+    """Semi join (``keep``) or anti join (not ``keep``; null keys stay) of ``df`` with ``keys[key]``."""
+    return (matching if keep else missing)(df, col, keys, key)
