@@ -69,20 +69,19 @@ def test_cardinality_and_freshness(spark, bronze_suppliers):
     assert not P.freshness(bad, "t", as_of="2024-02-01 00:00:00").first()["passed"]
 
 
-def test_distributed_order_statistics_equal_percentile(spark, monkeypatch):
-    import random
-
-    from pyspark.sql import functions as F
-
-    monkeypatch.setattr(P, "SINGLE_TASK_LIMIT", 0)
-    monkeypatch.setattr(P, "GATHER_LIMIT", 50)  # force several narrowing rounds
-    rnd = random.Random(7)
-    qs = [0.0, 0.25, 0.33, 0.75, 1.0]
-    for vals in ([rnd.gauss(0, 1) for _ in range(3000)], [float(rnd.choice([1, 2, 2, 3, 3, 3, 9])) for _ in range(2000)], [5.0]):
-        df = spark.createDataFrame([(v,) for v in vals], "v double")
-        n, got = P.exact_quantiles(df, "v", qs)
-        want = df.agg(F.percentile("v", F.array(*[F.lit(q) for q in qs]))).first()[0]
-        assert n == len(vals) and got == want
+def test_statistics_leave_nan_and_text_out(spark):
+    import numpy as np
+
+    numbers = np.random.default_rng(7).normal(size=3000).round(2).tolist() + [50.0]
+    rows = [(i, str(v)) for i, v in enumerate(numbers)] + [(10_000 + i, "NaN") for i in range(1500)] + [(20_000, "text"), (20_001, None)]
+    df = spark.createDataFrame(rows, "k int, v string")
+    q1, q3 = np.percentile(numbers, [25, 75])
+    lo, hi = q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)
+    got = P.iqr_bounds(df, "k", "v").collect()
+    assert {r["k"] for r in got} == {i for i, v in enumerate(numbers) if v < lo or v > hi}
+    assert {r["lower_fence"] for r in got} == {round(lo, 4)}
+    z = (np.array(numbers) - np.mean(numbers)) / np.std(numbers, ddof=1)
+    assert {r["k"] for r in P.zscore_outliers(df, "k", "v").collect()} == set(np.flatnonzero(np.abs(z) > 3).tolist())
 
 
 def test_empty_and_zero_inputs_do_not_raise_under_ansi(spark):

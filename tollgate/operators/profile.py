@@ -6,8 +6,6 @@ never cross-joined and no window runs without a partition.
 """
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,146 +14,52 @@ from ._common import keys_of, require
 from .consistency import as_of_ts, lenient_timestamp
 
 
+def _numbers(df: DataFrame, keys, column: str) -> DataFrame:
+    """Keys and ``value`` of the rows whose column is a number (NaN is none)."""
+    return df.select(*keys, to_number(column).alias("value")).filter(F.col("value").isNotNull() & ~F.isnan("value"))
+
+
 def zscore_outliers(df: DataFrame, key_cols, column: str, threshold: float = 3.0) -> DataFrame:
     """Rows with |z| > threshold, sample std (ddof=1); fewer than 3 numeric
     values or zero spread → no outliers.  Columns: keys, value, zscore (3 dp)."""
     require(df, column)
-    x = to_number(column)
-    num = df.select(*keys_of(key_cols), x.alias("value")).filter(F.col("value").isNotNull())
+    num = _numbers(df, keys_of(key_cols), column)
     stats = num.agg(F.struct(F.count(F.lit(1)).alias("n"), F.avg("value").alias("mu"), F.stddev_samp("value").alias("sd"))).scalar()
     z = F.try_divide(F.col("value") - stats["mu"], stats["sd"])  # null, never an error, when sd = 0
     ok = (stats["n"] >= 3) & (stats["sd"] != 0)
     return num.filter(ok & (F.abs(z) > F.lit(float(threshold)))).select(*keys_of(key_cols), "value", F.round(z, 3).alias("zscore"))
 
 
-# A bracket this small is gathered (sorted) in one task to read off exact ranks.
-GATHER_LIMIT = 20_000
-# Up to this many values, Spark's exact ``percentile`` (one value→count map in
-# one task) is used: the count bounds its memory.  Above it, distributed selection.
-SINGLE_TASK_LIMIT = 1_000_000
-APPROX_ACCURACY = 10_000
+def iqr_fences(df: DataFrame, column: str, multiplier: float = 1.5, approx: bool = False, accuracy: int = 100000):
+    """(n, lower fence, upper fence) as one scalar struct column; nothing runs until the caller's action.
 
-
-def order_statistics(values: DataFrame, ranks: list[int], n: int) -> dict[int, float]:
-    """Exact k-th smallest values (0-based ranks) of the single column ``v``,
-    with memory bounded independently of the row count.
-
-    Each round narrows one value bracket per pending rank: ``percentile_approx``
-    (bounded sketch) proposes candidate bounds around the rank, one aggregate
-    counts exactly how many values fall below / inside each candidate bracket,
-    and a bracket that provably holds the rank replaces the old one.  Once a
-    bracket holds at most ``GATHER_LIMIT`` values it is sorted in one task and
-    the rank is read off.  Every round is two small jobs returning scalars; no
-    data passes through the driver and no task holds more than the sketch or
-    ``GATHER_LIMIT`` values.
-    """
-    inf = float("inf")
-    state = {r: (-inf, inf, 0, n) for r in set(ranks)}  # rank → (lo, hi, values below lo, values in [lo, hi])
-    done: dict[int, float] = {}
-    width = 2.0 / APPROX_ACCURACY
-    v = F.col("v")
-
-    def inside(lo, hi):
-        return (v >= F.lit(lo)) & (v <= F.lit(hi))
-
-    for _ in range(200):
-        pending = [r for r in state if r not in done]
-        small = [r for r in pending if state[r][3] <= GATHER_LIMIT]
-        big = [r for r in pending if state[r][3] > GATHER_LIMIT]
-        if small:
-            row = values.agg(*[F.sort_array(F.collect_list(F.when(inside(*state[r][:2]), v))).alias(f"g{i}")
-                               for i, r in enumerate(small)]).first()
-            for i, r in enumerate(small):
-                done[r] = float(row[f"g{i}"][r - state[r][2]])
-        if not big:
-            break
-        props = []
-        for r in big:
-            lo, hi, below, m = state[r]
-            p = (r - below + 0.5) / m
-            props.append((r, max(0.0, p - width), min(1.0, p + width)))
-        sk = values.agg(*[F.percentile_approx(F.when(inside(*state[r][:2]), v), [a, b], APPROX_ACCURACY).alias(f"s{i}")
-                          for i, (r, a, b) in enumerate(props)]).first()
-        cands = {r: (float(sk[f"s{i}"][0]), float(sk[f"s{i}"][1])) for i, (r, _, _) in enumerate(props)}
-        cnt = values.agg(*[e for i, r in enumerate(big) for e in (
-            F.count_if(v < F.lit(cands[r][0])).alias(f"b{i}"),
-            F.count_if(inside(*cands[r])).alias(f"m{i}"),
-            F.count_if(v == F.lit(cands[r][0])).alias(f"ea{i}"),
-            F.count_if(v == F.lit(cands[r][1])).alias(f"eb{i}"))]).first()
-        for i, r in enumerate(big):
-            a, b = cands[r]
-            below, m, ea, eb = (int(cnt[f"{k}{i}"]) for k in ("b", "m", "ea", "eb"))
-            if not below <= r < below + m:
-                continue  # the sketch missed: retry wider
-            if r < below + ea:
-                done[r] = a  # inside the run of values equal to the lower bound
-            elif r >= below + m - eb:
-                done[r] = b  # inside the run equal to the upper bound
-            else:  # strictly between a and b: the open bracket always shrinks
-                state[r] = (math.nextafter(a, inf), math.nextafter(b, -inf), below + ea, m - ea - eb)
-        width = min(1.0, width * 4)
-    missing = [r for r in state if r not in done]
-    if missing:
-        raise RuntimeError(f"order statistics did not converge for ranks {missing}")
-    return done
-
-
-def exact_quantiles(df: DataFrame, column: str, qs: list[float]) -> tuple[int, list[float | None]]:
-    """(n, quantiles) with linear interpolation between closest ranks (the
-    pandas / Spark ``percentile`` definition), computed by bounded-memory
-    distributed selection instead of one value→count map."""
-    values = df.select(to_number(column).alias("v")).filter(F.col("v").isNotNull())
-    n = values.count()
-    if n == 0:
-        return 0, [None for _ in qs]
-    if n <= SINGLE_TASK_LIMIT:
-        return n, list(values.agg(F.percentile("v", F.array(*[F.lit(float(q)) for q in qs]))).first()[0])
-    pos = [(n - 1) * q for q in qs]
-    ranks = sorted({int(p // 1) for p in pos} | {min(int(-(-p // 1)), n - 1) for p in pos})
-    v = order_statistics(values, ranks, n)
-    out = []
-    for p in pos:
-        lo, hi = int(p // 1), min(int(-(-p // 1)), n - 1)
-        out.append(v[lo] if lo == hi else (hi - p) * v[lo] + (p - lo) * v[hi])
-    return n, out
-
-
-def iqr_fences(df: DataFrame, column: str, multiplier: float = 1.5, approx: bool = False, exact_in_one_task: bool = False,
-               accuracy: int = 100000):
-    """(n, lower fence, upper fence) as one scalar struct column.
-
-    Default: exact quartiles (linear interpolation, like pandas) by
-    bounded-memory selection (``exact_quantiles``).  ``exact_in_one_task``
-    uses Spark's ``percentile`` instead (a value→count map merged in one final
-    task: fine for low-cardinality columns).  ``approx`` uses
-    ``percentile_approx`` (memory bounded by ``accuracy``).
+    Exact quartiles with linear interpolation, as pandas gives them, over the
+    numbers of the column (text that is no number, nulls and NaN are left out).
+    Rows are reduced to counts per value first, so a hot value is one row a
+    task and the last step holds the distinct values only.  For a column whose
+    distinct values grow with the rows, ``approx`` uses ``percentile_approx``,
+    whose memory is bounded by ``accuracy``.
     """
-    x = to_number(column)
     k = F.lit(float(multiplier))
-    if not approx and not exact_in_one_task:
-        n, (q1, q3) = exact_quantiles(df, column, [0.25, 0.75])
-        if n == 0:
-            return F.struct(F.lit(0).cast("bigint").alias("n"), F.lit(None).cast("double").alias("lo"),
-                            F.lit(None).cast("double").alias("hi"))
-        iqr = q3 - q1
-        return F.struct(F.lit(n).cast("bigint").alias("n"), (F.lit(q1) - k * F.lit(iqr)).alias("lo"),
-                        (F.lit(q3) + k * F.lit(iqr)).alias("hi"))
-    q = (F.percentile_approx(x, [0.25, 0.75], accuracy).cast("array<double>") if approx
-         else F.percentile(x, F.array(F.lit(0.25), F.lit(0.75))))
-    stats = df.agg(F.count(x).alias("n"), q.alias("q"))
+    values = _numbers(df, [], column)
+    if approx:
+        stats = values.agg(F.count("value").alias("n"), F.percentile_approx("value", [0.25, 0.75], accuracy).cast("array<double>").alias("q"))
+    else:
+        counts = values.groupBy("value").agg(F.count(F.lit(1)).alias("rows"))
+        stats = counts.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("n"),
+                           F.percentile("value", F.array(F.lit(0.25), F.lit(0.75)), F.col("rows")).alias("q"))
     iqr = F.col("q")[1] - F.col("q")[0]
     return stats.select(
         F.struct(F.col("n").alias("n"), (F.col("q")[0] - k * iqr).alias("lo"), (F.col("q")[1] + k * iqr).alias("hi"))
     ).scalar()
 
 
-def iqr_bounds(df: DataFrame, key_cols, column: str, multiplier: float = 1.5, approx: bool = False,
-               exact_in_one_task: bool = False) -> DataFrame:
+def iqr_bounds(df: DataFrame, key_cols, column: str, multiplier: float = 1.5, approx: bool = False) -> DataFrame:
     """Rows strictly outside [Q1 - k·IQR, Q3 + k·IQR]; fewer than 4 values → none.
     Columns: keys, value, lower_fence, upper_fence (4 dp)."""
     require(df, column)
-    f = iqr_fences(df, column, multiplier, approx, exact_in_one_task)
-    num = df.select(*keys_of(key_cols), to_number(column).alias("value")).filter(F.col("value").isNotNull())
+    f = iqr_fences(df, column, multiplier, approx)
+    num = _numbers(df, keys_of(key_cols), column)
     return num.filter((f["n"] >= 4) & ((F.col("value") < f["lo"]) | (F.col("value") > f["hi"]))).select(
         *keys_of(key_cols), "value", F.round(f["lo"], 4).alias("lower_fence"), F.round(f["hi"], 4).alias("upper_fence")
     )
