@@ -12,7 +12,7 @@ from __future__ import annotations
 import datetime as _dt
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import iso_date, is_null_or_blank, strip_ws, to_number
@@ -20,8 +20,6 @@ from ..sources.fixtures import PAYMENT_TERMS, SUPPLIER_STATUSES, WORK_ORDER_STAT
 from .skew import mark_membership
 
 DEFAULT_AS_OF = "2025-01-01"
-# Corrections tables above this many rows are joined by a shuffle instead of a broadcast.
-BROADCAST_ROW_LIMIT = 200_000
 
 
 @dataclass
@@ -63,13 +61,14 @@ def _as_of_date(as_of) -> Column:
 
 def apply_corrections(df: DataFrame, corrections: DataFrame | None, key: str) -> DataFrame:
     """Overwrite nulls in ``df`` with values from a curated corrections table
-    (``key`` + any subset of columns).  Broadcast only under a checked row count."""
+    (``key`` + any subset of columns).  Of several corrections of a key, the
+    least non-null value of each column holds."""
     if corrections is None:
         return df
     cols = [c for c in corrections.columns if c != key and c in df.columns]
-    corr = corrections.select(key, *[F.col(c).alias(f"__corr_{c}") for c in cols]).dropDuplicates([key])
-    if corr.count() <= BROADCAST_ROW_LIMIT:
-        corr = F.broadcast(corr)
+    if not cols:
+        return df
+    corr = corrections.groupBy(key).agg(*[F.min(c).alias(f"__corr_{c}") for c in cols])
     joined = df.join(corr, on=key, how="left")
     return joined.select(
         *[F.coalesce(F.col(c), F.col(f"__corr_{c}")).alias(c) if c in cols else F.col(c) for c in df.columns]
@@ -78,9 +77,10 @@ def apply_corrections(df: DataFrame, corrections: DataFrame | None, key: str) ->
 
 def promote(df: DataFrame, spec: PromoteSpec, as_of=DEFAULT_AS_OF, corrections: DataFrame | None = None) -> Promotion:
     """Normalise → correct → reject ladder → orphan check against each promoted
-    parent → stamp.  Few projections (each ``withColumns`` is one Project), one
-    left join per parent on its distinct keys, no extra pass for the split:
-    promoted and quarantined rows are two filters over the same plan."""
+    parent → one row per key → stamp.  Few projections (each ``withColumns`` is
+    one Project), a semi and an anti join per parent, one window on the key, no
+    extra pass for the split: promoted and quarantined rows are two filters over
+    the same plan."""
     out = apply_corrections(df, corrections, spec.key)
     if spec.normalise:
         out = out.withColumns(spec.normalise)
@@ -96,10 +96,16 @@ def promote(df: DataFrame, spec: PromoteSpec, as_of=DEFAULT_AS_OF, corrections:
     out = out.withColumn("reject_reason", reason)
     for i, (fk, parent, pk, label) in enumerate(spec.parents):
         hit = f"__hit{i}"
-        # salted membership: a hot foreign key is spread over many tasks
+        # semi and anti join: a hot foreign key is split by adaptive execution
         out = mark_membership(out, fk, parent, pk, flag=hit)
         orphan = F.col("reject_reason").isNull() & F.col(fk).isNotNull() & F.col(hit).isNull()
         out = out.select(*base_cols, F.when(orphan, F.lit(label)).otherwise(F.col("reject_reason")).alias("reject_reason"))
+    # of the rows of a key that are left, the first in column order is promoted
+    kept = F.col("reject_reason").isNull()
+    alone = F.when(~kept, F.pmod(F.xxhash64(*base_cols), F.lit(4096)))  # rejected rows need no order: dealt out
+    first = Window.partitionBy(F.when(kept, F.col(spec.key)), alone).orderBy(*[F.col(c).asc_nulls_first() for c in base_cols])
+    out = out.withColumn("__n", F.row_number().over(first))
+    out = out.select(*base_cols, F.when(kept & (F.col("__n") > 1), F.lit("duplicate_key")).otherwise(F.col("reject_reason")).alias("reject_reason"))
     return Promotion.split(out.select(*base_cols, "reject_reason", _as_of_date(as_of).alias("dq_load_date")))
 
 
@@ -167,7 +173,9 @@ def work_orders_spec(silver_parts: DataFrame) -> PromoteSpec:
         },
         reject=[
             ("missing_key", F.col("work_order_id").isNull()),
+            ("missing_part", F.col("part_id").isNull()),
             ("invalid_status", ~F.coalesce(F.col("status").isin(*WORK_ORDER_STATUSES), F.lit(False))),
+            ("invalid_order_date", iso_date("order_date").isNull()),
         ],
         parents=[("part_id", silver_parts, "part_id", "orphan_part")],
     )
@@ -228,7 +236,7 @@ def build_gold(work_orders: DataFrame, parts: DataFrame, suppliers: DataFrame, a
     p = parts.select("part_id", "supplier_id", "lead_time_days")
     agg = (
         wo.join(p, "part_id", "inner")
-        .groupBy(F.substring("order_date", 1, 7).alias("metric_month"), F.col("supplier_id"))
+        .groupBy(month_of("order_date").alias("metric_month"), F.col("supplier_id"))
         .agg(
             F.countDistinct(F.when(closed, F.col("work_order_id"))).alias("total_orders"),
             F.sum(when_closed(F.col("quantity_ordered"))).cast("bigint").alias("total_parts_ordered"),

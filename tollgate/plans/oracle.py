@@ -38,7 +38,17 @@ SELECT supplier_id, {strip('supplier_name')} AS supplier_name, country,
        ELSE contract_start_date END AS contract_start_date,
   payment_terms, TRY_CAST(quality_rating AS DOUBLE) AS quality_rating, status, source_system, load_timestamp
 FROM bronze_suppliers"""
-CTES["ss_flag"] = f"""
+
+
+def first_of_key(source: str, key: str, columns: Sequence[str]) -> str:
+    """Rows of *source* with 'duplicate_key' for all but the first accepted row of a key, in column order."""
+    order = ", ".join(f"{c} NULLS FIRST" for c in columns)
+    return f"""
+SELECT * EXCLUDE (reject_reason, rn), CASE WHEN reject_reason IS NULL AND rn > 1 THEN 'duplicate_key' ELSE reject_reason END AS reject_reason
+FROM (SELECT *, row_number() OVER (PARTITION BY {key}, reject_reason IS NULL ORDER BY {order}) AS rn FROM {source}) numbered"""
+
+
+CTES["ss_rules"] = f"""
 SELECT *, CASE
   WHEN supplier_id IS NULL THEN 'missing_key'
   WHEN status IS NULL OR status NOT IN ({inlist(fx.SUPPLIER_STATUSES)}) THEN 'invalid_status'
@@ -48,8 +58,11 @@ SELECT *, CASE
   WHEN payment_terms IS NULL OR payment_terms NOT IN ({inlist(fx.PAYMENT_TERMS)}) THEN 'invalid_payment_terms'
   WHEN supplier_name IS NULL OR {strip('supplier_name')} = '' THEN 'missing_name'
 END AS reject_reason FROM ss_stage"""
+CTES["ss_flag"] = first_of_key("ss_rules", "supplier_id", [
+    "supplier_id", "supplier_name", "country", "email", "phone", "contract_start_date", "payment_terms", "quality_rating", "status",
+    "source_system", "load_timestamp"])
 CTES["silver_suppliers"] = f"SELECT * EXCLUDE (reject_reason), DATE '{AS_OF}' AS dq_load_date FROM ss_flag WHERE reject_reason IS NULL"
-CTES["sp_stage"] = f"""
+CTES["sp_rules"] = f"""
 SELECT part_id, part_number, coalesce(nullif({strip('part_name')}, ''), part_number) AS part_name, part_category, supplier_id,
   unit_price, unit_of_measure, lead_time_days, is_critical, spec_revision, created_date, source_system,
   CASE WHEN part_id IS NULL THEN 'missing_key'
@@ -57,15 +70,24 @@ SELECT part_id, part_number, coalesce(nullif({strip('part_name')}, ''), part_num
        WHEN supplier_id IS NULL THEN 'missing_supplier'
        WHEN supplier_id NOT IN (SELECT supplier_id FROM silver_suppliers) THEN 'orphan_supplier' END AS reject_reason
 FROM bronze_parts"""
+CTES["sp_stage"] = first_of_key("sp_rules", "part_id", [
+    "part_id", "part_number", "part_name", "part_category", "supplier_id", "unit_price", "unit_of_measure", "lead_time_days", "is_critical",
+    "spec_revision", "created_date", "source_system"])
 CTES["silver_parts"] = f"SELECT * EXCLUDE (reject_reason), DATE '{AS_OF}' AS dq_load_date FROM sp_stage WHERE reject_reason IS NULL"
-CTES["sw_stage"] = f"""
+CTES["sw_rules"] = f"""
 SELECT work_order_id, part_id, quantity_ordered, quantity_received, order_date, expected_delivery,
   CASE WHEN status = 'CLOSED' AND actual_delivery IS NULL THEN expected_delivery ELSE actual_delivery END AS actual_delivery,
   unit_cost, total_cost, status, defect_count, source_system, load_timestamp,
   CASE WHEN work_order_id IS NULL THEN 'missing_key'
+       WHEN part_id IS NULL THEN 'missing_part'
        WHEN status IS NULL OR status NOT IN ({inlist(fx.WORK_ORDER_STATUSES)}) THEN 'invalid_status'
-       WHEN part_id IS NOT NULL AND part_id NOT IN (SELECT part_id FROM silver_parts) THEN 'orphan_part' END AS reject_reason
+       WHEN NOT coalesce(regexp_full_match(order_date, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}'), false)
+            OR try_strptime(order_date, '%Y-%m-%d') IS NULL THEN 'invalid_order_date'
+       WHEN part_id NOT IN (SELECT part_id FROM silver_parts) THEN 'orphan_part' END AS reject_reason
 FROM bronze_work_orders"""
+CTES["sw_stage"] = first_of_key("sw_rules", "work_order_id", [
+    "work_order_id", "part_id", "quantity_ordered", "quantity_received", "order_date", "expected_delivery", "actual_delivery", "unit_cost",
+    "total_cost", "status", "defect_count", "source_system", "load_timestamp"])
 CTES["silver_work_orders"] = f"SELECT * EXCLUDE (reject_reason), DATE '{AS_OF}' AS dq_load_date FROM sw_stage WHERE reject_reason IS NULL"
 CTES["quarantine"] = """
 SELECT 'suppliers' AS table_name, supplier_id AS record_id, reject_reason FROM ss_flag WHERE reject_reason IS NOT NULL
@@ -73,7 +95,7 @@ UNION ALL SELECT 'parts', part_id, reject_reason FROM sp_stage WHERE reject_reas
 UNION ALL SELECT 'work_orders', work_order_id, reject_reason FROM sw_stage WHERE reject_reason IS NOT NULL"""
 _CL = "w.status IN ('CLOSED', 'PARTIAL')"
 CTES["gold_agg"] = f"""
-SELECT substr(w.order_date, 1, 7) AS metric_month, p.supplier_id,
+SELECT strftime(TRY_CAST(w.order_date AS DATE), '%Y-%m') AS metric_month, p.supplier_id,
   count(DISTINCT CASE WHEN {_CL} THEN w.work_order_id END) AS total_orders,
   CAST(sum(CASE WHEN {_CL} THEN w.quantity_ordered ELSE 0 END) AS BIGINT) AS total_parts_ordered,
   CAST(sum(CASE WHEN {_CL} THEN w.quantity_received ELSE 0 END) AS BIGINT) AS total_parts_received,
@@ -186,13 +208,13 @@ def _verdict_sql(ch: Check) -> str:
     return "failing_rows = 0"
 
 
-def _wrap(ch: Check, layer: str, table: str, inner: str) -> str:
+def _wrap(ch: Check, layer: str, table: str, inner: str, missing: bool = False) -> str:
     return f"""SELECT '{layer}' AS layer, '{table}' AS table_name, {_sql_lit(ch.rule)} AS rule,
   CAST({_sql_lit(ch.column)} AS VARCHAR) AS column_name, '{ch.severity}' AS severity,
   CAST(total_rows AS BIGINT) AS total_rows, CAST(evaluated_rows AS BIGINT) AS evaluated_rows, CAST(failing_rows AS BIGINT) AS failing_rows,
   round(CASE WHEN evaluated_rows > 0 THEN CAST(evaluated_rows - failing_rows AS DOUBLE) / CAST(evaluated_rows AS DOUBLE) END, 6) AS conforming_ratio,
   CAST({_sql_lit(ch.mostly)} AS DOUBLE) AS mostly, CAST({_sql_lit(ch.max_allowed)} AS BIGINT) AS max_allowed,
-  {_verdict_sql(ch)} AS passed
+  {"false" if missing else _verdict_sql(ch)} AS passed
 FROM ({inner}) q"""
 
 
@@ -201,8 +223,9 @@ def suite_sql(source: str, checks: Sequence[Check], layer: str, table: str, colu
     parts = []
     cols = set(columns)
     for ch in checks:
+        missing = ch.column is not None and ch.column not in cols
         if ch.kind in ("not_null", "null_rate", "in_set", "between", "match_regex", "strftime", "expression", "not_empty"):
-            if ch.column is not None and ch.column not in cols:
+            if missing:
                 inner = f"SELECT count(*) AS total_rows, 0 AS evaluated_rows, 1 AS failing_rows FROM {source}"
             else:
                 ev, bad = row_sql(ch)
@@ -229,5 +252,5 @@ def suite_sql(source: str, checks: Sequence[Check], layer: str, table: str, colu
                      f"FROM {source} WHERE {c} IS NOT NULL")
         else:
             raise ValueError(ch.kind)
-        parts.append(_wrap(ch, layer, table, inner))
+        parts.append(_wrap(ch, layer, table, inner, missing))
     return "\nUNION ALL\n".join(parts)

@@ -35,7 +35,7 @@ def _case(expr: str, values: list[str]) -> str:
 
 BRONZE_SUPPLIERS_SQL = f"""
 SELECT
-  'SUP' || CAST(s.s_suppkey AS STRING) AS supplier_id,
+  'SUP' || CAST(CASE WHEN s.s_suppkey % 83 = 21 THEN s.s_suppkey - 1 ELSE s.s_suppkey END AS STRING) AS supplier_id,
   CASE WHEN s.s_suppkey % 150 = 1 THEN '   '
        WHEN s.s_suppkey % 40 = 0 THEN '  ' || s.s_name || ' '
        ELSE s.s_name END AS supplier_name,
@@ -45,6 +45,7 @@ SELECT
        ELSE 'sup' || CAST(s.s_suppkey AS STRING) || '@example.com' END AS email,
   '+1-555-' || CAST(1000 + s.s_suppkey % 9000 AS STRING) AS phone,
   CASE WHEN s.s_suppkey % 500 = 11 THEN '-999'
+       WHEN s.s_suppkey % 41 = 3 THEN '2031-01-15'
        WHEN s.s_suppkey % 50 = 7 THEN
             lpad(CAST(day(DATE '2015-01-01' + CAST(s.s_suppkey % 3000 AS INTEGER)) AS STRING), 2, '0') || '/' ||
             lpad(CAST(month(DATE '2015-01-01' + CAST(s.s_suppkey % 3000 AS INTEGER)) AS STRING), 2, '0') || '/' ||
@@ -87,13 +88,16 @@ BRONZE_WORK_ORDERS_SQL = f"""
 SELECT
   'WO-' || CAST(l.l_orderkey AS STRING) || '-' || CAST(l.l_linenumber AS STRING) AS work_order_id,
   CASE WHEN (l.l_orderkey + l.l_linenumber) % 499 = 0 THEN 'PARTXXX'
+       WHEN (l.l_orderkey + l.l_linenumber) % 997 = 1 THEN 'PARTYYY'
+       WHEN (l.l_orderkey + l.l_linenumber) % 601 = 2 THEN NULL
        ELSE 'PART' || CAST(l.l_partkey AS STRING) END AS part_id,
   CAST(l.l_quantity AS BIGINT) AS quantity_ordered,
   CASE WHEN (l.l_orderkey + l.l_linenumber) % 307 = 0 THEN CAST(l.l_quantity AS BIGINT) + 5
        WHEN o.o_orderstatus = 'O' THEN CAST(0 AS BIGINT)
        WHEN o.o_orderstatus = 'P' THEN CAST(floor(l.l_quantity / 2) AS BIGINT)
        ELSE CAST(l.l_quantity AS BIGINT) END AS quantity_received,
-  CAST(CAST(o.o_orderdate AS DATE) AS STRING) AS order_date,
+  CASE WHEN (l.l_orderkey + l.l_linenumber) % 701 = 3 THEN '31/12/1995'
+       ELSE CAST(CAST(o.o_orderdate AS DATE) AS STRING) END AS order_date,
   CAST(CAST(CAST(o.o_orderdate AS DATE) + INTERVAL 30 DAY AS DATE) AS STRING) AS expected_delivery,
   CASE WHEN o.o_orderstatus = 'O' THEN NULL
        WHEN (l.l_orderkey + l.l_linenumber) % 401 = 0 THEN NULL
@@ -115,7 +119,10 @@ FROM {{lineitem}} l JOIN {{orders}} o ON l.l_orderkey = o.o_orderkey
 # per (month, supplier) so reconciliation and KPI checks have findings.
 GOLD_DRIFT_SQL = """
 SELECT
-  metric_month, supplier_id, supplier_name,
+  metric_month,
+  CASE WHEN (CAST(substr(supplier_id, 4) AS BIGINT) + CAST(substr(metric_month, 6, 2) AS BIGINT)) % 37 = 0
+       THEN 'SUPX' || substr(supplier_id, 4) ELSE supplier_id END AS supplier_id,
+  supplier_name,
   CASE WHEN (CAST(substr(supplier_id, 4) AS BIGINT) + CAST(substr(metric_month, 6, 2) AS BIGINT)) % 23 = 0
        THEN total_orders + 1 ELSE total_orders END AS total_orders,
   total_parts_ordered,
@@ -124,11 +131,15 @@ SELECT
   CASE WHEN (CAST(substr(supplier_id, 4) AS BIGINT) + CAST(substr(metric_month, 6, 2) AS BIGINT)) % 17 = 0
        THEN total_spend * 1.05 ELSE total_spend END AS total_spend,
   CASE WHEN (CAST(substr(supplier_id, 4) AS BIGINT) + CAST(substr(metric_month, 6, 2) AS BIGINT)) % 19 = 0
-       THEN defect_count + 1 ELSE defect_count END AS defect_count,
+       THEN defect_count + 1
+       WHEN (CAST(substr(supplier_id, 4) AS BIGINT) + CAST(substr(metric_month, 6, 2) AS BIGINT)) % 43 = 0
+       THEN -1 ELSE defect_count END AS defect_count,
   CASE WHEN (CAST(substr(supplier_id, 4) AS BIGINT) + CAST(substr(metric_month, 6, 2) AS BIGINT)) % 29 = 0
        THEN defect_rate_pct + 150.0 ELSE defect_rate_pct END AS defect_rate_pct,
   on_time_delivery_count, on_time_delivery_pct, avg_lead_time_days, quality_score, dq_load_date
 FROM {gold}
+WHERE NOT (substr(metric_month, 6, 2) = '07' AND CAST(substr(metric_month, 1, 4) AS BIGINT) % 2 = 1)
+  AND CAST(substr(supplier_id, 4) AS BIGINT) % 29 <> 5
 """
 
 # One run record per event: layer, outcome and a multi-line failure log picked
