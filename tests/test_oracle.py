@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from tollgate.plans import registry
 
 SF = "/root/testdata/sf0.001"
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
@@ -56,7 +57,7 @@ def test_entry_smoke(spark):
     assert "reconciliation_status" in df.columns
 
 
-@pytest.mark.parametrize("key", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("key", sorted(registry.ORACLE))
 def test_query_matches_oracle(spark, con, key):
     df = E.queries()[key](spark, SF)
     cur = con.execute(E.oracle_sql()[key])
@@ -68,4 +69,5 @@ def test_query_matches_oracle(spark, con, key):
 
 
 def test_every_query_has_an_oracle_but_file_listing():
-    assert set(E.queries()) - set(E.oracle_sql()) == {"discover_assets"}
+    assert set(registry.QUERIES) - set(registry.ORACLE) == {"discover_assets"}
+    assert set(registry.QUERIES) <= set(E.queries()) and set(registry.ORACLE) <= set(E.oracle_sql())

@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 from tollgate.plans import expectations as EX
 from tollgate.plans import suite as S
 
@@ -58,3 +60,21 @@ def test_empty_suite_and_no_row_checks(spark, bronze_parts):
     assert res.columns == S.RESULT_COLUMNS and res.count() == 0
     rows = S.unexpected_rows(bronze_parts, [S.Check("unique", "part_id")], ["part_id"])
     assert rows.columns == ["part_id", "rule", "column_name", "value"] and rows.count() == 0
+
+
+def test_missing_column_fails_whatever_is_tolerated(spark):
+    df = spark.range(100).select(F.col("id").alias("k"))
+    checks = [S.Check("not_null", "gone", mostly=0.1), S.Check("not_null", "gone", max_allowed=5), S.Check("null_rate", "gone", {"threshold": 1.0}),
+              S.Check("unique", "gone", max_allowed=5), S.Check("bad_values", "gone", {"values": ["a"]}, max_allowed=5), S.Check("not_null", "gone"),
+              S.Check("expression", None, {"expr": "gone > 0"}, max_allowed=5)]
+    rows = S.run_suite(df, checks).collect()
+    assert len(rows) == len(checks) and not any(r["passed"] for r in rows)
+    assert not S.gate_verdict(S.run_suite(df, [*checks, S.Check("not_null", "k")]))
+
+
+def test_budget_of_distinct_bad_values(spark):
+    df = spark.createDataFrame([("A",), ("B",), ("X",), ("X",), ("X",), (None,)], "v string")
+    row = S.run_suite(df, [S.Check("bad_values", "v", {"values": ["A", "B"]}, max_allowed=1)]).first()
+    assert (row["total_rows"], row["evaluated_rows"], row["failing_rows"], row["passed"]) == (6, 5, 1, True)
+    padded = spark.createDataFrame([(" a",), ("b\t",), ("c d",), (None,)], "v string")
+    assert S.run_suite(padded, [S.Check("not_padded", "v")]).first()["failing_rows"] == 2

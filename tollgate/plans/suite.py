@@ -14,6 +14,7 @@ import datetime as _dt
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,8 +25,8 @@ RESULT_COLUMNS = [
     "conforming_ratio", "mostly", "max_allowed", "passed",
 ]
 
-ROW_KINDS = {"not_null", "in_set", "between", "match_regex", "strftime", "expression", "not_empty", "null_rate"}
-SHUFFLE_KINDS = {"unique", "unique_values", "relationship"}
+ROW_KINDS = {"not_null", "in_set", "between", "match_regex", "strftime", "expression", "not_empty", "not_padded", "null_rate"}
+SHUFFLE_KINDS = {"unique", "unique_values", "relationship", "bad_values"}
 SCHEMA_KINDS = {"columns_match", "required_columns"}
 
 
@@ -99,6 +100,8 @@ def row_condition_sql(check: Check, dtypes: dict[str, str] | None = None) -> tup
         return "true", f"NOT ({p['expr']})"
     if check.kind == "not_empty":
         return f"{c} IS NOT NULL", f"regexp_replace({text}, '^\\\\s+|\\\\s+$', '') = ''"
+    if check.kind == "not_padded":
+        return f"{c} IS NOT NULL", f"regexp_replace({text}, '^\\\\s+|\\\\s+$', '') != {text}"
     raise ValueError(f"not a per-row check kind: {check.kind}")
 
 
@@ -119,15 +122,28 @@ def _verdict_sql(check: Check, total: str, ev: str, bad: str) -> str:
     return f"{bad} = 0"
 
 
-def _row_sql(check: Check, layer: str, table: str, total: str, ev: str, bad: str) -> str:
-    """One result row as a ``named_struct`` over aggregate outputs."""
+def _row_sql(check: Check, layer: str, table: str, total: str, ev: str, bad: str, missing: bool = False) -> str:
+    """One result row as a ``named_struct`` over aggregate outputs.  A check of a
+    *missing* column fails, whatever it tolerates."""
+    verdict = "false" if missing else _verdict_sql(check, total, ev, bad)
     ratio = f"round(CASE WHEN {ev} > 0 THEN CAST({ev} - {bad} AS DOUBLE) / CAST({ev} AS DOUBLE) END, 6)"
     return (f"named_struct('layer', {lit_sql(layer)}, 'table_name', {lit_sql(table)}, 'rule', {lit_sql(check.rule)}, "
             f"'column_name', CAST({lit_sql(check.column)} AS STRING), 'severity', {lit_sql(check.severity)}, "
             f"'total_rows', CAST({total} AS BIGINT), 'evaluated_rows', CAST({ev} AS BIGINT), "
             f"'failing_rows', CAST({bad} AS BIGINT), 'conforming_ratio', {ratio}, "
             f"'mostly', CAST({lit_sql(check.mostly)} AS DOUBLE), 'max_allowed', CAST({lit_sql(check.max_allowed)} AS BIGINT), "
-            f"'passed', {_verdict_sql(check, total, ev, bad)})")
+            f"'passed', {verdict})")
+
+
+def _resolves(df: DataFrame, expr: str) -> bool:
+    """Whether the columns of an expression exist (analysis only, no job)."""
+    try:
+        df.selectExpr(f"({expr}) AS __x")
+    except AnalysisException as e:
+        if "UNRESOLVED_COLUMN" in (e.getCondition() or ""):
+            return False
+        raise
+    return True
 
 
 def _fused(df: DataFrame, checks: Sequence[Check], layer: str, table: str) -> DataFrame:
@@ -143,8 +159,8 @@ def _fused(df: DataFrame, checks: Sequence[Check], layer: str, table: str) -> Da
     rows = []
     for i, ch in enumerate(checks):
         if ch.kind in ROW_KINDS:
-            if ch.column is not None and ch.column not in dtypes:
-                rows.append(_row_sql(ch, layer, table, "__total", "0", "1"))  # missing column → failed
+            if (ch.column is not None and ch.column not in dtypes) or (ch.kind == "expression" and not _resolves(df, ch.params["expr"])):
+                rows.append(_row_sql(ch, layer, table, "__total", "0", "1", missing=True))
                 continue
             ev, bad = row_condition_sql(ch, dtypes)
             aggs.append(f"count_if({ev}) AS __e{i}")
@@ -167,7 +183,14 @@ def _fused(df: DataFrame, checks: Sequence[Check], layer: str, table: str) -> Da
 
 def _shuffle_check(df: DataFrame, ch: Check, layer: str, table: str) -> DataFrame:
     if ch.column not in df.columns:
-        return df.selectExpr("count(1) AS __t").selectExpr(f"{_row_sql(ch, layer, table, '__t', '0', '1')} AS r").select("r.*")
+        return df.selectExpr("count(1) AS __t").selectExpr(f"{_row_sql(ch, layer, table, '__t', '0', '1', missing=True)} AS r").select("r.*")
+    if ch.kind == "bad_values":
+        # distinct values outside the set: per-value counts, then one tiny aggregate
+        groups = df.groupBy(F.col(ch.column).cast("string").alias("__v")).agg(F.count(F.lit(1)).alias("n"))
+        bad = F.col("__v").isNotNull() & ~F.col("__v").isin(*ch.params["values"])
+        stats = groups.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("__t"),
+                           F.coalesce(F.sum(F.when(F.col("__v").isNotNull(), F.col("n"))), F.lit(0)).alias("__ev"), count_if(bad).alias("__bad"))
+        return stats.selectExpr(f"{_row_sql(ch, layer, table, '__t', '__ev', '__bad')} AS r").select("r.*")
     c = F.col(ch.column)
     if ch.kind in ("unique", "unique_values"):
         # One shuffle: per-value counts (combined map-side, so a hot value costs
