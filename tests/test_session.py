@@ -1,3 +1,5 @@
+import pytest
+
 from tollgate import session
 
 
@@ -14,6 +16,7 @@ class _Conf:
 
 class _SC:
     applicationId = "app-test"
+    master = "local[2]"
 
     def __init__(self):
         self.dir = None
@@ -43,3 +46,10 @@ def test_picks_own_folder_only_when_unset():
     assert d.startswith("/tmp/tollgate-ckpt-") and s.sparkContext.dir == d
     assert session.ensure_checkpoint_dir(s) == d
     assert session.shared_path(s, "a", "b") == d.rstrip("/") + "/a/b"
+
+
+def test_refuses_a_local_folder_on_a_cluster():
+    s = _Spark(None)
+    s.sparkContext.master = "spark://host:7077"
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.ensure_checkpoint_dir(s)

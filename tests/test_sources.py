@@ -50,9 +50,33 @@ def test_store_results_appends_by_layer(spark, bronze_suppliers):
     SK.store_results(spark, res, "20240102-000000-bronze-gate", root=root + "/r")
     assert first.count() == 1
     assert spark.read.parquet(root + "/r").filter("layer = 'bronze'").count() == 2
+    again = SK.store_results(spark, res, "20240101-000000-bronze-gate", root=root + "/r")  # the name of another run
+    assert first.count() == again.count() == 1
+    plan = again._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(run_id" in plan
     assert S.run_name("bronze").endswith("-bronze-gate")
 
 
+def test_materialized_layers_stay_readable(spark):
+    from pyspark.sql import functions as F
+
+    root = tempfile.mkdtemp(prefix="tollgate-layer-", dir="/tmp")
+    one = SK.materialize_layer(spark, spark.range(3), "silver", "t", root=root)
+    two = SK.materialize_layer(spark, spark.range(5), "silver", "t", root=root)
+    assert one.count() == 3 and two.agg(F.count("*")).first()[0] == 5 and spark.table("silver_t").count() == 5
+
+
+def test_fingerprint_sees_files_at_any_depth(spark):
+    from tollgate.sources.layers import Medallion
+
+    root = tempfile.mkdtemp(prefix="tollgate-print-", dir="/tmp")
+    spark.range(3).write.parquet(root + "/lineitem.parquet")
+    before = Medallion(spark, root).fingerprint()
+    assert Medallion(spark, root).fingerprint() == before
+    spark.range(1).write.mode("append").parquet(root + "/lineitem.parquet")
+    assert Medallion(spark, root).fingerprint() != before
+
+
 def test_json_totals_sink(spark):
     from tollgate.operators import triage as TR
 

@@ -48,6 +48,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     existing = sc.getCheckpointDir()
     if existing:
         return existing
+    if not sc.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir is not set: name a folder that the driver and all executors share")
     own = _OWN_DIRS.setdefault(sc.applicationId, tempfile.mkdtemp(prefix="tollgate-ckpt-", dir="/tmp"))
     sc.setCheckpointDir(own)
     return own

@@ -96,14 +96,17 @@ class Medallion:
         return fixtures.test_runs(self.spark, self.sf_dir)
 
     def fingerprint(self) -> str:
-        """Identity of the derived layers: the source files (path, size, mtime —
-        listed by Spark's file source without reading contents), the as-of date
-        and the derivation code.  Same fingerprint → same tables."""
-        files = (self.spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(self.sf_dir)
-                 .select("path", "length", "modificationTime").collect())
-        h = hashlib.sha1(self.as_of.encode())
-        for r in sorted(files, key=lambda r: r["path"]):
-            h.update(f"{r['path']}|{r['length']}|{r['modificationTime']}".encode())
+        """Identity of the derived layers: each entry of the source folder (name,
+        mtime, and the files and bytes at any depth below it, from file-system
+        metadata), the as-of date and the derivation code.  Same fingerprint →
+        same tables."""
+        jvm = self.spark._jvm
+        top = jvm.org.apache.hadoop.fs.Path(self.sf_dir)
+        fs = top.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        h = hashlib.sha1(f"{self.sf_dir.rstrip('/')}|{self.as_of}".encode())
+        for entry in sorted(fs.listStatus(top), key=lambda e: e.getPath().getName()):
+            below = fs.getContentSummary(entry.getPath())
+            h.update(f"{entry.getPath().getName()}|{entry.getModificationTime()}|{below.getLength()}|{below.getFileCount()}".encode())
         here = Path(__file__).resolve().parent
         for src in (here / "fixtures.py", here / "layers.py", here.parent / "operators" / "transform.py",
                     here.parent / "operators" / "skew.py", here.parent / "functions" / "text.py"):
@@ -164,14 +167,15 @@ class Medallion:
         return m
 
 
-_MATERIALIZED: dict[tuple[str, str], Medallion] = {}
+_MATERIALIZED: dict[tuple[str, str, str], Medallion] = {}
 _LOCK = threading.Lock()
 
 
 def materialized(spark: SparkSession, sf_dir: str) -> Medallion:
     """The written medallion for ``sf_dir`` (built on first use, then reused by
-    fingerprint — a changed input file or derivation code gives a new folder)."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    fingerprint, taken at every call — a changed input file or derivation code
+    gives a new folder)."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), Medallion(spark, sf_dir).fingerprint())
     with _LOCK:  # concurrent callers wait for one writer instead of racing on the same folder
         if key not in _MATERIALIZED:
             _MATERIALIZED[key] = Medallion(spark, sf_dir).materialize()

@@ -7,6 +7,7 @@ the written layer, not from bronze.
 """
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,8 +32,9 @@ def materialize_layer(
     if view if view is not None else layer.lower() == "bronze":
         df.createOrReplaceTempView(f"{layer}_{table}")
         return df
-    path = f"{(root or shared_path(spark, 'layers')).rstrip('/')}/{layer}/{table}"
-    w = df.write.mode("overwrite")
+    # a folder of its own for each call: a frame that an earlier call returned stays readable
+    path = f"{(root or shared_path(spark, 'layers')).rstrip('/')}/{layer}/{table}/{uuid.uuid4().hex}"
+    w = df.write
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
@@ -47,11 +49,14 @@ def passthrough_model(df: DataFrame) -> DataFrame:
 
 
 def store_results(spark: SparkSession, results: DataFrame, run_name: str, root: str | None = None) -> DataFrame:
-    """Append suite results with their run name, partitioned by layer; return
-    this run's stored rows (read back through partition + run filters)."""
+    """Append suite results with their run name, in folders by layer and run id;
+    return this run's rows.  The id is unique, so runs of one name stay apart,
+    and the filter on it prunes every other run's folder."""
     path = root or shared_path(spark, "dq_results")
-    results.withColumn("run_name", F.lit(run_name)).write.mode("append").partitionBy("layer").parquet(path)
-    return spark.read.parquet(path).filter(F.col("run_name") == run_name)
+    run_id = uuid.uuid4().hex
+    stored = results.withColumn("run_name", F.lit(run_name)).withColumn("run_id", F.lit(run_id))
+    stored.write.mode("append").partitionBy("layer", "run_id").parquet(path)
+    return spark.read.parquet(path).filter(F.col("run_id") == run_id)
 
 
 def write_json_totals(df: DataFrame, path: str) -> None:
