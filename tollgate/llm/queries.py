@@ -36,8 +36,11 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.regexp_extract("metadata.fields", r"page-id: (-?[0-9]+)", 1).cast("long").alias("page_id"), "capture_id", "record_type",
         "response.refers_to", "response.payload_bytes", F.regexp_replace("response.payload_digest", "^sha256:", "").alias("payload_digest"))
     captures = settle(captures, "captures")
-    target = captures.where("record_type = 'response'").select(F.col("capture_id").alias("refers_to"), F.col("page_id").alias("target"))
-    return captures.join(target, "refers_to", "left").select("page_id", "payload_bytes", "payload_digest", "record_type", F.col("target").alias("refers_to"))
+    responses = captures.where("record_type = 'response'")
+    target = responses.select(F.col("capture_id").alias("refers_to"), F.col("page_id").alias("target"))
+    columns = ["page_id", "payload_bytes", "payload_digest", "record_type"]
+    revisits = captures.where("record_type = 'revisit'").join(target, "refers_to", "left").select(*columns, F.col("target").alias("refers_to"))
+    return responses.select(*columns, F.lit(None).cast("long").alias("refers_to")).union(revisits)
 
 
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tollgate.llm.storage import fresh_path
+from tollgate.llm.storage import fresh_path, settle
 
 LEAST_REVISIT = 100  # shorter payloads are stored each time
 DATE = "2024-01-01T00:00:00Z"
@@ -59,7 +59,8 @@ def write_archive(pages: DataFrame, path: str, id_col: str = "page_id", url_col:
     rows = pages.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("page"), url.alias("url"),
                                                          F.coalesce(F.col(html_col).cast("string"), F.lit("")).alias("html"))
     rows = rows.withColumn("digest", F.sha2("html", 256)).withColumn("bytes", F.octet_length("html"))
-    first = rows.where(F.col("bytes") >= LEAST_REVISIT).groupBy("digest").agg(F.min(F.struct("page", "url")).alias("first"))
+    first = rows.where(F.col("bytes") >= LEAST_REVISIT).groupBy("digest").agg(F.min(F.struct("page", "url")).alias("first"), F.count("*").alias("n"))
+    first = settle(first.where("n > 1").drop("n"), "payloads")  # a plain table: the join may split a hot payload
     rows = rows.join(first, "digest", "left")
     stored = F.col("first").isNull() | (F.col("first.page") == F.col("page"))
     own = _record_id("response", F.col("page").cast("string"), F.col("url"), F.col("digest"))
