@@ -33,6 +33,20 @@ RECON_NO_SILVER = "WARN — no Silver orders for this month/supplier"
 REMEDIATION_PARTS = "Supplier not found in silver_suppliers — part must be excluded or supplier onboarded"
 REMEDIATION_ORDERS = "Part not found in silver_parts — investigate source system referential integrity"
 REMEDIATION_GOLD = "Supplier in Gold not found in Silver — Gold aggregation may include decommissioned suppliers"
+# Statuses of a reconciled row by rank: the first that applies holds.
+RECON_LADDER = [RECON_SPEND, RECON_DEFECT, RECON_ORDERS, RECON_NO_SILVER, "PASS"]
+RATE_MISMATCH = "FAIL — computed vs stored defect_rate mismatch"
+# (label, measure, least, most) of the bounded KPIs; (label, smaller, larger) of the ordered ones.
+KPI_LIMITS = [("defect_rate_pct", "defect_rate_pct", 0, 100), ("on_time_pct", "on_time_delivery_pct", 0, 100), ("quality_score", "quality_score", 1, 5),
+              ("total_spend", "total_spend", 0, None), ("avg_lead_time", "avg_lead_time_days", 0, None)]
+KPI_ORDERS = [("received>ordered", "total_parts_received", "total_parts_ordered"), ("defects>received", "defect_count", "total_parts_received")]
+# (alert, measure, sign, warning bound, critical bound, warning text, critical text): sign * measure beyond sign * bound;
+# {} in a text is the measure.
+ALERT_BANDS = [
+    ("defect_alert", "defect_rate_pct", 1, 10, 20, "WARNING — defect rate >{}% (threshold: 10%)", "CRITICAL — defect rate >{}% (threshold: 20%)"),
+    ("otd_alert", "on_time_delivery_pct", -1, 85, 70, "WARNING — OTD <85% (threshold: 85%)", "CRITICAL — OTD <70% (threshold: 70%)"),
+    ("quality_alert", "quality_score", -1, 3.5, 3.0, "WARNING — quality score <3.5", "CRITICAL — quality score <3.0 — supplier review required"),
+]
 
 
 # ---------------------------------------------------------------------------
@@ -270,21 +284,16 @@ def gold_reconciliation(gold: DataFrame, work_orders: DataFrame, parts: DataFram
     j = g.join(s, (g["metric_month"] == s["s_month"]) & (g["supplier_id"] == s["s_supplier"]), "left")
     ss = F.coalesce(F.col("silver_total_spend"), F.lit(0.0))
     var = F.abs(F.col("gold_total_spend") - ss)
-    status = (F.when(var > ss * spend_tolerance, F.lit(RECON_SPEND))
-              .when(F.col("gold_defect_count") != F.coalesce(F.col("silver_defect_count"), F.lit(0)), F.lit(RECON_DEFECT))
-              .when(F.col("gold_order_count") != F.coalesce(F.col("silver_order_count"), F.lit(0)), F.lit(RECON_ORDERS))
-              .when(F.col("s_month").isNull(), F.lit(RECON_NO_SILVER))
-              .otherwise(F.lit("PASS")))
-    rank = (F.when(F.col("reconciliation_status") == RECON_SPEND, 1).when(F.col("reconciliation_status") == RECON_DEFECT, 2)
-            .when(F.col("reconciliation_status") == RECON_ORDERS, 3).when(F.col("reconciliation_status") == RECON_NO_SILVER, 4)
-            .otherwise(5))
+    off = [var > ss * spend_tolerance, F.col("gold_defect_count") != F.coalesce(F.col("silver_defect_count"), F.lit(0)),
+           F.col("gold_order_count") != F.coalesce(F.col("silver_order_count"), F.lit(0)), F.col("s_month").isNull()]
+    rank = F.array_position(F.array(*[F.coalesce(c, F.lit(False)) for c in off], F.lit(True)), True).cast("int")
     return j.select(
         "metric_month", "supplier_id", "gold_total_spend", ss.alias("silver_total_spend"), var.alias("spend_abs_var"),
         F.when(ss == 0, F.lit(None)).otherwise(F.round(var / ss * 100, 4)).alias("spend_var_pct"),
         "gold_defect_count", F.coalesce(F.col("silver_defect_count"), F.lit(0)).cast("bigint").alias("silver_defect_count"),
         "gold_order_count", F.coalesce(F.col("silver_order_count"), F.lit(0)).cast("bigint").alias("silver_order_count"),
-        status.alias("reconciliation_status"),
-    ).withColumn("status_rank", rank)
+        rank.alias("status_rank"),
+    ).withColumn("reconciliation_status", F.element_at(F.array(*map(F.lit, RECON_LADDER)), F.col("status_rank")))
 
 
 def singular_gold_reconciliation(gold: DataFrame, work_orders: DataFrame, parts: DataFrame) -> DataFrame:
@@ -295,26 +304,16 @@ def singular_gold_reconciliation(gold: DataFrame, work_orders: DataFrame, parts:
         F.col("spend_abs_var").alias("abs_variance"), F.col("spend_var_pct").alias("variance_pct"))
 
 
-def _num_text(c: str) -> Column:
-    return F.col(c).cast("string")
-
-
 def kpi_violations(gold: DataFrame) -> DataFrame:
-    """Seven boundary flags per row; rows with any, with the concatenated text and count."""
-    flags = [
-        ((F.col("defect_rate_pct") < 0) | (F.col("defect_rate_pct") > 100), F.concat(F.lit("defect_rate_pct="), _num_text("defect_rate_pct"), F.lit(" "))),
-        ((F.col("on_time_delivery_pct") < 0) | (F.col("on_time_delivery_pct") > 100), F.concat(F.lit("on_time_pct="), _num_text("on_time_delivery_pct"), F.lit(" "))),
-        ((F.col("quality_score") < 1) | (F.col("quality_score") > 5), F.concat(F.lit("quality_score="), _num_text("quality_score"), F.lit(" "))),
-        (F.col("total_spend") < 0, F.concat(F.lit("total_spend="), _num_text("total_spend"), F.lit(" "))),
-        (F.col("avg_lead_time_days") < 0, F.concat(F.lit("avg_lead_time="), _num_text("avg_lead_time_days"), F.lit(" "))),
-        (F.col("total_parts_received") > F.col("total_parts_ordered"), F.lit("received>ordered ")),
-        (F.col("defect_count") > F.col("total_parts_received"), F.lit("defects>received ")),
-    ]
-    bits = [F.when(F.coalesce(c, F.lit(False)), 1).otherwise(0) for c, _ in flags]
-    text = F.concat(*[F.when(F.coalesce(c, F.lit(False)), t).otherwise(F.lit("")) for c, t in flags])
-    count = sum(bits[1:], bits[0])
-    return gold.select("metric_month", "supplier_id", "supplier_name", text.alias("violations"),
-                       count.alias("violation_count")).filter(F.col("violation_count") > 0)
+    """Rows that break a KPI limit or order, with the broken ones as text and their count."""
+    said = []
+    for label, measure, least, most in KPI_LIMITS:
+        x = F.col(measure)
+        outside = (x < least) | (x > most) if most is not None else x < least
+        said.append(F.when(outside, F.concat(F.lit(f"{label}="), x.cast("string"), F.lit(" "))))
+    said += [F.when(F.col(small) > F.col(large), F.lit(f"{label} ")) for label, small, large in KPI_ORDERS]
+    broken = gold.select("metric_month", "supplier_id", "supplier_name", F.array_compact(F.array(*said)).alias("said")).filter(F.size("said") > 0)
+    return broken.select("metric_month", "supplier_id", "supplier_name", F.array_join("said", "").alias("violations"), F.size("said").alias("violation_count"))
 
 
 def defect_rate_math(gold: DataFrame, tolerance: float = 0.1) -> DataFrame:
@@ -325,22 +324,25 @@ def defect_rate_math(gold: DataFrame, tolerance: float = 0.1) -> DataFrame:
         "metric_month", "supplier_id", "supplier_name", "defect_count", "total_parts_received",
         F.col("defect_rate_pct").alias("stored_defect_rate_pct"), F.round(computed, 2).alias("computed_defect_rate_pct"),
         disc.alias("rate_discrepancy"),
-        F.when(disc > tolerance, F.lit("FAIL — computed vs stored defect_rate mismatch")).otherwise(F.lit("PASS")).alias("dq_status"),
+        F.when(disc > tolerance, F.lit(RATE_MISMATCH)).otherwise(F.lit("PASS")).alias("dq_status"),
     )
 
 
 def supplier_alerts(gold: DataFrame) -> DataFrame:
-    d, o, q = F.col("defect_rate_pct"), F.col("on_time_delivery_pct"), F.col("quality_score")
-    return gold.filter((d > 10) | (o < 85) | (q < 3.5)).select(
-        "metric_month", "supplier_id", "supplier_name", "defect_rate_pct", "on_time_delivery_pct", "quality_score", "total_spend",
-        F.when(d > 20, F.concat(F.lit("CRITICAL — defect rate >"), d.cast("string"), F.lit("% (threshold: 20%)")))
-        .when(d > 10, F.concat(F.lit("WARNING — defect rate >"), d.cast("string"), F.lit("% (threshold: 10%)")))
-        .otherwise(F.lit("OK")).alias("defect_alert"),
-        F.when(o < 70, F.lit("CRITICAL — OTD <70% (threshold: 70%)")).when(o < 85, F.lit("WARNING — OTD <85% (threshold: 85%)"))
-        .otherwise(F.lit("OK")).alias("otd_alert"),
-        F.when(q < 3.0, F.lit("CRITICAL — quality score <3.0 — supplier review required"))
-        .when(q < 3.5, F.lit("WARNING — quality score <3.5")).otherwise(F.lit("OK")).alias("quality_alert"),
-    )
+    """Rows with a measure in a warning or critical band, and the text of each measure's band."""
+    def level(measure, sign, *bounds):
+        x = F.col(measure) * sign
+        return sum((F.coalesce((x > sign * b).cast("int"), F.lit(0)) for b in bounds), F.lit(0))
+
+    def text(measure, template):
+        before, mark, after = template.partition("{}")
+        return F.concat(F.lit(before), F.col(measure).cast("string"), F.lit(after)) if mark else F.lit(template)
+
+    levels = {name: level(measure, sign, warn, crit) for name, measure, sign, warn, crit, *_ in ALERT_BANDS}
+    out = [F.element_at(F.array(F.lit("OK"), text(measure, warn), text(measure, crit)), levels[name] + 1).alias(name)
+           for name, measure, _, _, _, warn, crit in ALERT_BANDS]
+    return gold.filter(sum(levels.values(), F.lit(0)) > 0).select(
+        "metric_month", "supplier_id", "supplier_name", "defect_rate_pct", "on_time_delivery_pct", "quality_score", "total_spend", *out)
 
 
 def kpi_bounds(gold: DataFrame) -> DataFrame:
