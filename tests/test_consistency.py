@@ -7,10 +7,10 @@ from .conftest import collect_set
 
 def test_accepted_values_counts_bad_values_and_null_semantics(spark):
     df = spark.createDataFrame([("A",), ("X",), ("X",), (None,)], "s string")
-    assert collect_set(K.accepted_values(df, "s", ["A"]), "value", "n_rows") == {("X", 2)}
+    assert collect_set(K.accepted_values(df, "s", ["A"]), "value", "n_rows") == {("X", 2), (None, 1)}
+    assert collect_set(K.accepted_values(df, "s", ["A"], null_is_violation=False), "value", "n_rows") == {("X", 2)}
     only_null = spark.createDataFrame([("A",), (None,)], "s string")
-    # null violates but forms no value group (pandas value_counts semantics)
-    assert K.accepted_values(only_null, "s", ["A"]).count() == 0
+    assert collect_set(K.accepted_values(only_null, "s", ["A"]), "value", "n_rows") == {(None, 1)}
     assert K.accepted_values_rows(only_null, "s", "s", ["A"]).count() == 1
     assert K.accepted_values_rows(only_null, "s", "s", ["A"], null_is_violation=False).count() == 0
 

@@ -19,16 +19,12 @@ def not_in_set(col: str, accepted: Sequence, null_is_violation: bool = True) ->
 
 
 def accepted_values(df: DataFrame, column: str, accepted: Sequence, null_is_violation: bool = True) -> DataFrame:
-    """Bad values with their row counts (value, n_rows).
-
-    As with pandas ``value_counts``, a null bad value forms no group, so a
-    null-only failure has no rows here; ``accepted_values_rows`` lists rows.
-    """
+    """Bad values with their row counts (value, n_rows); where null is a
+    violation, the nulls are a row of their own, so no failure reads as a pass."""
     require(df, column)
     bad = df.filter(not_in_set(column, accepted, null_is_violation))
     return (
-        bad.filter(F.col(column).isNotNull())
-        .groupBy(F.col(column).cast("string").alias("value"))
+        bad.groupBy(F.col(column).cast("string").alias("value"))
         .agg(F.count(F.lit(1)).alias("n_rows"))
     )
 

@@ -237,6 +237,16 @@ def run_suite(df: DataFrame, checks: Sequence[Check], table: str = "table", laye
     return out.select(*RESULT_COLUMNS)
 
 
+def verdict(violations: DataFrame, rule: str, table: str, layer: str, column: str | None = None, max_allowed: int | None = None,
+            severity: str = "error") -> DataFrame:
+    """One result row for a check that returns its violating rows (padding, formats, foreign keys, outliers, order
+    rules, ...), so that it can enter a gate beside the suites; the rows themselves stay available."""
+    check = Check("rows", column, max_allowed=max_allowed, severity=severity, name=rule)
+    counted = violations.agg(F.count(F.lit(1)).alias("__bad"))
+    null = "CAST(NULL AS BIGINT)"
+    return counted.selectExpr(f"{_row_sql(check, layer, table, null, null, '__bad')} AS r").select("r.*").select(*RESULT_COLUMNS)
+
+
 def unexpected_rows(df: DataFrame, checks: Sequence[Check], key_cols: Sequence[str]) -> DataFrame:
     """Violating rows (keys, rule, column, value) for every per-row check, lazily,
     in one scan — the ``include_unexpected_rows`` option, never collected by default."""
