@@ -33,13 +33,13 @@ def main():
         plan = re.sub(r"#\d+L?", "", plan)
         lines = [ln[:220] for ln in plan.splitlines()]
         out += [f"## {k}", "", "```", *lines, "```", ""]
-    # the same foreign-key check when the parent is too large to broadcast: salted join
+    # the same foreign-key check when the parent is too large to broadcast
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     df = registry.QUERIES["referential_integrity"](spark, sf)
     qe = df._jdf.queryExecution()
     qe.toRdd().count()
     plan = re.sub(r"#\d+L?", "", re.sub(r"file:/[^\]\s,]+/([A-Za-z_]+)", r"…/\1", qe.executedPlan().toString()))
-    out += ["## referential_integrity, broadcast disabled (large parent → salted join on (key, salt))", "", "```",
+    out += ["## referential_integrity, broadcast disabled (large parent: shuffled anti join, null keys dealt out)", "", "```",
             *[ln[:220] for ln in plan.splitlines()], "```", ""]
     spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     (ROOT / "docs" / "PLANS.md").write_text("\n".join(out))
