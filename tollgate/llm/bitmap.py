@@ -1,25 +1,43 @@
-"""A bitmap of fixed size over 64-bit values: whatever the table, the driver and a broadcast hold `BITS` / 8 bytes.
-It only says which rows can matter; a full bitmap lets everything through and changes no result."""
+"""A Bloom filter of fixed size over 64-bit values: whatever the table, the driver and a broadcast hold `BITS` / 8
+bytes.  It only says which rows can matter; a full filter lets everything through and changes no result."""
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tollgate.llm.wordhash import U64, mix
+
 BITS = 1 << 24
+PROBES = 4
+
+
+def _spots(values: np.ndarray, bits: int, probe: int) -> np.ndarray:
+    return (mix(values.view(U64), 50 + probe) % U64(bits)).view(np.int64)
 
 
 def bitmap_of(df: DataFrame, column: str, bits: int = BITS) -> np.ndarray:
-    spot = F.pmod(F.col(column), F.lit(bits))
-    rows = df.select(spot.alias("spot")).groupBy(F.floor(F.col("spot") / 64).cast("int").alias("w")).agg(
-        F.bit_or(F.expr("shiftleft(1L, cast(spot % 64 as int))")).alias("b"))
+    """The filter of a column of integers without nulls."""
+
+    def words(batches):
+        for batch in batches:
+            spot = np.unique(np.concatenate([_spots(np.asarray(batch.column(0)), bits, i) for i in range(PROBES)]))
+            yield pa.RecordBatch.from_arrays([pa.array((spot >> 6).astype(np.int32)), pa.array((U64(1) << (spot & 63).astype(U64)).view(np.int64))], names=["w", "b"])
+
+    rows = df.select(F.col(column).cast("long").alias("v")).mapInArrow(words, "w int, b long").groupBy("w").agg(F.bit_or("b").alias("b"))
     out = np.zeros(bits // 64, np.int64)
     for r in rows.collect():  # at most bits / 64 rows
         out[r.w] = r.b
-    return out.view(np.uint64)
+    return out.view(U64)
 
 
 def may_hold(bitmap: np.ndarray, values: np.ndarray) -> np.ndarray:
-    """Which of the signed 64-bit *values* may be in the bitmap."""
-    spot = np.mod(values, len(bitmap) * 64)
-    return (bitmap[spot >> 6] >> (spot & 63).astype(np.uint64)) & np.uint64(1) != 0
+    """Which of the *values* may be in the filter."""
+    left = np.arange(len(values))
+    for probe in range(PROBES):  # most values leave at the first
+        spot = _spots(values[left], len(bitmap) * 64, probe)
+        left = left[(bitmap[spot >> 6] >> (spot & 63).view(U64)) & U64(1) != 0]
+    out = np.zeros(len(values), bool)
+    out[left] = True
+    return out

@@ -8,7 +8,7 @@ same distance between their positions) are verified once, word by word: the
 maximal-scoring aligned stretch (+1 for equal words, `MISMATCH` for others) must
 hold `MIN_MATCHES` equal words, or `SHORT_SHARE` of an item that is shorter.
 
-The whole of every text is searched.  A bitmap of fixed size over the
+The whole of every text is searched.  A Bloom filter of fixed size over the
 benchmark's seeds keeps almost all positions of clean texts out of the join,
 which is an ordinary shuffled join of seed rows.  Only the neighbourhood of hits
 travels on, so memory and shuffle follow the hits, not the corpus.  Equal items
@@ -23,6 +23,7 @@ give no rows.
 from __future__ import annotations
 
 import re
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +32,7 @@ from pyspark.sql import functions as F
 
 from tollgate.llm.bitmap import bitmap_of, may_hold
 from tollgate.llm.storage import settle
-from tollgate.llm.wordhash import U64, WordHashes, mix
+from tollgate.llm.wordhash import POSITION, U64, WordHashes, mix
 
 #: Fixed masks of six words each.
 MASKS = ("11101011", "110110011", "1100101011")
@@ -39,12 +40,20 @@ MISMATCH = -3
 MIN_MATCHES = 10
 SHORT_SHARE = 0.8
 _WORD = re.compile(r"\w+")
-_REGION = 256  # hits farther apart belong to different neighbourhoods; also the words kept around one
+_REGION = 128  # hits farther apart belong to different neighbourhoods; also the words kept on either side of one
 
 
 class _Words(WordHashes):
+    """Hashes of words as strings."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) >= self.limit:
+            self.clear()
+        self[word] = h = int.from_bytes(blake2b(word.encode(), digest_size=8).digest(), "little")
+        return h
+
     def of(self, text: str | None) -> np.ndarray:
-        words = [w.encode() for w in _WORD.findall(text.lower())] if text else []
+        words = _WORD.findall(text.lower()) if text else []
         return np.fromiter(map(self.__getitem__, words), U64, len(words))
 
 
@@ -55,12 +64,13 @@ def seeds(words: np.ndarray, masks=MASKS) -> tuple[np.ndarray, np.ndarray]:
         n = len(words) - len(mask) + 1
         if n <= 0:
             continue
-        h = np.full(n, (k + 1) * 0x9E3779B97F4A7C15 % 2**64, U64)
-        for i, c in enumerate(mask):
-            if c == "1":
-                h = mix(h ^ words[i : i + n])
+        h = np.zeros(n, U64)
+        with np.errstate(over="ignore"):
+            for i, c in enumerate(mask):
+                if c == "1":
+                    h += words[i : i + n] * POSITION[i]
         at.append(np.arange(n))
-        hashes.append(h.view(np.int64))
+        hashes.append(mix(h, 500 + k).view(np.int64))
     return np.concatenate(at), np.concatenate(hashes)
 
 
@@ -114,8 +124,8 @@ def _regions(masks, shared):
                 pos, h = pos[order], h[order]
                 cut = np.flatnonzero(np.diff(pos) > _REGION) + 1
                 for p, x in zip(np.split(pos, cut), np.split(h, cut), strict=True):
-                    begin = max(0, int(p[0]) - 4 * _REGION)
-                    rows.append((doc, begin, words[begin : int(p[-1]) + 4 * _REGION].tobytes(),
+                    begin = max(0, int(p[0]) - _REGION)
+                    rows.append((doc, begin, words[begin : int(p[-1]) + 2 * _REGION].tobytes(),
                                  [{"pos": a, "h": b} for a, b in zip(p.tolist(), x.tolist(), strict=True)]))
             if rows:
                 doc, begin, around, hits = zip(*rows, strict=True)

@@ -32,8 +32,8 @@ Extra columns are ignored.  An empty table gives an empty result.
 
 What is broadcast has a fixed size: `HOT_SHINGLES` hashes, `HEAVY_CLASSES`
 classes (of more than `HEAVY_COPIES` equal sets; their other members need no
-keys of their own) and a bitmap.  None of the three
-changes the result.
+keys of their own) and a Bloom filter of 2 MB.  None of the
+three changes the result.
 """
 from __future__ import annotations
 
@@ -59,7 +59,7 @@ HOT_COUNT = 2
 HEAVY_CLASSES = 1 << 17
 HEAVY_COPIES = 8
 TILE = 512
-_ROWS = 1 << 18  # rows of a yielded batch
+_ROWS = 1 << 16  # rows of a yielded batch
 
 _S64 = np.int64
 
@@ -114,11 +114,11 @@ def _texts(batch: pa.RecordBatch) -> Iterator[tuple[int, bytes | None]]:
     yield from zip(batch.column(0).to_pylist(), batch.column(1), strict=True)
 
 
-def _mapper(one, schema: pa.Schema):
+def _mapper(one, schema: pa.Schema, most_rows: int = _ROWS):
     """mapInArrow function: *one*(id, words) yields the columns of some rows; batches are bounded by rows."""
 
     def run(batches):
-        words = WordHashes(150_000)
+        words = WordHashes(100_000)
         for batch in batches:
             parts, rows = [], 0
             for key, text in _texts(batch):
@@ -127,7 +127,7 @@ def _mapper(one, schema: pa.Schema):
                     continue
                 parts.append(got)
                 rows += len(got[0])
-                if rows >= _ROWS:
+                if rows >= most_rows:
                     yield _stack(parts, schema)
                     parts, rows = [], 0
             if parts:
@@ -286,22 +286,22 @@ class _Join:
         return self.texts.mapInArrow(_mapper(one, _KEYS), "key long, n int, fp long")
 
     def full_sets(self, pairs: DataFrame) -> DataFrame:
-        """(doc, shingles) of the texts in *pairs*.  A bitmap of fixed size says which texts can be needed;
+        """(doc, shingles) of the texts in *pairs*.  A Bloom filter of fixed size says which texts can be needed;
         whatever it lets through beyond that falls out of the joins."""
         docs = pairs.select(F.col("a").alias("doc")).union(pairs.select(F.col("b").alias("doc")))
-        shared = self.spark.sparkContext.broadcast(bitmap_of(docs.select(F.xxhash64("doc").alias("h")), "h"))
+        shared = self.spark.sparkContext.broadcast(bitmap_of(docs, "doc"))
         width = self.width
 
-        def maybe(batches):
-            for batch in batches:
-                yield batch.filter(pa.array(may_hold(shared.value, np.asarray(batch.column(2))))).select([0, 1])
-
         def one(doc, w):
             s = shingle_set(w, width)
             return [doc], [set_fingerprint(s)], [s.tobytes()]
 
-        some = self.texts.withColumn("h", F.xxhash64("doc")).mapInArrow(maybe, "doc long, body binary")
-        return some.mapInArrow(_mapper(one, _FULL), "doc long, fp long, shingles binary").dropDuplicates(["doc", "fp"])
+        sets = _mapper(one, _FULL, 1 << 12)
+
+        def needed(batches):  # one Python worker a task: filter and sets in one function
+            yield from sets(batch.filter(pa.array(may_hold(shared.value, np.asarray(batch.column(0))))) for batch in batches)
+
+        return self.texts.mapInArrow(needed, "doc long, fp long, shingles binary").dropDuplicates(["doc", "fp"])
 
     def near(self, star: DataFrame, classes: DataFrame) -> DataFrame:
         """Pairs of classes ((pn, pfp), (n, fp)) whose sketches are near enough, as documents and fingerprints."""
@@ -316,6 +316,8 @@ class _Join:
     def verified(self, near: DataFrame) -> DataFrame:
         """The pairs (a, b) of *near* that are similar."""
         near = settle(near, "near")
+        if near.isEmpty():
+            return near.select("a", "b")
         full = settle(self.full_sets(near), "sets")
         both = (near.join(full.toDF("a", "afp", "x"), ["a", "afp"]).join(full.toDF("b", "bfp", "y"), ["b", "bfp"]))
         return settle(both.select("a", "b", "x", "y").mapInArrow(_exact_filter(self.pct), "a long, b long"), "links")
@@ -358,7 +360,8 @@ class _Join:
         label = classes.join(parts.withColumnRenamed("node", "doc"), "doc", "left").select(
             "n", "fp", F.coalesce("component", "doc").alias("label"))
         more = self.verified(self.apart(groups, label, sketched))
-        parts = components(links.union(several).union(more), "a", "b")
+        if not more.isEmpty():
+            parts = components(links.union(several).union(more), "a", "b")
         label = classes.join(parts.withColumnRenamed("node", "doc"), "doc", "left").select(
             "n", "fp", F.coalesce("component", "doc").alias("component"))
         return sets.select("doc", "n", "fp").join(label, ["n", "fp"], "left").select(

@@ -7,7 +7,7 @@ import numpy as np
 
 U64 = np.uint64
 #: Odd multipliers of the positions of a shingle.
-_POSITION = np.array([0x9E3779B97F4A7C15 ^ (0x2545F4914F6CDD1D * (2 * i + 1) & (2**64 - 2)) for i in range(64)], dtype=U64) | U64(1)
+POSITION = np.array([0x9E3779B97F4A7C15 ^ (0x2545F4914F6CDD1D * (2 * i + 1) & (2**64 - 2)) for i in range(64)], dtype=U64) | U64(1)
 
 
 def mix(h: np.ndarray, seed: int = 0) -> np.ndarray:
@@ -45,8 +45,8 @@ def shingle_set(words: np.ndarray, width: int) -> np.ndarray:
         return np.empty(0, U64)
     with np.errstate(over="ignore"):
         if n < width:
-            return mix(np.array([(words * _POSITION[:n]).sum(dtype=U64)], U64), 1000 + n)
-        h = words[: n - width + 1] * _POSITION[0]
+            return mix(np.array([(words * POSITION[:n]).sum(dtype=U64)], U64), 1000 + n)
+        h = words[: n - width + 1] * POSITION[0]
         for i in range(1, width):
-            h = h + words[i : n - width + 1 + i] * _POSITION[i]
+            h = h + words[i : n - width + 1 + i] * POSITION[i]
     return np.unique(mix(h, width))
