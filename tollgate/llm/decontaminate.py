@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tollgate.llm.bitmap import bitmap_of, may_hold
+from tollgate.llm.bitmap import bitmap_of, may_hold, without
 from tollgate.llm.storage import settle
 from tollgate.llm.wordhash import POSITION, U64, WordHashes, mix
 
@@ -176,5 +176,4 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of *docs* that hold no benchmark item (all columns)."""
-    found = contaminated(docs, benchmark, id_col, text_col, **options).select(F.col(id_col).alias("_gone")).distinct()
-    return docs.join(found, docs[id_col] == found["_gone"], "left_anti")
+    return without(docs, id_col, contaminated(docs, benchmark, id_col, text_col, **options).select(id_col))

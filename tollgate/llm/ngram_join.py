@@ -44,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tollgate.llm.bitmap import bitmap_of, may_hold
+from tollgate.llm.bitmap import bitmap_of, may_hold, without
 from tollgate.llm.components import components
 from tollgate.llm.grouping import sorted_groups
 from tollgate.llm.storage import settle
@@ -382,5 +382,4 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of *docs* whose id is the least of its near-duplicate group (all columns; null ids stay)."""
     found = near_duplicates(docs, id_col, text_col, **options)
-    gone = found.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("_gone")).distinct()
-    return docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")
+    return without(docs, id_col, found.where(F.col(id_col) != F.col("component_id")).select(id_col))
