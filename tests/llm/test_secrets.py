@@ -50,6 +50,30 @@ def test_random_strings(text, found):
     assert len(spans) == found
 
 
+LONG_PATH = "https://storage.example.com/" + "documents/archive/download/customer/report/" * 2
+KEYS = ["q7RkZ2mXw9TbLc4V", "Zk3vQ8rT1xWn6Yb0Hs5J", "mN4bVx7KqL2pRz8TfW3yHd6C", "aB3dE5fG7hJ9kL2mN4pQ6rS8tU1vW3xY"]
+
+
+@pytest.mark.parametrize("key", KEYS)
+@pytest.mark.parametrize("before, after", [("", ""), (LONG_PATH, ""), (LONG_PATH, "/index.html"), ("customer_report_session_identifier_for_download=", ""),
+                                           ("storage-folder-of-the-monthly-report-", ".tar.gz"), (LONG_PATH + "550e8400-e29b-41d4-a716-446655440000/", "")])
+def test_random_parts_of_runs(key, before, after):
+    assert S.Finder("byte_bpe_50k.tiktoken", S.MAX_RATIO).spans(f"see {before}{key}{after} now") == [(4 + len(before), 3, 4 + len(before) + len(key))]
+
+
+def test_parts_that_are_not_random_or_already_found():
+    finder = S.Finder("byte_bpe_50k.tiktoken", S.MAX_RATIO)
+    both = f"see {LONG_PATH}{KEYS[1]}/archive/documents/{KEYS[2]} now"
+    assert [both[b:e] for b, _, e in finder.spans(both)] == [KEYS[1], KEYS[2]]
+    base64 = "wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY"
+    text = LONG_PATH + base64
+    assert [text[b:e] for b, _, e in finder.spans(text)] == [base64]
+    text = f"{LONG_PATH}{'0af3' * 7}/{KEYS[0]}"
+    assert [(S.KINDS[k], text[b:e]) for b, k, e in finder.spans(text)] == [("hex", "0af3" * 7), ("random", KEYS[0])]
+    for known in ("550e8400-e29b-41d4-a716-446655440000", "D41D8CD98F00B204E9800998ECF8427E", "20240115T063000Z", "getElementByIdentifier", "1234567890123456"):
+        assert finder.spans(LONG_PATH + known + "/index.html") == []
+
+
 def test_documents(spark):
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     rows = op6_secrets(spark, SF).collect()

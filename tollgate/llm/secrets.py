@@ -1,13 +1,19 @@
 """Secrets in texts: fixed patterns, plus strings that a tokenizer finds hard to compress.
 
 Fixed patterns give spans of kinds ``assign``, ``access`` and ``hex``.  The
-method adds kind ``random``: an unbroken string of `MIN_LENGTH` or more
-characters with letters of both cases (or letters and digits) is random when it
-needs many tokens, under `MAX_RATIO` characters a token by a tiktoken
-vocabulary, since names and words are in such a vocabulary and random strings
-are not.  Known digests (hex of the lengths in `DIGESTS`), UUIDs, numbers,
-dotted or slashed names of words and anything a fixed pattern has found are
-left out.
+method adds kind ``random``: a string with letters of both cases (or letters and
+digits) is random when it needs many tokens, under `MAX_RATIO` characters a token
+by a tiktoken vocabulary, since names and words are in such a vocabulary and
+random strings are not.  Each unbroken run is cut at its separators
+(``. / _ = + -``); parts that need many tokens score their tokens against their
+length, separators and short words their length, words of `MIN_WORD` or more end
+a string.  Every maximal scoring segment of `MIN_LENGTH` or more characters is
+tested (joined parts with one of `MIN_PART` or more, so keys that hold separators
+stay whole), else each of its parts of `MIN_LENGTH` or more.  A run of `MIN_RUN` or more characters without
+such a part is tested as a whole.  Known digests (hex of the lengths in
+`DIGESTS`), UUIDs, numbers, compact dates with times, dotted or slashed names of
+words and anything a fixed pattern has found are left out.  Random characters
+that no separator sets off from the words beside them are tested with them.
 
 Positions are code points, ends exclusive.  Null is the empty text; repeated
 rows give equal results; extra columns are ignored; an empty table gives no rows.
@@ -19,14 +25,19 @@ import hashlib
 import re
 from functools import cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tollgate.llm.toxicity import segments
 from tollgate.llm.vocabulary import vocabulary_path
 
 KINDS = ("assign", "access", "hex", "random")
-MIN_LENGTH = 20
+MIN_LENGTH = 16
+MIN_RUN = 20
+MIN_PART = 8
+MIN_WORD = 4
 MAX_RATIO = 2.3
 REMEMBERED = 100_000
 #: Fixed patterns and least lengths.
@@ -34,11 +45,12 @@ _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x
 _ASSIGN_HINT = re.compile("passw|secret|token|api_?key", re.I | re.A)
 _ACCESS = re.compile("AKIA[A-Z0-9]{16,}")
 _HEX = re.compile("[0-9a-f]{24,}")
-_STRING = re.compile(r"(?<![A-Za-z0-9+/_=.-])[A-Za-z0-9+/_=.-]{20,}(?![A-Za-z0-9+/_=.-])")
+_STRING = re.compile(r"(?<![A-Za-z0-9+/_=.-])[A-Za-z0-9+/_=.-]{16,}(?![A-Za-z0-9+/_=.-])")
+_PART = re.compile("(?<![A-Za-z0-9])[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}(?![A-Za-z0-9])|[A-Za-z0-9]+")
 #: Lengths of hex digests (MD5, SHA-1, SHA-224, SHA-256, SHA-384, SHA-512).
 DIGESTS = (32, 40, 56, 64, 96, 128)
 _KNOWN = re.compile("|".join([*(f"(?:[0-9a-f]{{{n}}}|[0-9A-F]{{{n}}})" for n in DIGESTS),
-                              "[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}", "[0-9.+=_/-]+",
+                              "[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}", "[0-9.+=_/-]+", "[0-9]{8}T[0-9]{4,9}Z?",
                               "(?:[A-Za-z][a-z]*|[A-Z]+|[0-9]+)(?:[./_=-]+(?:[A-Za-z][a-z]*|[A-Z]+|[0-9]+))*[./_=-]*"]))
 
 
@@ -52,19 +64,48 @@ def _encoding(name: str):
     return tiktoken.Encoding("secrets", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
+def _mixed(s: str) -> bool:
+    return sum(bool(re.search(c, s)) for c in ("[a-z]", "[A-Z]", "[0-9]")) >= 2
+
+
 class Finder:
     def __init__(self, vocabulary: str, max_ratio: float):
         self.encoding, self.max_ratio = _encoding(vocabulary), max_ratio
-        self.known: dict[str, bool] = {}
+        self.known: dict[str, float] = {}
 
-    def is_random(self, s: str) -> bool:
+    def score(self, s: str) -> float:
+        """Positive if *s* needs many tokens; minus its length if it is of a known form."""
         if s not in self.known:
             if len(self.known) >= REMEMBERED:
                 self.known.clear()
-            mixed = sum(bool(re.search(c, s)) for c in ("[a-z]", "[A-Z]", "[0-9]")) >= 2
-            self.known[s] = mixed and not _KNOWN.fullmatch(s) and len(s) < self.max_ratio * len(self.encoding.encode_ordinary(s))
+            self.known[s] = -len(s) if _KNOWN.fullmatch(s) else self.max_ratio * len(self.encoding.encode_ordinary(s)) - len(s)
         return self.known[s]
 
+    def is_random(self, s: str) -> bool:
+        return _mixed(s) and self.score(s) > 0
+
+    def random_spans(self, s: str, taken: list[tuple[int, int]]) -> list[tuple[int, int]]:
+        """(start, end) of random strings of one run, clear of the spans *taken*."""
+        if not _mixed(s) or _KNOWN.fullmatch(s):
+            return []
+
+        def is_found(b: int, e: int) -> bool:
+            return not any(x < e and b < y for x, y in taken) and self.is_random(s[b:e])
+
+        parts = [m.span() for m in _PART.finditer(s)]
+        scores = np.zeros(2 * len(parts))  # each part, then the separators after it
+        scores[::2] = [x if x > 0 or e - b < MIN_WORD else -self.max_ratio * len(s) for b, e in parts for x in [self.score(s[b:e])]]
+        scores[1:-1:2] = [e - b for (_, e), (b, _) in zip(parts, parts[1:], strict=False)]
+        out = []
+        for first, last, _ in segments(scores):
+            inside = parts[first // 2 : (last + 1) // 2]
+            begin, end = inside[0][0], inside[-1][1]
+            if end - begin >= MIN_LENGTH and (len(inside) == 1 or any(e - b >= MIN_PART and self.score(s[b:e]) > 0 for b, e in inside)) and is_found(begin, end):
+                out.append((begin, end))
+            elif len(inside) > 1:
+                out += [(b, e) for b, e in inside if e - b >= MIN_LENGTH and is_found(b, e)]
+        return out or ([(0, len(s))] if len(s) >= MIN_RUN and is_found(0, len(s)) else [])
+
     def spans(self, text: str | None) -> list[tuple[int, int, int]]:
         """(start, kind, end), sorted; kind is an index of KINDS."""
         if not text:
@@ -75,12 +116,13 @@ class Finder:
         if "AKIA" in text:
             out += [(m.start(), 1, m.end()) for m in _ACCESS.finditer(text)]
         out += [(m.start(), 2, m.end()) for m in _HEX.finditer(text)]
-        base, k, reach = sorted(out), 0, 0
+        base, k, near = sorted(out), 0, []
         for m in _STRING.finditer(text):
+            at = m.start()
+            near = [x for x in near if x[2] > at]
             while k < len(base) and base[k][0] < m.end():
-                reach, k = max(reach, base[k][2]), k + 1
-            if reach <= m.start() and self.is_random(m[0]):
-                out.append((m.start(), 3, m.end()))
+                near, k = near + [base[k]] * (base[k][2] > at), k + 1
+            out += [(at + b, 3, at + e) for b, e in self.random_spans(m[0], [(b - at, e - at) for b, _, e in near])]
         return sorted(out)
 
 
