@@ -48,6 +48,33 @@ def test_prior_alone():
     assert X.extract("<p>cut off <b>in a ta", w) == "cut off in a ta" and X.extract("<p>one<br>two<p>three", w) == "onetwo\n\nthree"
 
 
+#: What the given tables teach: tags of menus and adverts never stand in an article.
+LEARNED = X.Weights({"block:p": (50_000, 0), "block:h1": (2_000, 0), "tag:p": (2_000, 0), "tag:/p": (2_000, 0), "tag:h1": (500, 0), "tag:/h1": (500, 0),
+                     **{f"mark:{m}": (0, 5_000) for m in ("nav", "div.ad", "footer")},
+                     **{f"tag:{x}{t}": (0, 2_000) for t in ("div", "nav", "ul", "li", "a", "footer") for x in ("", "/")}})
+
+
+def test_long_adverts_do_not_part_an_article():
+    lead, close = "the lead of this short story has just a few words", "and so it ended"
+    for weights in (X.Weights({}), LEARNED):
+        for begin, end in (('<div class="newsletter">', "</div>"), ("<div class=ad>", "</div>"), ("<aside>", "</aside>"), ("<form>", "</form>"),
+                           ('<div class="share"><ul>', "</ul></div>")):
+            for n in (8, 40, 2_000):
+                advert = f"{begin}\n" + "<p>sign up <b>today</b> for our weekly mail</p>\n" * n + end
+                page = (f"<html><body><nav><ul><li><a href=/>Home page</a></ul></nav><article><h1>The head line</h1>{advert}<p>{lead}</p>{advert}{BODY}{advert}"
+                        f"<p>{close}</p></article><footer>{'about us and our terms ' * 30}</footer></body></html>")
+                assert X.extract(page, weights) == "\n\n".join(["The head line", lead, ("good words of the story & more " * 8).strip(), close])
+
+
+def test_landmark_costs():
+    page = X.Page("<p>one two</p><aside><p>" + "w " * 500 + "</p></aside><p>three</p><div class=ad></div>")
+    weights = X.Weights({})
+    scores = X.feature_scores(page, weights)
+    marked = [i for i, f in enumerate(page.features) if f[2] == "aside"]
+    assert len(marked) == 5 and scores[marked].tolist() == [-X.LANDMARK_COST, 0, 0, 0, 0]
+    assert scores[-2:].tolist() == [-X.LANDMARK_COST, 0]
+
+
 def test_rows(spark):
     rows = [(1, "u", None, "t"), (None, None, BODY, "t"), (2, "u", "", "t"), (2, "u", "", "t"), (3, "v", BODY * 3000, "t")]
     df = spark.createDataFrame(rows, "page_id long, url string, html string, text string")

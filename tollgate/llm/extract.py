@@ -3,8 +3,12 @@
 A page is a sequence of words and tags.  A word scores by the kind of block it
 stands in and by the landmark around it (nav, footer, aside, a div of class
 ``ad``), a tag by its name: words of an article are positive, words of menus
-negative, and tags negative, the more so the less they occur in articles.  One linear scan finds the contiguous run with the greatest
-sum; its blocks, without those in landmarks of negative weight, are the text.
+negative, and tags negative, the more so the less they occur in articles.  A
+landmark of negative weight, tags included, costs `LANDMARK_COST` at most (as a
+tag that tells nothing), so a long advert does not part an article from its lead
+or its close.  One linear
+scan finds the contiguous run with the greatest sum; its blocks, without those in
+landmarks of negative weight, are the text.
 
 Weights are log-odds of inside and outside, learned from labelled pages: pages
 that mark their main content themselves, with exactly one ``article`` or
@@ -23,6 +27,7 @@ import html as entities
 import math
 import re
 from collections import Counter
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +37,7 @@ from pyspark.sql import functions as F
 TRAIN_PAGES = 2_000
 CLIP = 4.0
 WORD_CLIP = 2.0
+LANDMARK_COST = math.log(2)
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|template|noscript|svg|iframe|object|select|textarea|button|title)\b[^>]*(?:>.*?(?:</\1\s*>|\Z)|\Z)|"
                     r"<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S | re.I)
 _NAME = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
@@ -55,7 +61,7 @@ class Page:
     """Words and tags of a page, in order: features of each, and the block that a word belongs to."""
 
     def __init__(self, html: str | None):
-        self.features: list[tuple] = []  # ("word", block, landmark, words) or ("tag", name)
+        self.features: list[tuple] = []  # ("word", block, landmark, words) or ("tag", name, landmark that it opens, closes or stands in)
         self.text: list[tuple[int, str, str] | None] = []  # (block number, raw text, landmark) of a run of words
         self.inside: list[bool] = []
         self.contents = 0
@@ -68,9 +74,10 @@ class Page:
             if not m[3]:
                 continue
             name = m[3].lower()
-            self.features.append(("tag", ("/" if m[2] else "") + name))
+            tag, before = ("/" if m[2] else "") + name, kind[1]
             self.text.append(None)
             if name not in BLOCKS:
+                self.features.append(("tag", tag, before))
                 self.inside.append(kind[2])
                 continue
             number += 1
@@ -94,6 +101,7 @@ class Page:
                     stack.append((name, mark, above[2] or name in CONTENT))
             kind = stack[-1] if stack else ("", "", False)
             kind = (kind[0] if kind[0] not in ("article", "main", "section", "div", "body", "html") else "", kind[1], kind[2])
+            self.features.append(("tag", tag, before or kind[1]))
             self.inside.append(kind[2])
         self._words(html[at:], number, kind)
 
@@ -144,10 +152,23 @@ def best_run(scores: np.ndarray) -> tuple[int, int]:
     return int(np.argmax(total[: end + 1] <= least)), end
 
 
+def feature_scores(page: Page, weights: Weights) -> np.ndarray:
+    """Score of each feature; a landmark of negative weight has its whole cost at its first."""
+    scores = np.array([f[3] * weights.word(f[1], f[2]) if f[0] == "word" else weights.tag(f[1]) for f in page.features], float)
+    at = 0
+    for landmark, block in groupby(f[2] for f in page.features):
+        end = at + sum(1 for _ in block)
+        if weights.mark(landmark) < 0:
+            cost = max(-LANDMARK_COST, float(scores[at:end].sum()))
+            scores[at:end] = 0.0
+            scores[at] = cost
+        at = end
+    return scores
+
+
 def extract(html: str | None, weights: Weights) -> str:
     page = Page(html)
-    scores = np.array([f[3] * weights.word(f[1], f[2]) if f[0] == "word" else weights.tag(f[1]) for f in page.features], float)
-    begin, end = best_run(scores)
+    begin, end = best_run(feature_scores(page, weights))
     parts: list[str] = []
     last = None
     for entry in page.text[begin:end]:
