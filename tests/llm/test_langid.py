@@ -28,6 +28,16 @@ def test_grams_and_kernel():
     assert np.isclose(L.kernel_rows([sa], grams, columns, np.array([len(sb)]))[0, 0], len(x & y) / np.sqrt(len(x) * len(y)))
 
 
+def test_letters_beyond_the_basic_plane():
+    assert L.gram_set("\U0001F600\U0001F601 \U0001F4A9\U0001F44D\U0001F3FD \U0001D7D8").size == 0
+    for t in ("x\U0001F600y", "\U00010400\U00010401 \U00020000", "\U0001F600 the dog \U0001F600"):
+        assert len(L.gram_set(t)) == len(plain_grams(t)), t
+    assert L.gram_set("the \U0001F600 dog \U0001F600").tolist() == L.gram_set("the dog").tolist()
+    model = L.fit_sets({"en": [L.gram_set("the cat and the dog walk")], "de": [L.gram_set("der Hund und die Katze gehen")]})
+    assert L.predict(model, ["\U0001F600\U0001F601 \U0001F4A9", "the dog \U0001F600"])[0] == ["und", "en"]
+    assert L.predict(model, ["\U0001F600"])[1] == [0.0]
+
+
 def test_held_out(spark):
     rows = op1_language_id(spark, SF).collect()
     lang = {r.doc_id: r.lang for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}

@@ -52,15 +52,15 @@ class Model:
 
 @cache
 def _letter_table() -> np.ndarray:
-    """Whether each code point is a letter (those beyond the Basic Multilingual Plane count as one)."""
-    return np.array([chr(i).isalpha() for i in range(0x10000)])
+    """Whether each code point is a letter."""
+    return np.fromiter((chr(i).isalpha() for i in range(0x110000)), bool, 0x110000)
 
 
 def gram_set(text: str | None) -> np.ndarray:
     """Sorted distinct n-grams of the lower-cased letters, with one mark for each gap between words; empty without
     letters.  Three code points of 21 bits fill an integer."""
     c = np.frombuffer((text or "").lower().encode("utf-32-le", "replace"), np.uint32).astype(np.int64)
-    letter = _letter_table()[np.minimum(c, 0xFFFF)] | (c > 0xFFFF)
+    letter = _letter_table()[c]
     if not letter.any():
         return np.empty(0, np.int64)
     c = np.r_[1, np.where(letter, c, 1), 1]
