@@ -6,13 +6,15 @@ the next stage's docs, so an executor lost in one stage never costs another.
 All stages but the last keep the columns of ``documents``.
 
 1. toxicity: documents that score `toxicity.THRESHOLD` or more go.
-2. near_duplicates: of each group linked by 5-word shingles at Jaccard 0.8, the document with the least id stays.
+2. near_duplicates: of each group linked by 5-word shingles at Jaccard 0.8, one row stays, of the least id.
 3. decontamination: documents that hold a benchmark item go.
 4. secrets: documents that hold a secret go, of the fixed patterns or found by token efficiency.
 5. packing: what is left becomes pieces of sequences of at most 2,048 tokens, with their ids.
 
-Rows with a null id pass stages 2 and 3, which are about ids; null and empty
-texts pass every filter and are one end token in the last.
+Every row is judged by itself: stages 2 and 3 give each a key, written with the
+row, and search and remove by that, so rows with a null or repeated id are treated
+as any other (null ids come last in a group).  Null and empty texts pass every
+filter and are one end token in the last.
 """
 from __future__ import annotations
 
@@ -20,19 +22,33 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tollgate.llm import decontaminate, ngram_join, packing, secrets, toxicity
+from tollgate.llm.bitmap import without
 from tollgate.llm.storage import settle, table
 
+ROW = "_row_key"
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """*docs* with a key of each row; written, so that it stays the same whenever a task is run again."""
+    return settle(docs.withColumn(ROW, F.monotonically_increasing_id()), "keyed")
+
 
 def remove_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.keep_clean(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
 def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return ngram_join.keep_one(docs)
+    rows = _keyed(docs)
+    found = settle(ngram_join.near_duplicates(rows, ROW).select(ROW, "component_id"), "row-groups")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", ROW)
+    least = found.join(rows.select(ROW, "doc_id"), ROW).groupBy("component_id").agg(F.min_by(ROW, order).alias("least"))
+    swapped = settle(least.where("least != component_id"), "swapped")  # groups whose least id is not that of the least key
+    gone = found.where(F.col(ROW) != F.col("component_id")).select(ROW).join(swapped.select(F.col("least").alias(ROW)), ROW, "left_anti")
+    return without(rows, ROW, gone.union(swapped.select("component_id"))).drop(ROW)
 
 
 def remove_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+    return decontaminate.decontaminate(_keyed(docs), table(spark, sf_dir, "benchmark"), ROW).drop(ROW)
 
 
 def remove_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

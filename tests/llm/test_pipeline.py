@@ -51,3 +51,17 @@ def test_odd_documents(spark):
             if name == "secrets":
                 assert some.where("text LIKE 'token%'").count() == 0
     assert some.count() == 0
+
+
+def test_rows_without_an_own_id(spark):
+    item, second = (r.text for r in table(spark, SF, "benchmark").orderBy("item_id").limit(2).collect())
+    copy, other = "some text that is there several times in this table of documents", "a clean text that shares its id with another row"
+    rows = [(9, copy), (None, copy), (4, copy), (4, copy), (None, copy + " "), (7, f"before {item} after"), (7, other), (None, f"and {second} too"), (None, "a clean text of no id")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    stages = dict(P.STAGES)
+    kept = settle(stages["near_duplicates"](spark, docs, SF), "test-stage")
+    assert kept.columns == docs.columns and [(r.doc_id, r.text) for r in kept.where(F.trim("text") == copy).collect()] == [(4, copy)]
+    assert kept.count() == 5
+    clean = stages["decontamination"](spark, kept, SF)
+    assert clean.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in clean.collect()), key=str) == sorted([(4, copy), (7, other), (None, "a clean text of no id")], key=str)
