@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tollgate.llm import decontaminate, embed_dedup, extract, langid, ngram_join, packing, secrets, token_count, toxicity, warc
+from tollgate.llm import best_fit, decontaminate, embed_dedup, extract, langid, ngram_join, packing, secrets, token_count, toxicity, warc
 from tollgate.llm.storage import settle, table
 
 
@@ -66,8 +66,14 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count_tokens(table(spark, sf_dir, "documents"))
 
 
+def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = best_fit.pieces(table(spark, sf_dir, "documents")).select(
+        "doc_id", "piece", "start", (F.octet_length("ids") / 4).cast("long").alias("length"), F.crc32("ids").alias("ids_crc32"))
+    return best_fit.place(best_fit.keyed(pieces)).drop("key")
+
+
 QUERIES = {f.__name__: f for f in (op1_language_id, op2_decontaminate, op3_html_extraction, op4_ngram_jaccard_join, op5_warc, op6_secrets,
-                                   op7_toxicity, op8_embedding_dedup, op9_packing, op10_token_counts)}
+                                   op7_toxicity, op8_embedding_dedup, op9_packing, op10_token_counts, op11_best_fit_packing)}
 
 #: None here: positions, tokenizers, kernels and graph closures are beyond one SQL text; the tests hold them against brute force.
 ORACLE: dict[str, str] = {}
