@@ -3,73 +3,66 @@
 Such a vocabulary joins a space to the word after it, so a pre-token begins at
 every space that stands before something other than white space.  A text is cut
 there and the ids of each run are remembered; a new run is put together from its
-pre-tokens, which are remembered too and come from the library's own model.
-Texts with a space before white space or at their end, runs of other than Latin
-letters and runs with strings of special tokens go through the library whole.
+pre-tokens, whose ids come from the library's own model.  Texts with a space
+before white space or at their end, with other than Latin letters or with strings
+of special tokens go through the library whole.
 """
 from __future__ import annotations
 
 import re
+import struct
 from functools import cache
 
-import numpy as np
-
 from tollgate.llm.token_count import LATIN, PRE_TOKEN_LATIN
 from tollgate.llm.vocabulary import byte_letters, load_tokenizer
 
 _LOOSE = re.compile(r"\x20(?:\s|\Z)")
-_KEEP_CHARS = 64  # longer runs and pre-tokens are not remembered
-
-
-class _Remembered(dict):
-    """key -> ids as bytes, made by *make*; forgets everything when *limit* keys are held."""
+_KEEP_CHARS = 64  # longer runs are not remembered
 
-    def __init__(self, make, limit: int):
-        super().__init__()
-        self.make, self.limit = make, limit
 
-    def __missing__(self, key: str) -> bytes:
-        ids = self.make(key)
-        if len(key) <= _KEEP_CHARS:
-            if len(self) >= self.limit:
-                self.clear()
-            self[key] = ids
-        return ids
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
-class ByteIds:
-    """Strings of special tokens are one id each, as in the library's default.  Holds at most *limit* runs and twice as
-    many pre-tokens."""
+class ByteIds(dict):
+    """run -> ids of it with a space before, as bytes; forgets everything when *limit* runs are held.  Strings of special
+    tokens are one id each, as in the library's default."""
 
-    def __init__(self, name: str, limit: int = 250_000):
-        self.tokenizer = load_tokenizer(name)
+    def __init__(self, name: str, limit: int = 500_000):
+        super().__init__()
+        self.tokenizer, self.limit = load_tokenizer(name), limit
         self.model = self.tokenizer.model
         self.letters = {b: c for b, c in byte_letters().items() if chr(b) != c}
+        self.space = self.letters[0x20]
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.latin, self.split = re.compile(LATIN), re.compile(PRE_TOKEN_LATIN)
-        self.pre_tokens, self.runs = _Remembered(self._pre_token, 2 * limit), _Remembered(self._run, limit)
 
     def _whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def _pre_token(self, piece: str) -> bytes:
         mapped = piece.encode().decode("latin-1").translate(self.letters)
-        return np.array([t.id for t in self.model.tokenize(mapped)], "<u4").tobytes()
-
-    def _run(self, run: str) -> bytes:
-        run = " " + run
-        if not self.latin.fullmatch(run) or any(s in run for s in self.special):
-            return self._whole(run)
-        return b"".join(map(self.pre_tokens.__getitem__, self.split.findall(run)))
+        return _packed([t.id for t in self.model.tokenize(mapped)])
+
+    def __missing__(self, run: str) -> bytes:
+        if run.isalpha():
+            ids = _packed([t.id for t in self.model.tokenize(self.space + run)]) if run.isascii() else self._pre_token(" " + run)
+        else:
+            ids = b"".join([self[x[1:]] if x[0] == " " and x[1:].isalpha() else self._pre_token(x) for x in self.split.findall(" " + run)])
+        if len(run) <= _KEEP_CHARS:
+            if len(self) >= self.limit:
+                self.clear()
+            self[run] = ids
+        return ids
 
     def of(self, text: str | None) -> bytes:
         """Little-endian unsigned 32-bit ids, without added special tokens; empty for null."""
         if not text:
             return b""
-        if _LOOSE.search(text):
+        if _LOOSE.search(text) or not self.latin.fullmatch(text) or any(s in text for s in self.special):
             return self._whole(text)
         first, *rest = text.split(" ")
-        return (self._whole(first) if first else b"") + b"".join(map(self.runs.__getitem__, rest))
+        return (self._whole(first) if first else b"") + b"".join(map(self.__getitem__, rest))
 
 
 @cache

@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tollgate.llm import best_fit, decontaminate, embed_dedup, extract, langid, ngram_join, packing, secrets, token_count, toxicity, warc
+from tollgate.llm import best_fit, decontaminate, embed_dedup, extract, hard_negatives, langid, ngram_join, packing, secrets, token_count, toxicity, warc
 from tollgate.llm.storage import settle, table
 
 
@@ -72,8 +72,34 @@ def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit.place(best_fit.keyed(pieces)).drop("key")
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_decontaminate, op3_html_extraction, op4_ngram_jaccard_join, op5_warc, op6_secrets,
-                                   op7_toxicity, op8_embedding_dedup, op9_packing, op10_token_counts, op11_best_fit_packing)}
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    noisy = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(vectors.withColumn("label", noisy), F.col("id") % 100 == 0)
+
 
-#: None here: positions, tokenizers, kernels and graph closures are beyond one SQL text; the tests hold them against brute force.
-ORACLE: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_decontaminate, op3_html_extraction, op4_ngram_jaccard_join, op5_warc, op6_secrets,
+                                   op7_toxicity, op8_embedding_dedup, op9_packing, op10_token_counts, op11_best_fit_packing,
+                                   op12_hard_negatives)}
+
+#: Positions, tokenizers and learned models are beyond one SQL text; the tests hold those operators against brute force.
+ORACLE: dict[str, str] = {
+    "op12_hard_negatives": """
+WITH vectors AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same, CAST(list_inner_product(a.v, r.v) AS BIGINT) AS score
+  FROM vectors a JOIN vectors r ON a.vec_id <> r.vec_id WHERE a.vec_id % 100 = 0),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER best AS INTEGER) AS "rank", n.vec_id AS negative_id, positive_score, n.score AS negative_score
+FROM positives p JOIN scored n USING (anchor_id)
+WHERE NOT n.same AND 80 * positive_score <= 100 * n.score AND 100 * n.score <= 100 * positive_score
+WINDOW best AS (PARTITION BY anchor_id, positive_id ORDER BY n.score DESC, n.vec_id)
+QUALIFY row_number() OVER best <= 5""",
+}
