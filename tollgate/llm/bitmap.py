@@ -28,8 +28,8 @@ def bitmap_of(df: DataFrame, column: str, bits: int = BITS) -> np.ndarray:
 
     rows = df.select(F.col(column).cast("long").alias("v")).mapInArrow(words, "w int, b long").groupBy("w").agg(F.bit_or("b").alias("b"))
     out = np.zeros(bits // 64, np.int64)
-    for r in rows.collect():  # at most bits / 64 rows
-        out[r.w] = r.b
+    found = rows.toArrow()  # at most bits / 64 rows
+    out[np.asarray(found.column("w"))] = np.asarray(found.column("b"))
     return out.view(U64)
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tollgate.llm import best_fit, decontaminate, embed_dedup, extract, hard_negatives, langid, ngram_join, packing, secrets, token_count, toxicity, warc
+from tollgate.llm import best_fit, decontaminate, embed_dedup, extract, hard_negatives, langid, ngram_join, packing, phrases, secrets, token_count, toxicity, warc
 from tollgate.llm.storage import settle, table
 
 
@@ -78,9 +78,13 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.mine(vectors.withColumn("label", noisy), F.col("id") % 100 == 0)
 
 
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.mine(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (op1_language_id, op2_decontaminate, op3_html_extraction, op4_ngram_jaccard_join, op5_warc, op6_secrets,
                                    op7_toxicity, op8_embedding_dedup, op9_packing, op10_token_counts, op11_best_fit_packing,
-                                   op12_hard_negatives)}
+                                   op12_hard_negatives, op13_phrases)}
 
 #: Positions, tokenizers and learned models are beyond one SQL text; the tests hold those operators against brute force.
 ORACLE: dict[str, str] = {
@@ -102,4 +106,28 @@ FROM positives p JOIN scored n USING (anchor_id)
 WHERE NOT n.same AND 80 * positive_score <= 100 * n.score AND 100 * n.score <= 100 * positive_score
 WINDOW best AS (PARTITION BY anchor_id, positive_id ORDER BY n.score DESC, n.vec_id)
 QUALIFY row_number() OVER best <= 5""",
+    "op13_phrases": r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents WHERE text IS NOT NULL),
+listed AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+placed AS (SELECT lang, w, unnest(generate_series(1, len(w))) AS i FROM listed WHERE len(w) > 0),
+grams AS (SELECT lang, k, array_to_string(w[i : i + k - 1], ' ') AS phrase FROM placed, (SELECT unnest([1, 2, 3, 4, 5]) AS k) WHERE i + k - 1 <= len(w)),
+counted AS (SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY ALL),
+totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM counted WHERE k = 1 GROUP BY lang),
+candidates AS (SELECT lang, k, phrase, f AS a FROM counted WHERE k > 1 AND f >= 100),
+kept AS (
+  SELECT * FROM candidates c WHERE NOT EXISTS (
+    SELECT 1 FROM candidates o WHERE o.lang = c.lang AND o.k > c.k AND o.a >= c.a AND contains(' ' || o.phrase || ' ', ' ' || c.phrase || ' '))),
+cuts AS (
+  SELECT c.*, j, array_to_string(string_split(phrase, ' ')[1 : j], ' ') AS head, array_to_string(string_split(phrase, ' ')[j + 1 :], ' ') AS tail
+  FROM kept c, (SELECT unnest([1, 2, 3, 4]) AS j) WHERE j < k),
+scored AS (
+  SELECT c.lang, c.phrase, c.a, x.f AS l, y.f AS r, t.n, CAST(CAST(1000 AS HUGEINT) * c.a * t.n // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score
+  FROM cuts c JOIN counted x ON x.lang = c.lang AND x.phrase = c.head JOIN counted y ON y.lang = c.lang AND y.phrase = c.tail JOIN totals t ON t.lang = c.lang
+  QUALIFY row_number() OVER (PARTITION BY c.lang, c.phrase ORDER BY CAST(1000 AS HUGEINT) * c.a * t.n // (CAST(x.f AS HUGEINT) * y.f), j) = 1)
+SELECT lang, row_number() OVER best AS "rank", phrase, a, l, r, n, score FROM scored
+WINDOW best AS (PARTITION BY lang ORDER BY score DESC, a DESC, phrase)
+QUALIFY row_number() OVER best <= 2000""",
 }
