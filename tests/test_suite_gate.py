@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from tollgate.plans import expectations as EX
@@ -58,7 +59,7 @@ def test_unique_relationship_and_unexpected_rows(spark, bronze_parts, bronze_sup
 def test_empty_suite_and_no_row_checks(spark, bronze_parts):
     res = S.run_suite(bronze_parts, [], "parts", "bronze")
     assert res.columns == S.RESULT_COLUMNS and res.count() == 0
-    rows = S.unexpected_rows(bronze_parts, [S.Check("unique", "part_id")], ["part_id"])
+    rows = S.unexpected_rows(bronze_parts, [S.Check("unique", "part_id"), S.Check("row_count", None, {"min": 99})], ["part_id"])
     assert rows.columns == ["part_id", "rule", "column_name", "value"] and rows.count() == 0
 
 
@@ -78,3 +79,34 @@ def test_budget_of_distinct_bad_values(spark):
     assert (row["total_rows"], row["evaluated_rows"], row["failing_rows"], row["passed"]) == (6, 5, 1, True)
     padded = spark.createDataFrame([(" a",), ("b\t",), ("c d",), (None,)], "v string")
     assert S.run_suite(padded, [S.Check("not_padded", "v")]).first()["failing_rows"] == 2
+
+
+def test_key_checks_share_one_scan_and_one_shuffle(spark, bronze_parts, bronze_suppliers):
+    checks = [S.Check("unique", "part_id"), S.Check("unique_values", "part_number"), S.Check("bad_values", "unit_of_measure", {"values": ["EA"]}),
+              S.Check("unique", "part_name"), S.Check("unique", "gone", name="gone")]
+    plan = S.run_suite(bronze_parts, checks)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan ExistingRDD") == 1 and plan.count("Exchange hashpartitioning") == 1
+    res = {r["rule"]: r for r in S.run_suite(bronze_parts, checks).collect()}
+    assert len(res) == 4 and not res["gone"]["passed"] and res["gone"]["total_rows"] == 10
+    checks.append(S.Check("relationship", "supplier_id", {"parent": bronze_suppliers}))
+    plan = S.run_suite(bronze_parts, checks)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("part_id#") and plan.count("Generate") == 2  # the table's pairs, the result rows
+    with pytest.raises(ValueError, match="unknown kinds"):
+        S.run_suite(bronze_parts, [S.Check("uniqe", "part_id")])
+
+
+def test_rows_of_shuffled_checks(spark):
+    rows = [(i, "hot" if i % 3 == 0 else f"v{i}", i % 7, float(i % 5) * (-1 if i == 5 else 1)) for i in range(300)] + [(300, None, None, None), (7, "x", 1, 0.5)]
+    df = spark.createDataFrame(rows, "id int, v string, fk int, x double")
+    parent = spark.createDataFrame([(k,) for k in (0, 1, 2, 2, 4)] + [(None,)], "pk long")
+    checks = [S.Check("unique", "v"), S.Check("unique_values", "id"), S.Check("relationship", "fk", {"parent": parent, "pk": "pk"}),
+              S.Check("bad_values", "fk", {"values": [0, 1, 2, 3, 4, 5]}), S.Check("not_null", "v"), S.Check("unique", "gone")]
+    got = sorted((r.id, r.rule, r.value) for r in S.unexpected_rows(df, checks, ["id"]).collect())
+    want = [(i, "unique", "hot") for i in range(0, 300, 3)] + [(7, "unique_values", "7")] * 2 + [(300, "not_null", None)]
+    want += [(i, "relationship", str(fk)) for i, _, fk, _ in rows if fk in (3, 5, 6)] + [(i, "bad_values", "6") for i, _, fk, _ in rows if fk == 6]
+    assert got == sorted(want)
+    counted = {r["rule"]: r["failing_rows"] for r in S.run_suite(df, checks[:4]).collect()}
+    assert counted == {"unique": 100, "unique_values": 1, "relationship": sum(fk in (3, 5, 6) for *_, fk, _ in rows), "bad_values": 1}
+    zeros = spark.createDataFrame([(0.0, bytes([255]), [1]), (-0.0, bytes([254]), [1]), (1.5, None, None)], "x double, b binary, a array<int>")
+    res = {r["column_name"]: r["failing_rows"] for r in S.run_suite(zeros, [S.Check("unique", c) for c in "xba"]).collect()}
+    assert res == {"x": 2, "b": 0, "a": 2}

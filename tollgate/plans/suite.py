@@ -3,9 +3,9 @@
 A suite is a list of ``Check`` specs.  Every per-row check contributes two
 aggregate expressions (rows evaluated, rows failing) to a single ``agg`` over
 the table — N checks, one scan, one tiny partial-aggregate shuffle.  Checks
-that need a shuffle on their own key (uniqueness, foreign keys) run as their
-own aggregate / anti-join and are unioned in.  Schema checks are decided on
-the driver from the schema alone.  The result is a lazy DataFrame with one row
+that need a shuffle (uniqueness, distinct values, foreign keys) share one too
+(``plans.keyed``).  Schema checks are decided on the driver from the schema
+alone.  The result is a lazy DataFrame with one row
 per check; nothing is collected unless the caller asks for the verdict.
 """
 from __future__ import annotations
@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.metrics import count_if
+from . import keyed
 
 RESULT_COLUMNS = [
     "layer", "table_name", "rule", "column_name", "severity", "total_rows", "evaluated_rows", "failing_rows",
@@ -26,7 +27,7 @@ RESULT_COLUMNS = [
 ]
 
 ROW_KINDS = {"not_null", "in_set", "between", "match_regex", "strftime", "expression", "not_empty", "not_padded", "null_rate"}
-SHUFFLE_KINDS = {"unique", "unique_values", "relationship", "bad_values"}
+SHUFFLE_KINDS = keyed.KEY_KINDS
 SCHEMA_KINDS = {"columns_match", "required_columns"}
 
 
@@ -181,53 +182,29 @@ def _fused(df: DataFrame, checks: Sequence[Check], layer: str, table: str) -> Da
     return one.selectExpr(f"explode(array({', '.join(rows)})) AS __r").select("__r.*")
 
 
-def _shuffle_check(df: DataFrame, ch: Check, layer: str, table: str) -> DataFrame:
-    if ch.column not in df.columns:
-        return df.selectExpr("count(1) AS __t").selectExpr(f"{_row_sql(ch, layer, table, '__t', '0', '1', missing=True)} AS r").select("r.*")
-    if ch.kind == "bad_values":
-        # distinct values outside the set: per-value counts, then one tiny aggregate
-        groups = df.groupBy(F.col(ch.column).cast("string").alias("__v")).agg(F.count(F.lit(1)).alias("n"))
-        bad = F.col("__v").isNotNull() & ~F.col("__v").isin(*ch.params["values"])
-        stats = groups.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("__t"),
-                           F.coalesce(F.sum(F.when(F.col("__v").isNotNull(), F.col("n"))), F.lit(0)).alias("__ev"), count_if(bad).alias("__bad"))
-        return stats.selectExpr(f"{_row_sql(ch, layer, table, '__t', '__ev', '__bad')} AS r").select("r.*")
-    c = F.col(ch.column)
-    if ch.kind in ("unique", "unique_values"):
-        # One shuffle: per-value counts (combined map-side, so a hot value costs
-        # one row per task), then one tiny global aggregate for all three numbers.
-        groups = df.groupBy(c.alias("__v")).agg(F.count(F.lit(1)).alias("n"))
-        present = F.col("__v").isNotNull()
-        dup = present & (F.col("n") > 1)
-        failing = F.sum(F.when(dup, F.col("n")).otherwise(0)) if ch.kind == "unique" else count_if(dup)
-        stats = groups.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("__t"),
-                           F.coalesce(F.sum(F.when(present, F.col("n")).otherwise(0)), F.lit(0)).alias("__ev"),
-                           F.coalesce(failing, F.lit(0)).alias("__bad"))
-        return stats.selectExpr(f"{_row_sql(ch, layer, table, '__t', '__ev', '__bad')} AS r").select("r.*")
-    if ch.kind == "relationship":
-        # Counts only: reduce the child to (key, rows) first — a hot key becomes
-        # one row map-side — then both join inputs hold each key once.
-        parent: DataFrame = ch.params["parent"]
-        pk = ch.params.get("pk", ch.column)
-        keys = parent.select(F.col(pk).alias("__pk")).dropna().distinct().withColumn("__hit", F.lit(True))
-        per_key = df.groupBy(c.alias("__fk")).agg(F.count(F.lit(1)).alias("__n"))
-        joined = per_key.join(keys, per_key["__fk"] == keys["__pk"], "left")
-        present = F.col("__fk").isNotNull()
-        stats = joined.agg(F.coalesce(F.sum("__n"), F.lit(0)).alias("__t"),
-                           F.coalesce(F.sum(F.when(present, F.col("__n")).otherwise(0)), F.lit(0)).alias("__ev"),
-                           F.coalesce(F.sum(F.when(present & F.col("__hit").isNull(), F.col("__n")).otherwise(0)), F.lit(0)).alias("__bad"))
-        return stats.selectExpr(f"{_row_sql(ch, layer, table, '__t', '__ev', '__bad')} AS r").select("r.*")
-    raise ValueError(ch.kind)
+def _keyed(df: DataFrame, checks: Sequence[Check], layer: str, table: str) -> DataFrame:
+    """All checks that need a shuffle, from one scan and one shuffle of (check, value) counts."""
+    here = [ch for ch in checks if ch.column in df.columns]
+    rows = [_row_sql(ch, layer, table, f"__t{i}", f"__e{i}", f"__f{i}") for i, ch in enumerate(here)]
+    gone = [_row_sql(ch, layer, table, "__total", "0", "1", missing=True) for ch in checks if ch.column not in df.columns]
+    if not here:
+        return df.selectExpr("count(1) AS __total").selectExpr(f"explode(array({', '.join(gone)})) AS __r").select("__r.*")
+    one = keyed.key_stats(df, here, q, lit_sql).withColumn("__total", F.col("__t0"))  # every row has a pair of the first check
+    return one.selectExpr(f"explode(array({', '.join(rows + gone)})) AS __r").select("__r.*")
 
 
 def run_suite(df: DataFrame, checks: Sequence[Check], table: str = "table", layer: str = "bronze") -> DataFrame:
-    """One result row per check (lazy).  Per-row checks share one table scan."""
+    """One result row per check (lazy).  Per-row checks share one table scan, checks that need a shuffle another."""
+    unknown = {ch.kind for ch in checks} - ROW_KINDS - SHUFFLE_KINDS - SCHEMA_KINDS - {"row_count"}
+    if unknown:
+        raise ValueError(f"unknown kinds of check: {sorted(unknown)}")
     parts = []
     fused = _fused(df, checks, layer, table)
     if fused is not None:
         parts.append(fused)
-    for ch in checks:
-        if ch.kind in SHUFFLE_KINDS:
-            parts.append(_shuffle_check(df, ch, layer, table))
+    shuffled = [ch for ch in checks if ch.kind in SHUFFLE_KINDS]
+    if shuffled:
+        parts.append(_keyed(df, shuffled, layer, table))
     if not parts:  # an empty suite: no result rows, same schema
         empty = Check("row_count", None, {"min": None, "max": None})
         return _fused(df, [empty], layer, table).filter(F.lit(False)).select(*RESULT_COLUMNS)
@@ -248,21 +225,27 @@ def verdict(violations: DataFrame, rule: str, table: str, layer: str, column: st
 
 
 def unexpected_rows(df: DataFrame, checks: Sequence[Check], key_cols: Sequence[str]) -> DataFrame:
-    """Violating rows (keys, rule, column, value) for every per-row check, lazily,
-    in one scan — the ``include_unexpected_rows`` option, never collected by default."""
+    """Violating rows (keys, rule, column, value) of every check of rows, never collected by default (the
+    ``include_unexpected_rows`` option): lazily in one scan for per-row checks; checks that need a shuffle first write
+    their failing values (see ``plans.keyed``).  Checks of the whole table (row count, columns) have no rows."""
     dtypes = dict(df.dtypes)
+    shuffled = [ch for ch in checks if ch.kind in SHUFFLE_KINDS - {"bad_values"} and ch.column in dtypes]
     arms = []
     for ch in checks:
-        if ch.kind not in ROW_KINDS or (ch.column and ch.column not in dtypes):
+        if ch.kind not in ROW_KINDS | {"bad_values"} or (ch.column and ch.column not in dtypes):
             continue
-        ev, bad = row_condition_sql(ch, dtypes)
+        if ch.kind == "bad_values":  # each row shows it
+            ev, bad = f"{q(ch.column)} IS NOT NULL", keyed.failing(ch, keyed.key_text(q(ch.column), dtypes[ch.column]), lit_sql)
+        else:
+            ev, bad = row_condition_sql(ch, dtypes)
         val = f"CAST({q(ch.column)} AS STRING)" if ch.column else "CAST(NULL AS STRING)"
         arms.append(f"CASE WHEN coalesce(({ev}) AND ({bad}), false) THEN named_struct('rule', {lit_sql(ch.rule)}, "
                     f"'column_name', CAST({lit_sql(ch.column)} AS STRING), 'value', {val}) END")
     if not arms:
         arms = ["CAST(NULL AS STRUCT<rule: STRING, column_name: STRING, value: STRING>)"]
     out = df.selectExpr(*[q(k) for k in key_cols], f"explode(array({', '.join(arms)})) AS __u").filter("__u IS NOT NULL")
-    return out.select(*key_cols, "__u.rule", "__u.column_name", "__u.value")
+    out = out.select(*key_cols, "__u.rule", "__u.column_name", "__u.value")
+    return out.unionByName(keyed.failing_rows(df, shuffled, key_cols, q, lit_sql)) if shuffled else out
 
 
 def run_gate(results: DataFrame) -> DataFrame:
