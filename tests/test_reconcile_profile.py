@@ -1,5 +1,6 @@
 import numpy as np
 import pandas as pd
+import pytest
 
 from tollgate.operators import profile as P
 from tollgate.operators import reconcile as R
@@ -94,3 +95,44 @@ def test_empty_and_zero_inputs_do_not_raise_under_ansi(spark):
     assert all(r["null_rate_pct"] is None and r["dq_status"] == "PASS" for r in rows)
     flat = spark.createDataFrame([(i, 2.0) for i in range(6)], "k int, v double")
     assert P.zscore_outliers(flat, "k", "v").count() == 0
+
+
+def test_order_statistics_equal_numpy(spark):
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    from tollgate.operators import profile as P
+
+    rng = np.random.default_rng(2)
+    places = [0.0, 0.1, 0.25, 0.5, 0.75, 1.0]
+    for x in (rng.standard_normal(5001), np.r_[np.full(4000, 7.0), rng.random(2000)], np.array([3.0]), np.array([0.0, -0.0, 1.0, 1.0]), np.arange(8.0)):
+        df = spark.createDataFrame([(float(v),) for v in x], "value double").repartition(4)
+        n, got = P.order_statistics(df, places)
+        assert n == len(x) and np.allclose(got, np.quantile(x, places), rtol=1e-12, atol=1e-12)
+    empty = spark.createDataFrame([], "value double")
+    assert P.order_statistics(empty, places) == (0, [None] * 6)
+    assert P.iqr_bounds(empty.withColumn("k", F.lit(1)), "k", "value").collect() == []
+    odd = spark.createDataFrame([(str(i), v) for i, v in enumerate(["1", "2", "3", "4", "999", "nan", "x", None])], "k string, v string")
+    assert [r.k for r in P.iqr_bounds(odd, "k", "v").collect()] == ["4"]
+
+
+def test_quartiles_sort_only_the_ranges_that_hold_them(spark):
+    from pyspark.sql import functions as F
+
+    from tollgate.operators import profile as P
+
+    df = spark.range(200_000).select((F.xxhash64("id") % 1_000_003).cast("double").alias("value"))
+    seen = []
+    collect = type(df).collect
+
+    def spy(self):
+        rows = collect(self)
+        seen.append((self.columns, len(rows)))
+        return rows
+
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(type(df), "collect", spy)
+        n, (low, high) = P.order_statistics(df, [0.25, 0.75])
+    exact = df.agg(F.percentile("value", [0.25, 0.75])).first()[0]
+    assert n == 200_000 and [low, high] == pytest.approx(exact)
+    assert max(rows for _, rows in seen) <= int(spark.conf.get("spark.sql.shuffle.partitions"))  # totals of ranges, then four rows

@@ -6,10 +6,14 @@ never cross-joined and no window runs without a partition.
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import to_number
+from ..session import shared_path
 from ._common import keys_of, require
 from .consistency import as_of_ts, lenient_timestamp
 
@@ -30,24 +34,65 @@ def zscore_outliers(df: DataFrame, key_cols, column: str, threshold: float = 3.0
     return num.filter(ok & (F.abs(z) > F.lit(float(threshold)))).select(*keys_of(key_cols), "value", F.round(z, 3).alias("zscore"))
 
 
+def order_statistics(values: DataFrame, places: Sequence[float]) -> tuple[int, list[float | None]]:
+    """(n, values at the given shares of the way from the least to the greatest) of the column ``value``, exactly and with
+    linear interpolation, as pandas gives them.
+
+    Rows are reduced to counts per value, so a value that many rows hold is one row a task.  The counts are dealt by
+    range of value and written; the driver sees one total per range, finds the ranges that hold the wanted ranks, and
+    only those are sorted.  No task holds more than one range of the distinct values.
+    """
+    spark = values.sparkSession
+    path = shared_path(spark, "value-counts", uuid.uuid4().hex)
+    # +0.0: -0.0 and 0.0 are one value
+    counts = values.select((F.col("value") + F.lit(0.0)).alias("value")).groupBy("value").agg(F.count(F.lit(1)).alias("rows"))
+    counts.repartitionByRange("value").withColumn("part", F.spark_partition_id()).write.parquet(path)
+    counts = spark.read.schema("value double, rows long, part int").parquet(path)
+    totals = counts.groupBy("part").agg(F.sum("rows").alias("rows"), F.min("value").alias("first")).orderBy("first").collect()
+    n = sum(t.rows for t in totals)
+    if not n:
+        return 0, [None for _ in places]
+    at = [share * (n - 1) for share in places]
+    ranks = sorted({int(x) for x in at} | {min(int(x) + 1, n - 1) for x in at})
+    before, wanted = 0, []  # (range, ranks within it)
+    for t in totals:
+        inside = [r - before for r in ranks if before <= r < before + t.rows]
+        wanted += [(t.part, inside, before)] if inside else []
+        before += t.rows
+    found = {}
+    running = Window.partitionBy("part").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    sums = counts.where(F.col("part").isin([p for p, _, _ in wanted])).withColumn("upto", F.sum("rows").over(running))
+    hits = [((F.col("part") == p) & (F.col("upto") > r) & (F.col("upto") - F.col("rows") <= r), p, r) for p, inside, _ in wanted for r in inside]
+    condition = hits[0][0]
+    for hit, _, _ in hits[1:]:
+        condition = condition | hit
+    start = {p: before for p, _, before in wanted}
+    for row in sums.where(condition).collect():  # at most one row a rank
+        for _, p, r in hits:
+            if row.part == p and row.upto - row.rows <= r < row.upto:
+                found[start[p] + r] = row.value
+    out = []
+    for x in at:
+        low, share = found[int(x)], x - int(x)
+        out.append(low if share == 0 else low + (found[int(x) + 1] - low) * share)
+    return n, out
+
+
 def iqr_fences(df: DataFrame, column: str, multiplier: float = 1.5, approx: bool = False, accuracy: int = 100000):
-    """(n, lower fence, upper fence) as one scalar struct column; nothing runs until the caller's action.
-
-    Exact quartiles with linear interpolation, as pandas gives them, over the
-    numbers of the column (text that is no number, nulls and NaN are left out).
-    Rows are reduced to counts per value first, so a hot value is one row a
-    task and the last step holds the distinct values only.  For a column whose
-    distinct values grow with the rows, ``approx`` uses ``percentile_approx``,
-    whose memory is bounded by ``accuracy``.
+    """(n, lower fence, upper fence) as a struct column.
+
+    Over the numbers of the column (text that is no number, nulls and NaN are left out).  Exact quartiles come from
+    ``order_statistics``, whose jobs run at once; with ``approx`` from ``percentile_approx``, as a scalar subquery, in one
+    pass and with memory bounded by ``accuracy``.
     """
     k = F.lit(float(multiplier))
     values = _numbers(df, [], column)
-    if approx:
-        stats = values.agg(F.count("value").alias("n"), F.percentile_approx("value", [0.25, 0.75], accuracy).cast("array<double>").alias("q"))
-    else:
-        counts = values.groupBy("value").agg(F.count(F.lit(1)).alias("rows"))
-        stats = counts.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("n"),
-                           F.percentile("value", F.array(F.lit(0.25), F.lit(0.75)), F.col("rows")).alias("q"))
+    if not approx:
+        n, (low, high) = order_statistics(values, [0.25, 0.75])
+        iqr = (high - low) * float(multiplier) if n else None
+        fence = lambda x, by: F.lit(x + by if n else None).cast("double")
+        return F.struct(F.lit(n).cast("bigint").alias("n"), fence(low, -iqr if n else 0).alias("lo"), fence(high, iqr).alias("hi"))
+    stats = values.agg(F.count("value").alias("n"), F.percentile_approx("value", [0.25, 0.75], accuracy).cast("array<double>").alias("q"))
     iqr = F.col("q")[1] - F.col("q")[0]
     return stats.select(
         F.struct(F.col("n").alias("n"), (F.col("q")[0] - k * iqr).alias("lo"), (F.col("q")[1] + k * iqr).alias("hi"))
