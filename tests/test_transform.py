@@ -57,3 +57,52 @@ def test_silver_aggregate_only_closed_and_partial(spark, silver):
     keys = collect_set(agg, "metric_month", "supplier_id")
     assert ("2024-02", "S03") not in keys and ("2024-02", "S01") in keys
     assert agg.filter(F.col("silver_order_count") < 1).count() == 0
+
+
+def _copies(spark, n):
+    """Rows of which every third has key K7 and every other key is unique; some rows are equal."""
+    return spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit("K7")).otherwise(F.concat(F.lit("U"), F.col("id").cast("string"))).alias("k"),
+        (F.col("id") % 40 + 1).cast("double").alias("x"), F.lit("P").alias("fk"))
+
+
+def test_first_row_of_a_hot_repeated_key(spark):
+    df = _copies(spark, 6000)
+    spec = T.PromoteSpec(key="k", reject=[("small", F.col("x") < 4)])
+    p = T.promote(df, spec)
+    promoted, rejected = p.promoted.collect(), p.quarantine.collect()
+    assert len(promoted) + len(rejected) == 6000
+    hot = [r for r in promoted if r.k == "K7"]
+    assert len(hot) == 1 and hot[0].x == 4.0  # the least that is left
+    assert sum(r.reject_reason == "duplicate_key" for r in rejected) == sum(1 for i in range(0, 6000, 3) if i % 40 + 1 >= 4) - 1
+    assert {r.k for r in promoted} == {"K7"} | {f"U{i}" for i in range(6000) if i % 3 and i % 40 + 1 >= 4}
+    plan = p.promoted._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan
+
+
+def test_promotion_reads_its_input_once(spark, tmp_path):
+    path = f"/tmp/tollgate-promote-{tmp_path.name}-{F.__name__}"
+    _copies(spark, 3000).write.mode("overwrite").parquet(path)
+    parent = spark.createDataFrame([("P",)], "pk string")
+    read = []
+    parquet = spark.read.parquet(path)
+    spec = T.PromoteSpec(key="k", parents=[("fk", parent, "pk", "orphan")])
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        write = type(parquet.write).parquet
+
+        def spy(self, *a, **k):
+            read.append(self._df._jdf.queryExecution().optimizedPlan().toString().count("parquet"))
+            return write(self, *a, **k)
+
+        import pytest
+
+        with pytest.MonkeyPatch.context() as m:
+            m.setattr(type(parquet.write), "parquet", spy)
+            p = T.promote(parquet, spec)
+        assert read[0] == 1  # the child; everything after reads what was written
+        assert p.promoted.count() == 2001 and p.quarantine.count() == 999
+        assert path not in "".join(p.flagged.inputFiles())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

@@ -1,10 +1,13 @@
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import shared_path
+
 
 class MissingColumn(ValueError):
     """A check was pointed at a column the table does not have."""
@@ -41,3 +44,10 @@ def flag_rows(df: DataFrame, key_cols, flags: list[tuple[str, Column, Column]],
     )
     exploded = df.select(*keys, F.explode(arr).alias("__f"))
     return exploded.filter(F.col("__f").isNotNull()).select(*keys, f"__f.{label}", f"__f.{val}")
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """*df* written to a folder of its own in the shared folder and read back: computed once, lineage cut."""
+    path = shared_path(df.sparkSession, "steps", f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -6,15 +6,13 @@ never cross-joined and no window runs without a partition.
 """
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import to_number
-from ..session import shared_path
-from ._common import keys_of, require
+from ._common import keys_of, require, written
 from .consistency import as_of_ts, lenient_timestamp
 
 
@@ -42,12 +40,9 @@ def order_statistics(values: DataFrame, places: Sequence[float]) -> tuple[int, l
     range of value and written; the driver sees one total per range, finds the ranges that hold the wanted ranks, and
     only those are sorted.  No task holds more than one range of the distinct values.
     """
-    spark = values.sparkSession
-    path = shared_path(spark, "value-counts", uuid.uuid4().hex)
     # +0.0: -0.0 and 0.0 are one value
     counts = values.select((F.col("value") + F.lit(0.0)).alias("value")).groupBy("value").agg(F.count(F.lit(1)).alias("rows"))
-    counts.repartitionByRange("value").withColumn("part", F.spark_partition_id()).write.parquet(path)
-    counts = spark.read.schema("value double, rows long, part int").parquet(path)
+    counts = written(counts.repartitionByRange("value").withColumn("part", F.spark_partition_id()), "value-counts")
     totals = counts.groupBy("part").agg(F.sum("rows").alias("rows"), F.min("value").alias("first")).orderBy("first").collect()
     n = sum(t.rows for t in totals)
     if not n:

@@ -1,7 +1,6 @@
 """Key membership: which child rows have their key in a parent table.
 
-Plain semi and anti joins, so each child row is shuffled once and the parent
-needs no ``distinct``.  A foreign key that holds a third of the rows makes one
+Plain semi, anti and left joins, so each child row is shuffled once.  A foreign key that holds a third of the rows makes one
 large child partition, which adaptive execution splits (it may split the left
 side of semi and anti joins when the other side is a plain shuffle, as here).
 Null keys match nothing; they get a spread value of their own, so they never
@@ -20,6 +19,11 @@ def _keys(parent: DataFrame, pk: str) -> DataFrame:
     return parent.select(F.col(pk).alias("__pk")).dropna()
 
 
+def _spread(child: DataFrame, fk: str):
+    """0 for rows with a key; rows without one are dealt over `NULL_SPREAD` values."""
+    return F.when(F.col(fk).isNull(), F.pmod(F.xxhash64(*child.columns), F.lit(NULL_SPREAD))).otherwise(F.lit(0)).cast("bigint")
+
+
 def matching(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
     """Child rows whose (non-null) key occurs in ``parent[pk]``; keys are compared as they are."""
     k = _keys(parent, pk)
@@ -29,17 +33,21 @@ def matching(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame
 
 def missing(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
     """Child rows whose key does not occur in ``parent[pk]``; null keys are missing."""
-    spread = F.when(F.col(fk).isNull(), F.pmod(F.xxhash64(*child.columns), F.lit(NULL_SPREAD))).otherwise(F.lit(0))
-    c = child.withColumn("__spread", spread.cast("bigint"))
+    c = child.withColumn("__spread", _spread(child, fk))
     # always 0, but no constant: both columns stay join keys
     k = _keys(parent, pk).withColumn("__zero", F.pmod(F.xxhash64("__pk"), F.lit(1)).cast("bigint"))
     return c.join(k, (c[fk] == k["__pk"]) & (c["__spread"] == k["__zero"]), "left_anti").drop("__spread")
 
 
-def mark_membership(child: DataFrame, fk: str, parent: DataFrame, pk: str, flag: str = "__hit") -> DataFrame:
-    """``child`` + boolean ``flag``: true when the key occurs in the parent, else null.  The child is read twice."""
-    return matching(child, fk, parent, pk).withColumn(flag, F.lit(True)).unionByName(
-        missing(child, fk, parent, pk).withColumn(flag, F.lit(None).cast("boolean")))
+def mark_membership(child: DataFrame, fk: str, parent: DataFrame, pk: str, flag: str = "__hit", unique: bool = False) -> DataFrame:
+    """``child`` + boolean ``flag``: true when the key occurs in the parent, else null.  One left join, so the child is read
+    once; *unique* promises that the parent's keys do not repeat and saves reducing them.  With a unique parent that is
+    read from a table both sides are plain shuffles, and a hot key's partition of the child can be split."""
+    keys = _keys(parent, pk) if unique else _keys(parent, pk).distinct()
+    # null keys match nothing and are spread; __zero is always 0, but no constant: both columns stay join keys
+    keys = keys.withColumn("__zero", F.pmod(F.xxhash64("__pk"), F.lit(1)).cast("bigint")).withColumn(flag, F.lit(True))
+    c = child.withColumn("__spread", _spread(child, fk))
+    return c.join(keys, (c[fk] == keys["__pk"]) & (c["__spread"] == keys["__zero"]), "left").select(*[c[x] for x in child.columns], flag)
 
 
 def keep_matching(df: DataFrame, col: str, keys: DataFrame, key: str, keep: bool = True) -> DataFrame:

@@ -12,11 +12,12 @@ from __future__ import annotations
 import datetime as _dt
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import iso_date, is_null_or_blank, strip_ws, to_number
 from ..sources.fixtures import PAYMENT_TERMS, SUPPLIER_STATUSES, WORK_ORDER_STATUSES
+from ._common import written
 from .skew import mark_membership
 
 DEFAULT_AS_OF = "2025-01-01"
@@ -77,10 +78,11 @@ def apply_corrections(df: DataFrame, corrections: DataFrame | None, key: str) ->
 
 def promote(df: DataFrame, spec: PromoteSpec, as_of=DEFAULT_AS_OF, corrections: DataFrame | None = None) -> Promotion:
     """Normalise → correct → reject ladder → orphan check against each promoted
-    parent → one row per key → stamp.  Few projections (each ``withColumns`` is
-    one Project), a semi and an anti join per parent, one window on the key, no
-    extra pass for the split: promoted and quarantined rows are two filters over
-    the same plan."""
+    parent → one row per key → stamp.  The input is read once: few projections
+    (each ``withColumns`` is one Project) and a left join per parent, whose keys
+    are unique by this same contract, then written.  Repeated keys are settled on
+    what is written (``_one_row_a_key``); promoted and quarantined rows are two
+    filters over it."""
     out = apply_corrections(df, corrections, spec.key)
     if spec.normalise:
         out = out.withColumns(spec.normalise)
@@ -96,17 +98,29 @@ def promote(df: DataFrame, spec: PromoteSpec, as_of=DEFAULT_AS_OF, corrections:
     out = out.withColumn("reject_reason", reason)
     for i, (fk, parent, pk, label) in enumerate(spec.parents):
         hit = f"__hit{i}"
-        # semi and anti join: a hot foreign key is split by adaptive execution
-        out = mark_membership(out, fk, parent, pk, flag=hit)
+        out = mark_membership(out, fk, parent, pk, flag=hit, unique=True)
         orphan = F.col("reject_reason").isNull() & F.col(fk).isNotNull() & F.col(hit).isNull()
         out = out.select(*base_cols, F.when(orphan, F.lit(label)).otherwise(F.col("reject_reason")).alias("reject_reason"))
-    # of the rows of a key that are left, the first in column order is promoted
+    staged = written(out.withColumn("__row", F.monotonically_increasing_id()), "staged")
+    flagged = _one_row_a_key(staged, spec.key, base_cols)
+    return Promotion.split(flagged.select(*base_cols, "reject_reason", _as_of_date(as_of).alias("dq_load_date")))
+
+
+def _one_row_a_key(staged: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """Of the accepted rows of a key, the first in column order (nulls first) stays; the others become ``duplicate_key``.
+
+    Only keys that repeat are looked at: their counts are combined before the shuffle, and so is the least row of each
+    (one row a task, however often a key occurs); nothing is sorted by row.  Equal rows are told apart by ``__row``,
+    which is fixed because *staged* is a written table.  Both small tables are written, so the joins are plain."""
     kept = F.col("reject_reason").isNull()
-    alone = F.when(~kept, F.pmod(F.xxhash64(*base_cols), F.lit(4096)))  # rejected rows need no order: dealt out
-    first = Window.partitionBy(F.when(kept, F.col(spec.key)), alone).orderBy(*[F.col(c).asc_nulls_first() for c in base_cols])
-    out = out.withColumn("__n", F.row_number().over(first))
-    out = out.select(*base_cols, F.when(kept & (F.col("__n") > 1), F.lit("duplicate_key")).otherwise(F.col("reject_reason")).alias("reject_reason"))
-    return Promotion.split(out.select(*base_cols, "reject_reason", _as_of_date(as_of).alias("dq_load_date")))
+    repeated = written(staged.where(kept).groupBy(key).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").select(key), "repeated-keys")
+    if repeated.isEmpty():
+        return staged
+    least = staged.where(kept).join(repeated, key, "left_semi").groupBy(key).agg(F.min(F.struct(*columns, "__row")).alias("__least"))
+    first = written(least.select(F.col(key).alias("__key"), F.col("__least.__row").alias("__first")), "first-rows")
+    out = staged.join(first, staged[key] == first["__key"], "left")
+    later = kept & (F.col("__first") != F.col("__row"))  # null, so no, where the key does not repeat
+    return out.select(*columns, F.when(later, F.lit("duplicate_key")).otherwise(F.col("reject_reason")).alias("reject_reason"))
 
 
 # ---------------------------------------------------------------------------

@@ -15,13 +15,12 @@ text.
 """
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import shared_path
+from ..operators._common import written
 
 KEY_KINDS = {"unique", "unique_values", "relationship", "bad_values"}
 _INTEGERS = ("tinyint", "smallint", "int", "bigint")
@@ -95,11 +94,8 @@ def failing_rows(df: DataFrame, checks: Sequence, key_cols: Sequence[str], quote
     """(key columns, rule, column_name, value) of the rows whose value fails a check.  The failing (check, value) pairs are
     written to the shared folder, each once, and the rows joined to that table: both sides of the join are plain
     shuffles, so adaptive execution can split a value that many rows hold."""
-    spark = df.sparkSession
     bad = " OR ".join(f"check = {i} AND {failing(ch, quote_value=quote_value)}" for i, ch in enumerate(checks))
-    path = shared_path(spark, "failing-keys", uuid.uuid4().hex)
-    key_counts(df, checks, quote).where(bad).select("check", "value").write.parquet(path)
-    offenders = spark.read.schema("check int, value string").parquet(path)
+    offenders = written(key_counts(df, checks, quote).where(bad).select("check", "value"), "failing-keys")
     rows = ", ".join(f"named_struct('check', {i}, 'value', {_text_of(df, ch, quote)}, 'rule', {quote_value(ch.rule)}, "
                      f"'column_name', {quote_value(ch.column)}, 'shown', CAST({quote(ch.column)} AS STRING))" for i, ch in enumerate(checks))
     pairs = df.selectExpr(*map(quote, key_cols), f"explode(array({rows})) AS __p").where("__p.value IS NOT NULL")
