@@ -88,6 +88,45 @@ def test_json_totals_sink(spark):
     assert got == {"pass": 1, "must_fail": 1}
 
 
+def test_report_of_runs_as_json(spark):
+    from tollgate.operators import triage as TR
+
+    runs = spark.createDataFrame([(1, "tests/sql/t.py::a", "", "passed", ""), (2, "tests/gold/t.py::b", "", "failed", "E   AssertionError: x")],
+                                 "run_id int, node_id string, keywords string, outcome string, longrepr string").repartition(2)
+    root = tempfile.mkdtemp(prefix="tollgate-json-", dir="/tmp")
+    triaged = TR.triage(runs)
+    totals = SK.write_json(TR.report_totals(triaged), root + "/totals")
+    got = {(r["layer"], r["decision"]): r["n_runs"] for r in totals.collect()}
+    assert got == {("sql", "pass"): 1, ("gold", "must_fail"): 1, ("sql", None): 1, ("gold", None): 1, (None, None): 2}
+    records = {r["run_id"]: r for r in SK.write_json(TR.run_records(triaged), root + "/tests").collect()}
+    assert records[2]["classification"]["error"]["class"] == "AssertionError" and records[1]["test"]["outcome"] == "passed"
+    assert len(list(Path(root, "tests").glob("part-*"))) == 2  # not drawn into one task
+    assert TR.report_totals(triaged.where("false")).collect() == []
+
+
+def test_csv_by_schema_keeps_short_and_ill_typed_rows(spark):
+    root = Path(tempfile.mkdtemp(prefix="tollgate-short-", dir="/tmp"))
+    (root / "t.csv").write_text('k,phone,n,x\na,007,5,1.5\nb,8\nc,9,five,2.5\n"d, e",,6,3.5,extra\n')
+    types = {"k": "string", "phone": "bigint", "n": "bigint", "x": "double"}
+    cat = CAT.Catalog(str(root), {"raw": {"t": "t.csv"}}, {"raw.t": CAT.csv_schema(types)}, layer_dirs=False)
+    rows = {r.k: r for r in CAT.load_table(spark, cat, "raw", "t").collect()}
+    assert (rows["a"].phone, rows["a"].n, rows["a"].x, rows["a"][CAT.CORRUPT]) == ("007", 5, 1.5, None)
+    assert (rows["b"].phone, rows["b"].n, rows["b"].x, rows["b"][CAT.CORRUPT]) == ("8", None, None, "b,8")
+    assert rows["c"].n is None and rows["c"][CAT.CORRUPT].startswith("c,9") and rows["d, e"][CAT.CORRUPT].endswith("extra")
+    assert dict(CAT.load_table(spark, cat, "raw", "t").dtypes)["n"] == "bigint"
+    marked = CAT.load_table(spark, cat, "raw", "t").select("k", CAT.CORRUPT).where(f"{CAT.CORRUPT} IS NOT NULL")
+    assert sorted(r.k for r in marked.collect()) == ["b", "c", "d, e"]  # also with few columns read
+
+
+def test_layer_tables_carry_their_tags(spark):
+    SK.materialize_layer(spark, spark.range(4), "gold", "kpis")
+    name = f"{SK.layer_schema(spark, 'gold')}.kpis"
+    properties = SK.table_properties(spark, name)
+    assert spark.table(name).count() == 4 and (properties["layer"], properties["tags"]) == ("gold", "gold,curated")
+    SK.materialize_layer(spark, spark.range(6), "gold", "kpis", partition_by=())
+    assert spark.table(name).count() == 6
+
+
 def test_seed_types_keep_text_columns(spark):
     df = spark.createDataFrame([(1, 20240115, "x")], "phone int, contract_start_date int, other string")
     types = CAT.seed_types(df.columns)

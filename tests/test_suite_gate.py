@@ -110,3 +110,19 @@ def test_rows_of_shuffled_checks(spark):
     zeros = spark.createDataFrame([(0.0, bytes([255]), [1]), (-0.0, bytes([254]), [1]), (1.5, None, None)], "x double, b binary, a array<int>")
     res = {r["column_name"]: r["failing_rows"] for r in S.run_suite(zeros, [S.Check("unique", c) for c in "xba"]).collect()}
     assert res == {"x": 2, "b": 0, "a": 2}
+
+
+def test_suite_rides_on_the_write(spark, bronze_parts, monkeypatch, tmp_path):
+    checks = [c for c in EX.SUITES["bronze_parts"]] + [S.Check("not_null", "gone", name="gone"), S.Check("unique", "part_name")]
+    want = {tuple(r) for r in S.run_suite(bronze_parts, checks, "parts", "bronze").collect()}
+    base = f"/tmp/tollgate-onwrite-{tmp_path.name}-{id(checks)}"
+    out, results = S.write_with_suite(bronze_parts, base + "a", checks, "parts", "bronze")
+    assert {tuple(r) for r in results.collect()} == want and out.count() == 10
+    only = [c for c in checks if c.kind in S.ROW_KINDS]
+    _, results = S.write_with_suite(bronze_parts, base + "b", only, "parts", "bronze")
+    assert "Scan" not in results._jdf.queryExecution().executedPlan().toString().replace("Scan OneRowRelation", "")  # no scan beyond the write's
+    assert {tuple(r) for r in results.collect()} == {tuple(r) for r in S.run_suite(bronze_parts, only, "parts", "bronze").collect()}
+    # a task whose metrics counted twice
+    monkeypatch.setattr(S.Observation, "get", property(lambda self: {"__total": 11}))
+    _, results = S.write_with_suite(bronze_parts, base + "c", checks, "parts", "bronze")
+    assert {tuple(r) for r in results.collect()} == want

@@ -106,5 +106,18 @@ def triage(runs: DataFrame) -> DataFrame:
 
 
 def result_totals(triaged: DataFrame) -> DataFrame:
-    """Totals per decision (the JSON summary's ``totals``)."""
+    """Totals per decision."""
     return triaged.groupBy("decision").agg(F.count(F.lit(1)).alias("n_runs"))
+
+
+def report_totals(triaged: DataFrame) -> DataFrame:
+    """Runs per layer and decision, per layer, and over all (the JSON summary's ``totals``): a null layer or decision
+    stands for all of them."""
+    totals = triaged.rollup("layer", "decision").agg(F.count(F.lit(1)).alias("n_runs"), F.grouping_id().alias("level"))
+    return totals.where("level < 3 OR n_runs > 0").select("layer", "decision", "n_runs")
+
+
+def run_records(triaged: DataFrame) -> DataFrame:
+    """One nested record per run (the JSON summary's ``tests``): what ran, how it ended, and how it was classified."""
+    return triaged.select("run_id", F.struct("node_id", "layer", "outcome").alias("test"),
+                          F.struct("decision", "reason", F.struct(F.col("error_class").alias("class"), F.col("error_message").alias("message")).alias("error")).alias("classification"))

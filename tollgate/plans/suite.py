@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.metrics import count_if
@@ -147,14 +147,8 @@ def _resolves(df: DataFrame, expr: str) -> bool:
     return True
 
 
-def _fused(df: DataFrame, checks: Sequence[Check], layer: str, table: str) -> DataFrame:
-    """All per-row checks (plus row-count and schema checks) from ONE aggregate.
-
-    The plan is Scan → partial HashAggregate → one-row Exchange → final
-    HashAggregate → Generate: one pass over the table whatever the number of
-    checks.  Expressions are assembled as SQL text so building a large suite
-    costs two calls into the JVM, not thousands.
-    """
+def _fused_sql(df: DataFrame, checks: Sequence[Check], layer: str, table: str) -> tuple[list[str], list[str]]:
+    """(aggregates, result rows over them) of the per-row, row-count and schema checks."""
     dtypes = dict(df.dtypes)
     aggs = ["count(1) AS __total"]
     rows = []
@@ -176,6 +170,18 @@ def _fused(df: DataFrame, checks: Sequence[Check], layer: str, table: str) -> Da
             missing = [c for c in wanted if c not in dtypes]
             extra = [c for c in df.columns if c not in wanted] if ch.params.get("exact") else []
             rows.append(_row_sql(ch, layer, table, "__total", str(len(wanted)), str(len(missing) + len(extra))))
+    return aggs, rows
+
+
+def _fused(df: DataFrame, checks: Sequence[Check], layer: str, table: str) -> DataFrame:
+    """All per-row checks (plus row-count and schema checks) from ONE aggregate.
+
+    The plan is Scan → partial HashAggregate → one-row Exchange → final
+    HashAggregate → Generate: one pass over the table whatever the number of
+    checks.  Expressions are assembled as SQL text so building a large suite
+    costs two calls into the JVM, not thousands.
+    """
+    aggs, rows = _fused_sql(df, checks, layer, table)
     if not rows:
         return None
     one = df.selectExpr(*aggs)
@@ -214,6 +220,33 @@ def run_suite(df: DataFrame, checks: Sequence[Check], table: str = "table", laye
     return out.select(*RESULT_COLUMNS)
 
 
+def write_with_suite(df: DataFrame, path: str, checks: Sequence[Check], table: str = "table", layer: str = "bronze") -> tuple[DataFrame, DataFrame]:
+    """(written table, results): write *df* as Parquet and check it on the way.
+
+    Per-row, row-count and schema checks are metrics observed by the write itself, so they cost no scan of their own.
+    Checks that need a shuffle read the written columns.  Metrics of a task that ran twice (a lost executor) could
+    count twice; the observed row count is therefore compared with the written table's (from the file footers), and
+    on any difference the checks read the written table instead.
+    """
+    spark = df.sparkSession
+    fused = [ch for ch in checks if ch.kind not in SHUFFLE_KINDS]
+    aggs, rows = _fused_sql(df, fused, layer, table)
+    seen = Observation()
+    df.observe(seen, *map(F.expr, aggs)).write.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    numbers = seen.get
+    if numbers["__total"] != out.count():
+        return out, run_suite(out, checks, table, layer)
+    parts = []
+    if rows:
+        values = ", ".join(f"CAST({numbers[name]} AS BIGINT) AS {name}" for name in (a.rpartition(" AS ")[2] for a in aggs))
+        parts.append(spark.sql(f"SELECT {values}").selectExpr(f"explode(array({', '.join(rows)})) AS __r").select("__r.*").select(*RESULT_COLUMNS))
+    shuffled = [ch for ch in checks if ch.kind in SHUFFLE_KINDS]
+    if shuffled or not rows:
+        parts.append(run_suite(out, shuffled, table, layer))
+    return out, parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
 def verdict(violations: DataFrame, rule: str, table: str, layer: str, column: str | None = None, max_allowed: int | None = None,
             severity: str = "error") -> DataFrame:
     """One result row for a check that returns its violating rows (padding, formats, foreign keys, outliers, order

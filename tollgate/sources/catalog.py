@@ -7,7 +7,7 @@ prunes columns and pushes filters into the scan.
 """
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,6 +22,8 @@ REFERENCE_LAYOUT = {
 }
 # Columns read as text whatever they look like (seed type overrides).
 TEXT_OVERRIDES = ["quality_rating", "contract_start_date", "phone", "spec_revision"]
+#: Column of a CSV schema that holds the line of a row with too few or too many fields, or with a field of another type.
+CORRUPT = "_corrupt_record"
 
 
 @dataclass
@@ -30,6 +32,7 @@ class Catalog:
     layout: Mapping[str, Mapping[str, str]] = field(default_factory=lambda: REFERENCE_LAYOUT)
     schemas: Mapping[str, StructType] = field(default_factory=dict)  # "layer.table" → schema
     layer_dirs: bool = True  # files live under <root>/<layer>/ (else directly under root)
+    header: bool = True  # CSV files begin with a line of names
 
     def path(self, layer: str, table: str) -> str:
         layer_l, table_l = layer.lower(), table.lower()
@@ -41,9 +44,11 @@ class Catalog:
         return f"{self.root.rstrip('/')}/{sub}{self.layout[layer_l][table_l]}"
 
 
-def _read(spark: SparkSession, path: str, schema: StructType | None) -> DataFrame:
+def _read(spark: SparkSession, path: str, schema: StructType | None, header: bool = True) -> DataFrame:
     if path.endswith(".csv"):
-        r = spark.read.option("header", True).option("mode", "PERMISSIVE")
+        r = spark.read.option("header", header).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+        if schema is not None and CORRUPT in schema.names:
+            r = r.option("columnPruning", False)  # a pruned parser does not count the fields of a row
         return r.schema(schema).csv(path) if schema is not None else r.option("inferSchema", False).csv(path)
     return spark.read.schema(schema).parquet(path) if schema is not None else spark.read.parquet(path)
 
@@ -51,7 +56,7 @@ def _read(spark: SparkSession, path: str, schema: StructType | None) -> DataFram
 def load_table(spark: SparkSession, catalog: Catalog, layer: str, table: str) -> DataFrame:
     """Case-insensitive lookup; ValueError on unknown layer/table."""
     path = catalog.path(layer, table)
-    return _read(spark, path, catalog.schemas.get(f"{layer.lower()}.{table.lower()}"))
+    return _read(spark, path, catalog.schemas.get(f"{layer.lower()}.{table.lower()}"), catalog.header)
 
 
 def load_layer(spark: SparkSession, catalog: Catalog, layer: str) -> dict[str, DataFrame]:
@@ -61,6 +66,13 @@ def load_layer(spark: SparkSession, catalog: Catalog, layer: str) -> dict[str, D
     return {t: load_table(spark, catalog, layer, t) for t in catalog.layout[layer.lower()]}
 
 
+def csv_schema(types: Mapping[str, str], text: Sequence[str] = tuple(TEXT_OVERRIDES), corrupt: bool = True) -> StructType:
+    """Schema of a CSV file from column types in file order; columns of *text* are read as text whatever their declared
+    type.  With *corrupt*, a row that does not fit is kept, padded with nulls, and its line is in the column `CORRUPT`."""
+    fields = [StructField(c, StringType() if c in text else StructType.fromDDL(f"c {t}")[0].dataType, True) for c, t in types.items()]
+    return StructType(fields + [StructField(CORRUPT, StringType(), True)] * corrupt)
+
+
 def all_string_schema(columns: list[str]) -> StructType:
     return StructType([StructField(c, StringType(), True) for c in columns])
 
