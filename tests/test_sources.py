@@ -115,7 +115,7 @@ def test_csv_by_schema_keeps_short_and_ill_typed_rows(spark):
     assert rows["c"].n is None and rows["c"][CAT.CORRUPT].startswith("c,9") and rows["d, e"][CAT.CORRUPT].endswith("extra")
     assert dict(CAT.load_table(spark, cat, "raw", "t").dtypes)["n"] == "bigint"
     marked = CAT.load_table(spark, cat, "raw", "t").select("k", CAT.CORRUPT).where(f"{CAT.CORRUPT} IS NOT NULL")
-    assert sorted(r.k for r in marked.collect()) == ["b", "c", "d, e"]  # also with few columns read
+    assert sorted(r.k for r in marked.collect()) == ["b", "d, e"]  # rows of another length, whichever columns are read
 
 
 def test_layer_tables_carry_their_tags(spark):

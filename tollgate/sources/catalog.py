@@ -22,7 +22,8 @@ REFERENCE_LAYOUT = {
 }
 # Columns read as text whatever they look like (seed type overrides).
 TEXT_OVERRIDES = ["quality_rating", "contract_start_date", "phone", "spec_revision"]
-#: Column of a CSV schema that holds the line of a row with too few or too many fields, or with a field of another type.
+#: Column of a CSV schema that holds the line of a row with too few or too many fields, or with a field of another type
+#: in a column that is read.
 CORRUPT = "_corrupt_record"
 
 
