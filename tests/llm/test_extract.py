@@ -45,7 +45,7 @@ def test_prior_alone():
     assert X.extract(page, w) == "\n\n".join(["Head line", text.strip(), text.strip()])
     assert X.extract(None, w) == X.extract("", w) == X.extract("<nav>a b c</nav>", w) == X.extract("<<<>>> <!-- x", w).strip("< >") == ""
     assert X.extract("just plain text", w) == "just plain text"
-    assert X.extract("<p>cut off <b>in a ta", w) == "cut off in a ta" and X.extract("<p>one<br>two<p>three", w) == "onetwo\n\nthree"
+    assert X.extract("<p>cut off <b>in a ta", w) == "cut off in a ta" and X.extract("<p>one<br>two<p>three", w) == "one two\n\nthree"
 
 
 #: What the given tables teach: tags of menus and adverts never stand in an article.
@@ -66,6 +66,46 @@ def test_long_adverts_do_not_part_an_article():
                 assert X.extract(page, weights) == "\n\n".join(["The head line", lead, ("good words of the story & more " * 8).strip(), close])
 
 
+STORY = ("good words of the story & more " * 8).strip()
+
+
+def page_of(inner, before="", after=""):
+    return f"<html><body><nav><ul><li><a href=/>Home page</a></ul></nav>{before}{inner}{after}<footer>about us and our terms</footer></body></html>"
+
+
+def test_names_that_hold_the_article():
+    for weights in (X.Weights({}), LEARNED):
+        for name in ('class="content has-sidebar"', "class=social-ready", 'id="main-with-menu"', 'class="no-ads post"', 'class="page header-fixed"', "role=search"):
+            assert X.extract(page_of(f"<div {name}>{BODY}{BODY}</div>"), weights) == f"{STORY}\n\n{STORY}", name
+            inner = f'<div {name}><h1>The head line</h1>{BODY}<div class="sidebar"><p>see also</p></div>{BODY}</div><div class="comments"><p>{"first! " * 900}</p></div>'
+            assert X.extract(page_of(inner), weights) == f"The head line\n\n{STORY}\n\n{STORY}", name
+        form = f'<form action=/><div class="ad"><p>buy</p></div><h1>The head line</h1>{BODY}<div class="newsletter"><p>sign up</p></div>{BODY}</form>'
+        assert X.extract(f"<html><body>{form}</body></html>", weights) == f"The head line\n\n{STORY}\n\n{STORY}"
+        assert X.extract(page_of(f"<form action=/>{BODY}</form>"), weights) == STORY
+        for header in ('<div class="post-header"><h1>The head line</h1></div>', "<header><h1>The head line</h1></header>"):
+            assert X.extract(page_of(header + BODY), weights) == f"The head line\n\n{STORY}"
+        site = "<header><h1>The Site</h1><nav><a href=/a>Sport</a></nav></header>"
+        assert X.extract(page_of(f"<article>{BODY}</article>", before=site), weights) == STORY
+        for rest in (f'<section class="discussion"><p>{"what I think of it " * 30}</p></section>', f'<div id="comments"><article><p>{"no, I think " * 300}</p></article></div>'):
+            assert X.extract(page_of(f"<div><h2>The head line</h2>{BODY}</div>", after=rest), weights) == f"The head line\n\n{STORY}"
+
+
+def test_breaks_and_odd_attributes():
+    for weights in (X.Weights({}), LEARNED):
+        assert X.extract(f"<p>here<br>line<br/> and<img src=x>more so<wbr>ft {STORY}", weights) == f"here line and more soft {STORY.replace('&amp;', '&')}"
+        for odd in ("title=it's", 'title="it', "title='", "a=b/c'd", "= x", 'data-x="a>b" y', "x='a>b'", 'href=http://a/?q="r'):
+            for page in (f"<p {odd}>one two</p>{BODY}", f"<p>one two</p><p {odd}>{STORY}</p>"):
+                assert X.extract(page, weights) == f"one two\n\n{STORY}", (odd, page)
+
+
+def test_unmatched_end_tags_are_linear():
+    import time
+
+    begin = time.time()
+    X.Page("<div>" * 40_000 + "</section>" * 40_000)
+    assert time.time() - begin < 5
+
+
 def test_landmark_costs():
     page = X.Page("<p>one two</p><aside><p>" + "w " * 500 + "</p></aside><p>three</p><div class=ad></div>")
     weights = X.Weights({})
