@@ -34,20 +34,41 @@ def test_odd_payloads(spark, tmp_path):
     df = spark.createDataFrame(pages, "page_id long, url string, html string, digest string").repartition(3)
     warc.write_archive(df, f"{tmp_path}/a")
     got = warc.assemble(warc.read_records(spark, f"{tmp_path}/a")).collect()
-    want = {(p, h or "") for p, _, h, _ in pages if p is not None}
-    ids = {r.capture_id: int(r.metadata.fields.split()[1]) for r in got}
-    assert len(got) == len(want)
-    text = dict(want)
-    rows = expected(sorted(want))
+    want = sorted(((p, h or "") for p, _, h, _ in pages), key=lambda x: (x[0] is None, x[0] or 0))
+    least = {}
+    for p, h in reversed(want):
+        least[h] = p
+    ids = {r.capture_id: int(r.metadata.fields.split()[1]) if r.metadata.fields.split()[1:] else None for r in got}
+    assert len(got) == len(want) == len(ids) and sorted(ids.values(), key=str) == sorted((p for p, _ in want), key=str)
+    responses = {}
     for r in got:
-        page = ids[r.capture_id]
-        n, digest, kind, refers = next(x[1:] for x in rows if x[0] == page)
-        assert (r.response.payload_bytes, r.response.payload_digest, r.record_type) == (n, f"sha256:{digest}", kind)
-        assert (ids[r.response.refers_to] if r.response.refers_to else None) == refers
-        assert bytes(r.response.payload) == (text[page].encode() if kind == "response" else b"")
+        page, digest = ids[r.capture_id], r.response.payload_digest
+        html = next(h for p, h in want if p == page and f"sha256:{hashlib.sha256(h.encode()).hexdigest()}" == digest)
+        assert r.response.payload_bytes == len(html.encode())
+        assert bytes(r.response.payload) == (html.encode() if r.record_type == "response" else b"")
         assert r.request.http.startswith("GET ") and r.request.record_id != r.metadata.record_id
+        if len(html.encode()) < 100:
+            assert r.record_type == "response"
+        elif r.record_type == "response":
+            assert page == least[html] and responses.setdefault(html, r.capture_id) == r.capture_id
+        else:
+            assert ids[r.response.refers_to] == least[html]
+    assert set(responses) == {h for _, h in want if len(h.encode()) >= 100}  # one each; the others revisit it
     raw = b"".join(gzip.open(p).read() for p in sorted((tmp_path / "a").glob("part-*.gz")))
-    assert raw.startswith(b"WARC/1.1\r\n") and raw.endswith(b"\r\n\r\n") and raw.count(b"WARC-Type: request") == len(want) + 1
+    assert raw.startswith(b"WARC/1.1\r\n") and raw.endswith(b"\r\n\r\n") and raw.count(b"WARC-Type: request") == len(want)
+
+
+def test_query_joins_every_record(spark, tmp_path):
+    pages = [(1, "http://a", "x" * 200), (2, "http://b", "x" * 200), (2, "http://b", "x" * 200), (None, None, "x" * 200), (4, "http://d", "short"), (5, "http://e", None)]
+    spark.createDataFrame(pages, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    out = op5_warc(spark, str(tmp_path))
+    rows = sorted((r.page_id or 0, r.record_type, r.refers_to, r.request_line, r.metadata_fields) for r in out.collect())
+    assert rows == [(0, "revisit", 1, "GET  HTTP/1.1", "page-id:"), (1, "response", None, "GET http://a HTTP/1.1", "page-id: 1"),
+                    *[(2, "revisit", 1, "GET http://b HTTP/1.1", "page-id: 2")] * 2, (4, "response", None, "GET http://d HTTP/1.1", "page-id: 4"),
+                    (5, "response", None, "GET http://e HTTP/1.1", "page-id: 5")]
+    captures = warc.round_trip(spark.createDataFrame(pages, "page_id long, url string, html string"), f"{tmp_path}/b")
+    plan = captures.select("record_type", "request.http", "metadata.fields")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join LeftOuter") == 2 and "request" in plan
 
 
 def test_empty(spark, tmp_path):

@@ -32,15 +32,17 @@ def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of the captures, with what their request and metadata records say."""
     captures = warc.round_trip(table(spark, sf_dir, "pages")).select(
-        F.regexp_extract("metadata.fields", r"page-id: (-?[0-9]+)", 1).cast("long").alias("page_id"), "capture_id", "record_type",
-        "response.refers_to", "response.payload_bytes", F.regexp_replace("response.payload_digest", "^sha256:", "").alias("payload_digest"))
+        F.regexp_extract("metadata.fields", r"page-id: (-?[0-9]+)", 1).try_cast("long").alias("page_id"), "capture_id", "record_type",
+        "response.refers_to", "response.payload_bytes", F.regexp_replace("response.payload_digest", "^sha256:", "").alias("payload_digest"),
+        F.substring_index("request.http", "\r\n", 1).alias("request_line"), F.rtrim(F.regexp_replace("metadata.fields", "[\r\n]+", "")).alias("metadata_fields"))
     captures = settle(captures, "captures")
     responses = captures.where("record_type = 'response'")
     target = responses.select(F.col("capture_id").alias("refers_to"), F.col("page_id").alias("target"))
-    columns = ["page_id", "payload_bytes", "payload_digest", "record_type"]
-    revisits = captures.where("record_type = 'revisit'").join(target, "refers_to", "left").select(*columns, F.col("target").alias("refers_to"))
-    return responses.select(*columns, F.lit(None).cast("long").alias("refers_to")).union(revisits)
+    columns, said = ["page_id", "payload_bytes", "payload_digest", "record_type"], ["request_line", "metadata_fields"]
+    revisits = captures.where("record_type = 'revisit'").join(target, "refers_to", "left").select(*columns, F.col("target").alias("refers_to"), *said)
+    return responses.select(*columns, F.lit(None).cast("long").alias("refers_to"), *said).union(revisits)
 
 
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,6 +90,13 @@ QUERIES = {f.__name__: f for f in (op1_language_id, op2_decontaminate, op3_html_
 
 #: Positions, tokenizers and learned models are beyond one SQL text; the tests hold those operators against brute force.
 ORACLE: dict[str, str] = {
+    "op5_warc": """
+WITH payloads AS (
+  SELECT page_id, coalesce(url, '') AS url, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+leaders AS (SELECT payload_digest, min(page_id) AS leader FROM payloads WHERE payload_bytes >= 100 GROUP BY payload_digest)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN coalesce(leader, page_id) = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN leader <> page_id THEN leader END AS refers_to, 'GET ' || url || ' HTTP/1.1' AS request_line, 'page-id: ' || page_id AS metadata_fields
+FROM payloads LEFT JOIN leaders USING (payload_digest)""",
     "op12_hard_negatives": """
 WITH vectors AS (
   SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,

@@ -16,10 +16,12 @@ is bounded by the longest record.  Compressed files are never split.
 records that are concurrent to them: one nested row per capture.  Columns that a
 caller does not select (payloads, say) are pruned before the joins.
 
-A null payload is empty, a null URL an empty header, line ends in URLs are
-escaped.  Rows with a null id have no capture.  Rows that repeat id, URL and
-payload are one capture.  Extra columns are ignored; an empty table gives an
-archive without records.
+Every row is a capture of its own: rows get a key, written with them, that is part
+of their record ids, so rows that repeat an id or everything stay apart.  Of rows
+with equal payloads the one with the least id is the response (null ids come last;
+of equal ids the first row).  A null payload is empty, a null URL an empty header,
+a null id an empty field, line ends in URLs are escaped.  Extra columns are ignored;
+an empty table gives an archive without records.
 """
 from __future__ import annotations
 
@@ -56,15 +58,16 @@ def _record(block: Column, **headers: Column) -> Column:
 def write_archive(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", *, date: str = DATE) -> None:
     """Write the captures of *pages* as WARC files under *path*."""
     url = F.regexp_replace(F.regexp_replace(F.coalesce(F.col(url_col).cast("string"), F.lit("")), "\r", "%0D"), "\n", "%0A")
-    rows = pages.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("page"), url.alias("url"),
-                                                         F.coalesce(F.col(html_col).cast("string"), F.lit("")).alias("html"))
-    rows = rows.withColumn("digest", F.sha2("html", 256)).withColumn("bytes", F.octet_length("html"))
-    first = rows.where(F.col("bytes") >= LEAST_REVISIT).groupBy("digest").agg(F.min(F.struct("page", "url")).alias("first"), F.count("*").alias("n"))
-    first = settle(first.where("n > 1").drop("n"), "payloads")  # a plain table: the join may split a hot payload
+    rows = pages.select(F.col(id_col).cast("long").alias("page"), url.alias("url"), F.coalesce(F.col(html_col).cast("string"), F.lit("")).alias("html"))
+    rows = rows.withColumn("digest", F.sha2("html", 256)).withColumn("bytes", F.octet_length("html")).withColumn("row", F.monotonically_increasing_id())
+    rows = settle(rows, "pages")  # the key of a row stays the same whenever a task is run again
+    order = F.struct(F.col("page").isNull(), "page", "row")
+    first = rows.where(F.col("bytes") >= LEAST_REVISIT).groupBy("digest").agg(F.min(order).alias("first"), F.count("*").alias("n"))
+    first = settle(first.where("n > 1").select("digest", F.col("first.row").alias("first")), "payloads")  # a plain table: the join may split a hot payload
     rows = rows.join(first, "digest", "left")
-    stored = F.col("first").isNull() | (F.col("first.page") == F.col("page"))
-    own = _record_id("response", F.col("page").cast("string"), F.col("url"), F.col("digest"))
-    other = _record_id("response", F.col("first.page").cast("string"), F.col("first.url"), F.col("digest"))
+    stored = F.col("first").isNull() | (F.col("first") == F.col("row"))
+    own = _record_id("response", F.col("row").cast("string"), F.col("digest"))
+    other = _record_id("response", F.col("first").cast("string"), F.col("digest"))
     http = F.concat(F.lit(CRLF.join(("HTTP/1.1 200 OK", "Content-Type: text/html; charset=utf-8", "Content-Length: "))), F.col("bytes").cast("string"), F.lit(END))
     about = {"WARC_Date": F.lit(date), "WARC_Target_URI": F.col("url")}
     digest = F.concat(F.lit("sha256:"), F.col("digest"))
@@ -72,10 +75,10 @@ def write_archive(pages: DataFrame, path: str, id_col: str = "page_id", url_col:
                        Content_Type=F.lit("application/http;msgtype=response"))
     revisit = _record(http, WARC_Type=F.lit("revisit"), WARC_Record_ID=own, **about, WARC_Payload_Digest=digest, WARC_Refers_To=other,
                       WARC_Profile=F.lit(PROFILE), Content_Type=F.lit("application/http;msgtype=response"))
-    key = (F.col("page").cast("string"), F.col("url"), F.col("digest"))
+    key = (F.col("row").cast("string"), F.col("digest"))
     request = _record(F.concat(F.lit("GET "), F.col("url"), F.lit(f" HTTP/1.1{END}")), WARC_Type=F.lit("request"), WARC_Record_ID=_record_id("request", *key),
                       **about, WARC_Concurrent_To=own, Content_Type=F.lit("application/http;msgtype=request"))
-    metadata = _record(F.concat(F.lit("page-id: "), F.col("page").cast("string"), F.lit(CRLF)), WARC_Type=F.lit("metadata"),
+    metadata = _record(F.concat(F.lit("page-id: "), F.coalesce(F.col("page").cast("string"), F.lit("")), F.lit(CRLF)), WARC_Type=F.lit("metadata"),
                        WARC_Record_ID=_record_id("metadata", *key), **about, WARC_Concurrent_To=own, Content_Type=F.lit("application/warc-fields"))
     records = rows.select(F.explode(F.array(request, F.when(stored, response).otherwise(revisit), metadata)).alias("value"))
     records.write.option("lineSep", END).option("compression", "gzip").text(path)
