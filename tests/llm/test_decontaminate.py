@@ -66,6 +66,13 @@ def test_substitutions(spark):
     assert exact <= got
 
 
+def test_short_items_match_whole(spark):
+    items = [(1, "who wrote it"), (2, "Why?"), (3, "one two three four five"), (4, "one two three four five six seven"), (5, "a b c d e f g h"), (6, "!")]
+    docs = [(1, "so who wrote it then"), (2, "who wrote that"), (3, "why not, he said"), (4, "zero one two three four five six seven eight"),
+            (5, "one two three changed five"), (6, "x " * 5000 + "who wrote it"), (7, "a b c d e f g h"), (8, ""), (9, "it wrote who")]
+    assert run(spark, docs, items) == {(1, 1), (3, 2), (4, 3), (4, 4), (6, 1), (7, 5)}
+
+
 def test_empty(spark):
     assert run(spark, [], [(1, "a b c d e f g h i j")]) == set()
     assert run(spark, [(1, "a b c d e f g h i j")], []) == set()

@@ -14,9 +14,10 @@ which is an ordinary shuffled join of seed rows.  Only the neighbourhood of hits
 travels on, so memory and shuffle follow the hits, not the corpus.  Equal items
 are searched once.
 
-Words are runs of letters, digits and underscores, lower-cased.  Items of fewer
-words than the shortest mask are too short to tell and match nothing; so do
-null or empty texts and items and rows with a null id.  Repeated ids are
+Words are runs of letters, digits and underscores, lower-cased.  An item of fewer
+words than the shortest mask has one seed, all its words in a row, and matches only
+whole; texts have such seeds of the lengths that occur among items.  Texts and items
+without words match nothing, nor do rows with a null id.  Repeated ids are
 searched row by row and reported once.  Extra columns are ignored.  Empty tables
 give no rows.
 """
@@ -57,6 +58,10 @@ class _Words(WordHashes):
         return np.fromiter(map(self.__getitem__, words), U64, len(words))
 
 
+def short_mask(length: int) -> str:
+    return "1" * length
+
+
 def seeds(words: np.ndarray, masks=MASKS) -> tuple[np.ndarray, np.ndarray]:
     """(position, hash) of every mask at every position."""
     at, hashes = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
@@ -64,6 +69,8 @@ def seeds(words: np.ndarray, masks=MASKS) -> tuple[np.ndarray, np.ndarray]:
         n = len(words) - len(mask) + 1
         if n <= 0:
             continue
+        if "0" not in mask:  # of a short item: the same whatever other masks there are
+            k = 100 + len(mask)
         h = np.zeros(n, U64)
         with np.errstate(over="ignore"):
             for i, c in enumerate(mask):
@@ -83,12 +90,12 @@ def best_stretch(equal: np.ndarray) -> tuple[int, int, int]:
     return begin, end, int(equal[begin:end].sum())
 
 
-def _items(masks):
+def _items():
     def run(batches):
         hashes = _Words()
         for batch in batches:
             rows = [(i, words) for i, t in zip(batch.column(0).to_pylist(), batch.column(1), strict=True)
-                    if len(words := hashes.of(t.as_py())) >= min(map(len, masks))]
+                    if len(words := hashes.of(t.as_py()))]
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1].tobytes() for r in rows], pa.binary())],
                                              names=["item", "words"])
 
@@ -99,7 +106,8 @@ def _item_seeds(masks):
     def run(batches):
         for batch in batches:
             for item, words in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                at, h = seeds(np.frombuffer(words.as_buffer(), U64), masks)
+                words = np.frombuffer(words.as_buffer(), U64)
+                at, h = seeds(words, masks if len(words) >= min(map(len, masks)) else (short_mask(len(words)),))
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), item, np.int64)), pa.array(at), pa.array(h)], names=["item", "at", "h"])
 
     return run
@@ -135,17 +143,22 @@ def _regions(masks, shared):
     return run
 
 
-def _verify(batches):
-    for batch in batches:
-        rows = []
-        for doc, item, begin, diagonal, around, item_words in zip(*(batch.column(i).to_pylist() for i in range(6)), strict=True):
-            a, b = np.frombuffer(around, U64), np.frombuffer(item_words, U64)
-            low, high = max(0, begin - diagonal), min(len(b), begin + len(a) - diagonal)
-            first, end, matched = best_stretch(a[diagonal + low - begin : diagonal + high - begin] == b[low:high])
-            if matched >= min(MIN_MATCHES, SHORT_SHARE * len(b)):
-                rows.append((doc, item, diagonal + low + first, diagonal + low + end, matched, len(b)))
-        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.int64()) for i in range(6)],
-                                         names=["doc", "item", "first_word", "end_word", "matched_words", "item_words"])
+def _verify(masks):
+    least = min(map(len, masks))
+
+    def run(batches):
+        for batch in batches:
+            rows = []
+            for doc, item, begin, diagonal, around, item_words in zip(*(batch.column(i).to_pylist() for i in range(6)), strict=True):
+                a, b = np.frombuffer(around, U64), np.frombuffer(item_words, U64)
+                low, high = max(0, begin - diagonal), min(len(b), begin + len(a) - diagonal)
+                first, end, matched = best_stretch(a[diagonal + low - begin : diagonal + high - begin] == b[low:high])
+                if matched >= (len(b) if len(b) < least else min(MIN_MATCHES, SHORT_SHARE * len(b))):
+                    rows.append((doc, item, diagonal + low + first, diagonal + low + end, matched, len(b)))
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.int64()) for i in range(6)],
+                                             names=["doc", "item", "first_word", "end_word", "matched_words", "item_words"])
+
+    return run
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
@@ -154,19 +167,21 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     the best stretch in the text, its matched_words, and the item's item_words."""
     spark = docs.sparkSession
     items = benchmark.where(F.col(item_col).isNotNull()).select(F.col(item_col).cast("long").alias("item"), F.col(item_text_col).cast("string").alias("t"))
-    items = settle(items.mapInArrow(_items(masks), "item long, words binary"), "items")
+    items = settle(items.mapInArrow(_items(), "item long, words binary"), "items")
     unique = settle(items.groupBy("words").agg(F.min("item").alias("item")).select("item", "words"), "unique-items")
     item_seeds = settle(unique.mapInArrow(_item_seeds(masks), "item long, at long, h long"), "item-seeds")
     shared = spark.sparkContext.broadcast(bitmap_of(item_seeds, "h"))
+    size = F.octet_length("words") / 8  # at most one row a length under the shortest mask
+    short = [r.n for r in unique.select(size.cast("int").alias("n")).where(F.col("n") < min(map(len, masks))).distinct().orderBy("n").collect()]
     texts = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("body"))
-    regions = settle(texts.mapInArrow(_regions(masks, shared), "doc long, begin long, words binary, hits array<struct<pos:long,h:long>>")
+    regions = settle(texts.mapInArrow(_regions((*masks, *map(short_mask, short)), shared), "doc long, begin long, words binary, hits array<struct<pos:long,h:long>>")
                      .withColumn("region", F.monotonically_increasing_id()), "regions")
     hits = regions.select("region", F.explode("hits").alias("hit")).select("region", "hit.pos", "hit.h")
     lines = hits.join(item_seeds, "h").groupBy("region", "item", (F.col("pos") - F.col("at")).alias("diagonal")).agg(F.count("*").alias("n"))
     pairs = (lines.join(regions.select("region", "doc", "begin", "words"), "region")
              .join(unique.withColumnRenamed("words", "item_words"), "item")
              .select("doc", "item", "begin", "diagonal", "words", "item_words"))
-    found = pairs.mapInArrow(_verify, "doc long, item long, first_word long, end_word long, matched_words long, item_words long")
+    found = pairs.mapInArrow(_verify(masks), "doc long, item long, first_word long, end_word long, matched_words long, item_words long")
     found = found.groupBy("doc", "item").agg(F.max_by(F.struct("first_word", "end_word", "matched_words", "item_words"),
                                                       F.struct("matched_words", -F.col("first_word"))).alias("best"))
     same = items.join(unique.withColumnRenamed("item", "least"), "words").select("least", "item").distinct()
