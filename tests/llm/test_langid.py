@@ -46,6 +46,18 @@ def test_held_out(spark):
     assert sum(r.lang_pred == lang[r.doc_id] for r in held) >= 0.97 * len(held)
 
 
+def test_three_hundred_languages(spark):
+    rng = np.random.default_rng(6)
+    letters = np.array([chr(0x4E00 + i) for i in range(900)])  # three letters of its own and the common ones for each language
+    say = lambda k: " ".join("".join(rng.choice([*letters[3 * k : 3 * k + 3], "a", "e"], 5)) for _ in range(12))
+    rows = [(300 * j + k, say(k), f"x{k:03}") for k in range(300) for j in range(4)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = L.fit(df.where("doc_id >= 300"))
+    assert len(model.languages) == 300
+    got = {r.doc_id: r.lang_pred for r in L.identify(df.where("doc_id < 300"), model).collect()}
+    assert sum(got[k] == f"x{k:03}" for k in range(300)) >= 295
+
+
 def test_odd_rows(spark):
     rows = [(i, "the cat and the dog walk" if i % 2 else "der Hund und die Katze gehen", "en" if i % 2 else "de", 0.5) for i in range(60)]
     rows += [(100, None, "en", 0.5), (101, "", "de", 0.5), (102, "12 34!", "de", 0.5), (None, "the dog", "en", 0.5), (103, "und der Hund " * 20_000, None, 0.5), (1, rows[1][1], "en", 0.5)]

@@ -10,9 +10,10 @@ over the landmarks' n-grams, times the landmarks' 0/1 columns, times the
 regression.
 
 The classifier is fitted on a bounded sample of labelled rows: at most
-`PER_LANGUAGE` texts of each of the `LANGUAGES` most frequent languages and
-`TRAINING_TEXTS` in all, those with the lowest hashes of their ids, the first
-`LANDMARKS` of a language as landmarks.  Whole texts are used for fitting and
+`PER_LANGUAGE` texts of each language and `TRAINING_TEXTS` in all, those with the
+lowest hashes of their ids, the first `LANDMARKS` of a language and
+`LANDMARK_TEXTS` in all as landmarks.  Every language that has a labelled text is
+learned: many languages have fewer texts and landmarks each, but one at least.  Whole texts are used for fitting and
 scoring; a text is read once and nothing is shuffled.
 
 Texts that are null or have no letter are ``und`` with score 0, and so is every
@@ -28,14 +29,16 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tollgate.llm.storage import settle
+
 LONGEST = 3
-LANGUAGES = 200
 PER_LANGUAGE = 200
 TRAINING_TEXTS = 4_000
 LANDMARKS = 32
+LANDMARK_TEXTS = 1_024
 RIDGE = 1e-3
 UNDETERMINED = "und"
 _BLOCK = 64  # texts of a matrix product
@@ -98,7 +101,8 @@ def predict(model: Model, texts: list[str | None]) -> tuple[list[str], list[floa
 def fit_sets(sets: dict[str, list[np.ndarray]]) -> Model:
     """Model of the n-gram sets of each language's training texts."""
     languages = tuple(sorted(sets))
-    marks = [s for x in languages for s in sets[x][:LANDMARKS]]
+    each = max(1, min(LANDMARKS, LANDMARK_TEXTS // max(len(languages), 1)))
+    marks = [s for x in languages for s in sets[x][:each]]
     if not marks:
         return Model((), np.empty(0, np.int64), np.empty((0, 0), np.float32), np.empty(0), np.empty((0, 0)))
     grams = np.unique(np.concatenate(marks))
@@ -123,19 +127,21 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
     """Fit on the rows of *labelled* that have an id and a language."""
     rows = labelled.where(F.col(id_col).isNotNull() & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.col(id_col).cast("long").alias("doc"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("body"))
-    counts = {r.lang: r[1] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()}
     spark = labelled.sparkSession
-    if not counts:
+    counts = settle(rows.groupBy("lang").agg(F.count("*").alias("n")), "languages")  # a row for each language
+    languages = counts.count()
+    if not languages:
         return fit_sets({})
-    per = max(1, min(PER_LANGUAGE, TRAINING_TEXTS // len(counts)))
-    # hashes below a language's share: about twice as many ids as needed, the rest is cut here
-    share = F.create_map(*(F.lit(x) for r, n in counts.items() for x in (r, min(1.0, 2.0 * per / n))))
+    per = max(1, min(PER_LANGUAGE, TRAINING_TEXTS // languages))
+    # hashes below a language's share: about four times as many ids as needed, the rest is cut here
+    limit = counts.select("lang", F.least(F.lit(1.0), 4.0 * per / F.col("n") + 16.0 / F.col("n")).alias("share"))
     spot = F.pmod(F.xxhash64("doc"), F.lit(1 << 30))
-    some = rows.select("doc", "lang", spot.alias("spot")).where(F.col("spot") < share[F.col("lang")] * (1 << 30))
+    some = rows.select("doc", "lang", spot.alias("spot")).join(F.broadcast(limit), "lang").where(F.col("spot") < F.col("share") * (1 << 30))
+    first = Window.partitionBy("lang").orderBy("spot", "doc")
+    some = some.select("lang", "spot", "doc").distinct().withColumn("place", F.row_number().over(first)).where(F.col("place") <= per)
     chosen = defaultdict(set)
-    for r in some.select("lang", "spot", "doc").distinct().orderBy("spot", "doc").limit(4 * per * len(counts)).collect():
-        if len(chosen[r.lang]) < per:
-            chosen[r.lang].add(r.doc)
+    for r in some.select("lang", "doc").collect():  # at most so many a language
+        chosen[r.lang].add(r.doc)
     ids = spark.sparkContext.broadcast(np.unique(np.array([d for x in chosen.values() for d in x], np.int64)))
 
     def sets(batches):
