@@ -65,3 +65,15 @@ def test_rows_without_an_own_id(spark):
     clean = stages["decontamination"](spark, kept, SF)
     assert clean.columns == docs.columns
     assert sorted(((r.doc_id, r.text) for r in clean.collect()), key=str) == sorted([(4, copy), (7, other), (None, "a clean text of no id")], key=str)
+
+
+def test_columns_of_any_name_stay(spark):
+    """An input column may have the name that rows' keys would get."""
+    text = "some text that is there several times in this table of documents"
+    item = table(spark, SF, "benchmark").first().text
+    docs = spark.createDataFrame([(1, text, 7, 8), (2, text, 5, 8), (3, item, 9, 8), (4, "a clean one", 3, 8)], "doc_id long, text string, _row_key long, extra int")
+    stages = dict(P.STAGES)
+    kept = settle(stages["near_duplicates"](spark, docs, SF), "test-stage")
+    assert kept.columns == docs.columns and sorted((r.doc_id, r["_row_key"]) for r in kept.collect()) == [(1, 7), (3, 9), (4, 3)]
+    clean = stages["decontamination"](spark, kept, SF)
+    assert clean.columns == docs.columns and sorted((r.doc_id, r["_row_key"]) for r in clean.collect()) == [(1, 7), (4, 3)]

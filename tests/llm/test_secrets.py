@@ -80,3 +80,32 @@ def test_documents(spark):
     assert len(rows) == len(texts) and sum(r.n_assign + r.n_access + r.n_hex for r in rows) > 0
     for r in rows:
         assert r.base_sha256 == hashlib.sha256(base_of(texts[r.doc_id]).encode()).hexdigest()
+
+
+def test_letters_of_one_case():
+    rng = random.Random(11)
+    finder = S.Finder("byte_bpe_50k.tiktoken", S.MAX_RATIO)
+    for alphabet in ("abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"):
+        found = 0
+        for _ in range(300):
+            key = "".join(rng.choice(alphabet) for _ in range(32))
+            found += (10, 3, 42) in finder.spans(f"my key is {key} as said") and (8, 3, 40) in finder.spans(f"/a/path/{key}/to")
+        assert found >= 285
+    for word in ("rechtsschutzversicherungsgesellschaften", "antidisestablishmentarianism", "donaudampfschifffahrtsgesellschaft", "pneumonoultramicroscopicsilicovolcanoconiosis",
+                 "Verkehrsinfrastrukturfinanzierungsgesellschaft", "THE_INTERNATIONALIZATION_CONFIGURATION", "/usr/share/internationalization/documentation/index"):
+        assert finder.spans(f"a {word} here") == []
+
+
+def test_long_runs_take_linear_time():
+    import time
+
+    finder = S.Finder("byte_bpe_50k.tiktoken", S.MAX_RATIO)
+    rng = random.Random(12)
+    part = lambda: "".join(rng.choice("abcdefghijkmnpqrstuvwxyzABCDEFGHJK23456789") for _ in range(rng.randrange(3, 30)))
+    times = []
+    for n in (5_000, 40_000):
+        run = "/".join(part() if i % 3 else "documents" for i in range(n))
+        begin = time.time()
+        assert finder.spans(run)
+        times.append(time.time() - begin)
+    assert times[1] < 8 * 4 * max(times[0], 0.05)

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tollgate.llm.bitmap import bitmap_of, may_hold, without
-from tollgate.llm.storage import settle
+from tollgate.llm.storage import keyed_rows, settle
 from tollgate.llm.wordhash import POSITION, U64, WordHashes, mix
 
 #: Fixed masks of six words each.
@@ -192,3 +192,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of *docs* that hold no benchmark item (all columns)."""
     return without(docs, id_col, contaminated(docs, benchmark, id_col, text_col, **options).select(id_col))
+
+
+def clean_rows(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **options) -> DataFrame:
+    """As ``decontaminate``, but every row is searched and kept or removed by itself, whatever its id."""
+    rows, key = keyed_rows(docs)
+    return decontaminate(rows, benchmark, key, text_col, **options).drop(key)

@@ -12,8 +12,12 @@ tested (joined parts with one of `MIN_PART` or more, so keys that hold separator
 stay whole), else each of its parts of `MIN_LENGTH` or more.  A run of `MIN_RUN` or more characters without
 such a part is tested as a whole.  Known digests (hex of the lengths in
 `DIGESTS`), UUIDs, numbers, compact dates with times, dotted or slashed names of
-words and anything a fixed pattern has found are left out.  Random characters
-that no separator sets off from the words beside them are tested with them.
+words and anything a fixed pattern has found are left out.  A part of letters of one
+case (or capitalised) looks like a word, so it must be longer and need more tokens:
+`LETTERS` or more, under `LETTERS_RATIO` characters a token, which no word of the
+given texts does; shorter ones cannot be told from invented or compound words.
+Random characters that no separator sets off from the words beside them are tested
+with them.  The work is linear in a run's length, apart from sorting.
 
 Positions are code points, ends exclusive.  Null is the empty text; repeated
 rows give equal results; extra columns are ignored; an empty table gives no rows.
@@ -23,7 +27,9 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+from bisect import bisect_left
 from functools import cache
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +45,8 @@ MIN_RUN = 20
 MIN_PART = 8
 MIN_WORD = 4
 MAX_RATIO = 2.3
+LETTERS = 24
+LETTERS_RATIO = 2.1
 REMEMBERED = 100_000
 #: Fixed patterns and least lengths.
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -47,6 +55,7 @@ _ACCESS = re.compile("AKIA[A-Z0-9]{16,}")
 _HEX = re.compile("[0-9a-f]{24,}")
 _STRING = re.compile(r"(?<![A-Za-z0-9+/_=.-])[A-Za-z0-9+/_=.-]{16,}(?![A-Za-z0-9+/_=.-])")
 _PART = re.compile("(?<![A-Za-z0-9])[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}(?![A-Za-z0-9])|[A-Za-z0-9]+")
+_LETTERS = re.compile("[a-z]+|[A-Z]+|[A-Z][a-z]+")
 #: Lengths of hex digests (MD5, SHA-1, SHA-224, SHA-256, SHA-384, SHA-512).
 DIGESTS = (32, 40, 56, 64, 96, 128)
 _KNOWN = re.compile("|".join([*(f"(?:[0-9a-f]{{{n}}}|[0-9A-F]{{{n}}})" for n in DIGESTS),
@@ -84,15 +93,26 @@ class Finder:
     def is_random(self, s: str) -> bool:
         return _mixed(s) and self.score(s) > 0
 
+    def random_letters(self, s: str) -> bool:
+        return len(s) >= LETTERS and bool(_LETTERS.fullmatch(s)) and LETTERS_RATIO * len(self.encoding.encode_ordinary(s)) > len(s)
+
     def random_spans(self, s: str, taken: list[tuple[int, int]]) -> list[tuple[int, int]]:
-        """(start, end) of random strings of one run, clear of the spans *taken*."""
+        """(start, end) of random strings of one run, clear of the spans *taken* (sorted)."""
+        starts = [b for b, _ in taken]
+        reach = list(accumulate((e for _, e in taken), max))
+
+        def is_clear(b: int, e: int) -> bool:
+            k = bisect_left(starts, e)
+            return not k or reach[k - 1] <= b
+
+        parts = [m.span() for m in _PART.finditer(s)]
+        letters = [(b, e) for b, e in parts if e - b >= LETTERS and self.random_letters(s[b:e]) and is_clear(b, e)]
         if not _mixed(s) or _KNOWN.fullmatch(s):
-            return []
+            return letters
 
         def is_found(b: int, e: int) -> bool:
-            return not any(x < e and b < y for x, y in taken) and self.is_random(s[b:e])
+            return is_clear(b, e) and self.is_random(s[b:e])
 
-        parts = [m.span() for m in _PART.finditer(s)]
         scores = np.zeros(2 * len(parts))  # each part, then the separators after it
         scores[::2] = [x if x > 0 or e - b < MIN_WORD else -self.max_ratio * len(s) for b, e in parts for x in [self.score(s[b:e])]]
         scores[1:-1:2] = [e - b for (_, e), (b, _) in zip(parts, parts[1:], strict=False)]
@@ -104,7 +124,9 @@ class Finder:
                 out.append((begin, end))
             elif len(inside) > 1:
                 out += [(b, e) for b, e in inside if e - b >= MIN_LENGTH and is_found(b, e)]
-        return out or ([(0, len(s))] if len(s) >= MIN_RUN and is_found(0, len(s)) else [])
+        if not out and not letters:
+            return [(0, len(s))] if len(s) >= MIN_RUN and is_found(0, len(s)) else []
+        return sorted(out + [(b, e) for b, e in letters if not any(x < e and b < y for x, y in out)])
 
     def spans(self, text: str | None) -> list[tuple[int, int, int]]:
         """(start, kind, end), sorted; kind is an index of KINDS."""

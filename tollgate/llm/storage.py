@@ -4,6 +4,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tollgate.session import shared_path
 
@@ -21,5 +22,14 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def keyed_rows(df: DataFrame, base: str = "_row_key") -> tuple[DataFrame, str]:
+    """*df* with a key of each row, written, so that it stays the same whenever a task is run again, and the name of its
+    column, which no column of *df* has."""
+    name, taken = base, {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return settle(df.withColumn(name, F.monotonically_increasing_id()), "keyed"), name
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
