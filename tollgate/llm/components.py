@@ -1,9 +1,10 @@
 """Connected components of an edge table, by alternating large-star and small-star steps.
 
 Both steps are one partial aggregation (the least neighbour of each node, so a
-hub costs one row per task) and one join back, which adaptive execution splits
-when a hub is hot.  Each round is written to the shared folder; only two
-numbers per round reach the driver.
+hub costs one row per task), which is written, and one join back.  As the written
+table has each node once and both sides of the join are plain shuffles, adaptive
+execution can split a hub's edges over tasks.  Each round is written to the shared
+folder; only two numbers per round reach the driver.
 """
 from __future__ import annotations
 
@@ -17,6 +18,7 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))) if large else \
         edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    least = settle(least, "least")
     joined = both.join(least, "u")
     if large:
         moved = joined.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))

@@ -31,8 +31,8 @@ shingle width count as one shingle; repeated rows of one id are one node.
 Extra columns are ignored.  An empty table gives an empty result.
 
 What is broadcast has a fixed size: `HOT_SHINGLES` hashes, `HEAVY_CLASSES`
-classes (of more than `HEAVY_COPIES` equal sets; their other members need no
-keys of their own) and a Bloom filter of 2 MB.  None of the
+classes (of more than `HEAVY_COPIES` equal sets; their other members' keys are
+left out) and a Bloom filter of 2 MB.  None of the
 three changes the result.
 """
 from __future__ import annotations
@@ -47,7 +47,7 @@ from pyspark.sql import functions as F
 from tollgate.llm.bitmap import bitmap_of, may_hold, without
 from tollgate.llm.components import components
 from tollgate.llm.grouping import sorted_groups
-from tollgate.llm.storage import settle
+from tollgate.llm.storage import keyed_rows, settle
 from tollgate.llm.wordhash import U64, WordHashes, mix, shingle_set
 
 WIDTH = 5
@@ -141,13 +141,16 @@ def _stack(parts, schema: pa.Schema) -> pa.RecordBatch:
     for i, field in enumerate(schema):
         if field.type == pa.binary():
             columns.append(pa.array([x for p in parts for x in p[i]], pa.binary()))
+        elif pa.types.is_list(field.type):
+            lists = [x for p in parts for x in p[i]]
+            offsets = np.cumsum([0, *map(len, lists)]).astype(np.int32)
+            columns.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(lists))))
         else:
             columns.append(pa.array(np.concatenate([np.asarray(p[i]) for p in parts]).astype(field.type.to_pandas_dtype()), field.type))
     return pa.RecordBatch.from_arrays(columns, schema=schema)
 
 
-_SETS = pa.schema([("doc", pa.int64()), ("n", pa.int32()), ("fp", pa.int64()), ("sketch", pa.binary())])
-_KEYS = pa.schema([("key", pa.int64()), ("n", pa.int32()), ("fp", pa.int64())])
+_SETS = pa.schema([("doc", pa.int64()), ("n", pa.int32()), ("fp", pa.int64()), ("sketch", pa.binary()), ("keys", pa.list_(pa.int64()))])
 _FULL = pa.schema([("doc", pa.int64()), ("fp", pa.int64()), ("shingles", pa.binary())])
 _PAIR = ("a", "afp", "b", "bfp")
 _GROUP = pa.schema([("key", pa.int64()), ("pn", pa.int32()), ("pfp", pa.int64()), ("n", pa.int32()), ("fp", pa.int64())])
@@ -240,13 +243,15 @@ class _Join:
         self.spark = texts.sparkSession
 
     def sets(self) -> DataFrame:
-        width = self.width
+        """Size, fingerprint, narrow sketch and block keys of every text, in one pass over the texts."""
+        width, pct = self.width, self.pct
+        hot = self.spark.sparkContext.broadcast(self.hot_shingles())
 
         def one(doc, words):
             s = shingle_set(words, width)
-            return [doc], [len(s)], [set_fingerprint(s)], [narrow_sketch(s)]
+            return [doc], [len(s)], [set_fingerprint(s)], [narrow_sketch(s)], [block_keys(s, hot.value, pct).view(_S64)]
 
-        return self.texts.mapInArrow(_mapper(one, _SETS), "doc long, n int, fp long, sketch binary")
+        return self.texts.mapInArrow(_mapper(one, _SETS, 1 << 12), "doc long, n int, fp long, sketch binary, keys array<long>")
 
     def hot_shingles(self) -> tuple[np.ndarray, np.ndarray]:
         """Shingles frequent in a fixed share of the texts, with counts; at most HOT_SHINGLES reach the driver."""
@@ -263,27 +268,13 @@ class _Join:
         order = np.argsort(h)
         return h[order], n[order]
 
-    def heavy(self, classes: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-        top = classes.where(F.col("copies") > HEAVY_COPIES).orderBy(F.desc("copies"), "doc").limit(HEAVY_CLASSES)
-        rows = sorted((r.fp, r.doc) for r in top.select("fp", "doc").collect())
-        return np.array([r[0] for r in rows], _S64), np.array([r[1] for r in rows], _S64)
-
-    def keys(self, classes: DataFrame) -> DataFrame:
-        sc, width, pct = self.spark.sparkContext, self.width, self.pct
-        hot, heavy = sc.broadcast(self.hot_shingles()), sc.broadcast(self.heavy(classes))
-
-        def one(doc, words):
-            s = shingle_set(words, width)
-            if not len(s):
-                return None
-            fp = set_fingerprint(s)
-            at = np.searchsorted(heavy.value[0], fp)
-            if at < len(heavy.value[0]) and heavy.value[0][at] == fp and heavy.value[1][at] != doc:
-                return None
-            keys = block_keys(s, hot.value, pct).view(_S64)
-            return keys, np.full(len(keys), len(s), np.int32), np.full(len(keys), fp, _S64)
-
-        return self.texts.mapInArrow(_mapper(one, _KEYS), "key long, n int, fp long")
+    def keys(self, sets: DataFrame, classes: DataFrame) -> DataFrame:
+        """(key, n, fp) of the written sets; of a class of many copies, the first member's only."""
+        heavy = classes.where(F.col("copies") > HEAVY_COPIES).orderBy(F.desc("copies"), "doc").limit(HEAVY_CLASSES)
+        heavy = heavy.select(F.col("n").alias("hn"), F.col("fp").alias("hfp"), F.col("doc").alias("first"))
+        sets = sets.where("n > 0").select("doc", "n", "fp", "keys")
+        kept = sets.join(F.broadcast(heavy), (sets["n"] == heavy["hn"]) & (sets["fp"] == heavy["hfp"]), "left").where("first IS NULL OR first = doc")
+        return kept.select(F.explode("keys").alias("key"), "n", "fp")
 
     def full_sets(self, pairs: DataFrame) -> DataFrame:
         """(doc, shingles) of the texts in *pairs*.  A Bloom filter of fixed size says which texts can be needed;
@@ -347,7 +338,7 @@ class _Join:
         several = sets.where("n > 0").groupBy("doc").agg(F.min("fp").alias("lo"), F.max("fp").alias("hi")).where("lo != hi")
         several = (sets.join(several.select("doc"), "doc").select(F.col("doc").alias("a"), "n", "fp")
                    .join(classes.select("n", "fp", F.col("doc").alias("b")), ["n", "fp"]).select("a", "b"))
-        keys = self.keys(classes)
+        keys = self.keys(sets, classes)
         # the order within a key depends on the key, so the groups of a text have different first members
         groups = keys.repartition("key").sortWithinPartitions("key", F.xxhash64("key", "n", "fp"))
         groups = settle(groups.mapInArrow(_members, "key long, pn int, pfp long, n int, fp long"), "groups")
@@ -383,3 +374,15 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     """The rows of *docs* whose id is the least of its near-duplicate group (all columns; null ids stay)."""
     found = near_duplicates(docs, id_col, text_col, **options)
     return without(docs, id_col, found.where(F.col(id_col) != F.col("component_id")).select(id_col))
+
+
+def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """*docs* with one row of each near-duplicate group, that of the least id (null ids come last; of equal ids the first
+    row).  Every row is judged by itself, whatever its id; all columns stay."""
+    rows, key = keyed_rows(docs)
+    found = settle(near_duplicates(rows, key, text_col, **options).select(key, "component_id"), "row-groups")
+    order = F.struct(F.col(id_col).isNull(), id_col, key)
+    least = found.join(rows.select(key, id_col), key).groupBy("component_id").agg(F.min_by(key, order).alias("least"))
+    swapped = settle(least.where("least != component_id"), "swapped")  # groups whose least id is not that of the least key
+    gone = found.where(F.col(key) != F.col("component_id")).select(key).join(swapped.select(F.col("least").alias(key)), key, "left_anti")
+    return without(rows, key, gone.union(swapped.select("component_id"))).drop(key)
