@@ -15,7 +15,9 @@ segment of the whole text.  A segment of score s in a text of n tokens has the
 expected count E = K * n * exp(-lambda * s) under the clean tokens, where lambda
 solves sum p_i * exp(lambda * s_i) = 1 (extreme-value statistics); segments with
 E < 1 are passages, and the text's evidence is the sum of -ln(E) over them.  A
-logistic curve fitted on the training texts maps evidence to a probability.
+logistic curve over ln(1 + evidence) gives the probability; it is fitted on the training texts,
+each scored with weights learned from the other folds (`FOLDS`, by a hash of the
+text, so copies of a text share one).
 
 Texts are null, empty or any length; without a passage the evidence is 0.
 Repeated rows score alike; extra columns are ignored; an empty table gives no
@@ -38,7 +40,7 @@ from pyspark.sql import functions as F
 from tollgate.llm.storage import settle
 
 TRAIN_PER_CLASS = 4_000
-MAX_FEATURES = 100_000
+FOLDS = 8
 STEMS = (6, 5, 4)
 Z = 2.0
 PRIOR = 0.1
@@ -65,24 +67,28 @@ def forms(word: str) -> list[str]:
 
 
 def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
-    """All maximal scoring segments (begin, end, score) in one pass; tokens that score -DRIFT are taken as runs."""
-    found: list[list] = []  # begin, end, left (total before), right (total at the end)
-    total, at = 0.0, 0
-    for i in np.flatnonzero(scores > 0).tolist():
-        total += float(scores[at:i].sum())
-        at = i + 1
-        left, total = total, total + float(scores[i])
-        begin = i
-        while True:
-            k = len(found) - 1
-            while k >= 0 and found[k][2] >= left:
-                k -= 1
-            if k < 0 or found[k][3] >= total:
-                found.append([begin, i + 1, left, total])
-                break
-            begin, left = found[k][0], found[k][2]
-            del found[k:]
-    return [(b, e, r - x) for b, e, x, r in found]
+    """All maximal scoring segments (begin, end, score) in one pass, in time linear in the tokens.
+
+    A candidate remembers the last earlier one that begins at a lower total, so no candidate is looked at twice for
+    the same reason; when a token's total lies below all candidates, they are final and leave."""
+    final: list[tuple[int, int, float]] = []
+    held: list[tuple[int, int, float, float, int]] = []  # begin, end, total before, total at the end, last lower one
+    spots = np.flatnonzero(scores > 0)
+    ends = np.cumsum(scores)[spots].tolist()
+    for i, s, total in zip(spots.tolist(), scores[spots].tolist(), ends, strict=True):
+        begin, left = i, total - s
+        k = len(held) - 1
+        while k >= 0 and held[k][2] >= left:
+            k = held[k][4]
+        while k >= 0 and held[k][3] < total:  # reaches higher from there: one segment with all between
+            begin, _, left, _, lower = held[k]
+            del held[k:]
+            k = lower
+        if k < 0 and held:
+            final += [(b, e, r - x) for b, e, x, r, _ in held]
+            held.clear()
+        held.append((begin, i + 1, left, total, k))
+    return final + [(b, e, r - x) for b, e, x, r, _ in held]
 
 
 class Scorer:
@@ -118,19 +124,19 @@ class Scorer:
         return out
 
     def score(self, evidence: float) -> float:
-        return 1 / (1 + math.exp(-max(-50.0, min(50.0, self.model.level + self.model.slope * min(evidence, 50.0)))))
+        return 1 / (1 + math.exp(-max(-50.0, min(50.0, self.model.level + self.model.slope * math.log1p(evidence)))))
 
 
 def _contexts(batches):
-    """(word, hash of the word with its neighbours, label), each once a batch."""
+    """(word, hash of the word with its neighbours, label, fold as a bit), each once a batch."""
     for batch in batches:
         seen = {}
-        for text, label in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
+        for text, label, fold in zip(batch.column(0), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
             words = ["", *_WORD.findall((text.as_py() or "").lower()), ""]
-            seen.update(((before, word, after, label), word) for before, word, after in zip(words, words[1:], words[2:], strict=False))
+            seen.update(((before, word, after, label, fold), word) for before, word, after in zip(words, words[1:], words[2:], strict=False))
         keys = [int.from_bytes(blake2b("\0".join(k[:3]).encode(), digest_size=8).digest(), "little", signed=True) for k in seen]
-        yield pa.RecordBatch.from_arrays([pa.array(list(seen.values()), pa.string()), pa.array(keys, pa.int64()), pa.array([k[3] for k in seen], pa.int32())],
-                                         names=["word", "context", "label"])
+        yield pa.RecordBatch.from_arrays([pa.array(list(seen.values()), pa.string()), pa.array(keys, pa.int64()), pa.array([k[3] for k in seen], pa.int32()),
+                                          pa.array([1 << k[4] for k in seen], pa.int32())], names=["word", "context", "label", "folds"])
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, per_class: int) -> DataFrame:
@@ -187,26 +193,21 @@ def fit_logistic(x: np.ndarray, label: np.ndarray, weight: np.ndarray) -> tuple[
     return float(beta[0]), float(beta[1])
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", *,
-        per_class: int = TRAIN_PER_CLASS, max_features: int = MAX_FEATURES) -> Model:
-    rows = settle(training_rows(docs, labels, id_col, text_col, label_col, per_class), "toxic-training")
-    words = (rows.mapInArrow(_contexts, "word string, context long, label int").distinct().groupBy("word")
-             .agg(F.sum("label").alias("k1"), F.sum(1 - F.col("label")).alias("k0")))
-    words = settle(words, "toxic-words")
-    whole = words.agg(F.sum("k1").alias("k1"), F.sum("k0").alias("k0")).first()
-    share = rows.agg(F.avg("label").alias("toxic")).first().toxic
+def _learn(counts: DataFrame) -> Model | None:
+    """Weights and lambda from (word, k1, k0): in how many contexts each word stands, of toxic and of clean texts."""
+    whole = counts.agg(F.sum("k1").alias("k1"), F.sum("k0").alias("k0")).first()
     if not whole.k1 or not whole.k0:
-        return Model({}, 1.0, 0.0, -30.0 if not share else math.log(min(share, 0.6) / (1 - min(share, 0.6))))
+        return None
     n1, n0 = whole.k1, whole.k0
     stems = F.array(F.col("word"), *(F.when(F.length("word") > k, F.concat(F.substring("word", 1, k), F.lit("*"))) for k in STEMS))
-    counts = words.select(F.explode(stems).alias("feature"), "k1", "k0").where("feature IS NOT NULL").groupBy("feature").agg(
+    features = counts.select(F.explode(stems).alias("feature"), "k1", "k0").where("feature IS NOT NULL").groupBy("feature").agg(
         F.sum("k1").alias("k1"), F.sum("k0").alias("k0"))
     strength = PRIOR * min(n1, n0)
     prior = (F.col("k1") + F.col("k0")) * (strength / (n1 + n0))
     odds = F.log((F.col("k1") + prior) / (n1 + strength)) - F.log((F.col("k0") + prior) / (n0 + strength))
     error = F.sqrt(1 / (F.col("k1") + prior) + 1 / (F.col("k0") + prior))
-    scored = counts.select("feature", "k0", (F.signum(odds) * F.greatest(F.lit(0.0), F.abs(odds) - Z * error)).alias("odds"))
-    top = scored.where("odds != 0").orderBy(F.desc(F.abs("odds")), "feature").limit(max_features).collect()
+    scored = features.select("feature", "k0", (F.signum(odds) * F.greatest(F.lit(0.0), F.abs(odds) - Z * error)).alias("odds"))
+    top = scored.where("odds != 0").orderBy(F.desc(F.abs("odds")), "feature").collect()
     weights = {r.feature: r.odds for r in top}
 
     # score distribution of clean tokens, with half a count for each weight that no clean text has
@@ -219,18 +220,38 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     score = np.array([-DRIFT, *seen], float)
     probability = np.array([rest, *seen.values()], float)
     lam = solve_lambda(probability / probability.sum(), score) if score.max() > 0 else 1.0
-    draft = Model(weights, lam, 0.0, 0.0)
-    shared = docs.sparkSession.sparkContext.broadcast(draft)
+    return Model(weights, lam, 0.0, 0.0)
+
+
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", *,
+        per_class: int = TRAIN_PER_CLASS) -> Model:
+    rows = training_rows(docs, labels, id_col, text_col, label_col, per_class).withColumn("fold", F.expr(f"cast(pmod(xxhash64(body), {FOLDS}) as int)"))
+    rows = settle(rows, "toxic-training")
+    words = (rows.mapInArrow(_contexts, "word string, context long, label int, folds int")
+             .groupBy("word", "context", "label").agg(F.bit_or("folds").alias("folds")))
+    of = lambda label, folds: F.count_if((F.col("label") == label) & (F.col("folds").bitwiseAND(folds) != 0))
+    others = [(1 << FOLDS) - 1 - (1 << k) for k in range(FOLDS)]
+    words = words.groupBy("word").agg(of(1, -1).alias("k1"), of(0, -1).alias("k0"),
+                                      *(of(label, others[k]).alias(f"k{label}_{k}") for k in range(FOLDS) for label in (0, 1)))
+    words = settle(words, "toxic-words")
+    share = rows.agg(F.avg("label").alias("toxic")).first().toxic
+    whole = _learn(words.select("word", "k1", "k0"))
+    if whole is None:
+        return Model({}, 1.0, 0.0, -30.0 if not share else math.log(min(share, 0.6) / (1 - min(share, 0.6))))
+    # too few texts of a class for a fold to lack: scored with all weights
+    folds = [_learn(words.select("word", F.col(f"k1_{k}").alias("k1"), F.col(f"k0_{k}").alias("k0")).where("k1 + k0 > 0")) or whole for k in range(FOLDS)]
+    shared = docs.sparkSession.sparkContext.broadcast(folds)
 
     def evidence(batches):
-        scorer = Scorer(shared.value)
+        scorers = [Scorer(model) for model in shared.value]
         for batch in batches:
-            x = [round(2 * min(50.0, sum(p[3] for p in scorer.passages(t.as_py())))) / 2 for t in batch.column(0)]
+            x = [round(20 * math.log1p(sum(p[3] for p in scorers[fold].passages(t.as_py())))) / 20
+                 for t, fold in zip(batch.column(0), batch.column(2).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.float64()), batch.column(1)], names=["x", "label"])
 
     bins = rows.mapInArrow(evidence, "x double, label int").groupBy("x", "label").count().orderBy("x", "label").collect()
     x, label, weight = (np.array([r[i] for r in bins], float) for i in range(3))
-    return Model(weights, lam, *fit_logistic(x, label, weight))
+    return Model(whole.weights, whole.lam, *fit_logistic(x, label, weight))
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
