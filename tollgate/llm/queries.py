@@ -90,6 +90,22 @@ QUERIES = {f.__name__: f for f in (op1_language_id, op2_decontaminate, op3_html_
 
 #: Positions, tokenizers and learned models are beyond one SQL text; the tests hold those operators against brute force.
 ORACLE: dict[str, str] = {
+    "op4_ngram_jaccard_join": r"""
+WITH RECURSIVE listed AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct([array_to_string(w[i : i + 4], ' ') FOR i IN range(1, len(w) - 3)]) END AS shingles FROM listed),
+shingles AS (SELECT doc_id, len(shingles) AS n, unnest(shingles) AS shingle FROM sets),
+shared AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, a.n + b.n AS n, count(*) AS both_have
+  FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (SELECT x, y FROM shared WHERE 100 * both_have >= 80 * (n - both_have)),
+ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reached(doc_id, other) AS (SELECT doc_id, doc_id FROM sets UNION SELECT doc_id, y FROM reached JOIN ways ON other = x)
+SELECT doc_id, CAST(len(shingles) AS BIGINT) AS n_shingles, component_id
+FROM sets JOIN (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id) c USING (doc_id)""",
     "op5_warc": """
 WITH payloads AS (
   SELECT page_id, coalesce(url, '') AS url, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
@@ -97,6 +113,18 @@ leaders AS (SELECT payload_digest, min(page_id) AS leader FROM payloads WHERE pa
 SELECT page_id, payload_bytes, payload_digest, CASE WHEN coalesce(leader, page_id) = page_id THEN 'response' ELSE 'revisit' END AS record_type,
   CASE WHEN leader <> page_id THEN leader END AS refers_to, 'GET ' || url || ' HTTP/1.1' AS request_line, 'page-id: ' || page_id AS metadata_fields
 FROM payloads LEFT JOIN leaders USING (payload_digest)""",
+    "op8_embedding_dedup": """
+WITH RECURSIVE usable AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM usable a JOIN usable b ON a.label = b.label AND a.vec_id < b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.93),
+ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reached(vec_id, other) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT vec_id, y FROM reached JOIN ways ON other = x)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM (SELECT vec_id, min(other) AS component_id FROM reached GROUP BY vec_id) c LEFT JOIN (SELECT x AS vec_id, count(*) AS n FROM ways GROUP BY x) w USING (vec_id)""",
     "op12_hard_negatives": """
 WITH vectors AS (
   SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
