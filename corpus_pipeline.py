@@ -22,33 +22,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tollgate.llm import decontaminate, ngram_join, packing, secrets, toxicity
-from tollgate.llm.bitmap import without
 from tollgate.llm.storage import settle, table
 
-ROW = "_row_key"
-
-
-def _keyed(docs: DataFrame) -> DataFrame:
-    """*docs* with a key of each row; written, so that it stays the same whenever a task is run again."""
-    return settle(docs.withColumn(ROW, F.monotonically_increasing_id()), "keyed")
-
-
 def remove_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.keep_clean(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
 def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    rows = _keyed(docs)
-    found = settle(ngram_join.near_duplicates(rows, ROW).select(ROW, "component_id"), "row-groups")
-    order = F.struct(F.col("doc_id").isNull(), "doc_id", ROW)
-    least = found.join(rows.select(ROW, "doc_id"), ROW).groupBy("component_id").agg(F.min_by(ROW, order).alias("least"))
-    swapped = settle(least.where("least != component_id"), "swapped")  # groups whose least id is not that of the least key
-    gone = found.where(F.col(ROW) != F.col("component_id")).select(ROW).join(swapped.select(F.col("least").alias(ROW)), ROW, "left_anti")
-    return without(rows, ROW, gone.union(swapped.select("component_id"))).drop(ROW)
+    return ngram_join.one_of_each_group(docs)
 
 
 def remove_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return decontaminate.decontaminate(_keyed(docs), table(spark, sf_dir, "benchmark"), ROW).drop(ROW)
+    return decontaminate.clean_rows(docs, table(spark, sf_dir, "benchmark"))
 
 
 def remove_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
