@@ -104,3 +104,9 @@ def test_ids_equal_the_library():
     ids, t = ByteIds("byte_bpe_50k.json", limit=300), load_tokenizer("byte_bpe_50k.json")
     for x in [*odd_texts(), " lead", "trail ", "a  b", "a \n b", "a\t \nx", "a <|endoftext|> b", "x" * 200 + " " + "é" * 100]:
         assert np.frombuffer(ids.of(x), "<u4").tolist() == t.encode(x or "", add_special_tokens=False).ids
+
+
+def test_ids_of_a_vocabulary_that_splits_otherwise():
+    ids, t = ByteIds("word_bpe_49k.json"), load_tokenizer("word_bpe_49k.json")
+    for x in ("Hello, World don't stop", "a b  c", "ÀÉ x"):
+        assert np.frombuffer(ids.of(x), "<u4").tolist() == t.encode(x, add_special_tokens=False).ids

@@ -5,10 +5,12 @@ every space that stands before something other than white space.  A text is cut
 there and the ids of each run are remembered; a new run is put together from its
 pre-tokens, whose ids come from the library's own model.  Texts with a space
 before white space or at their end, with other than Latin letters or with strings
-of special tokens go through the library whole.
+of special tokens go through the library whole, and so do all texts if the
+vocabulary's file splits or normalises texts in another way.
 """
 from __future__ import annotations
 
+import json
 import re
 import struct
 from functools import cache
@@ -36,6 +38,10 @@ class ByteIds(dict):
         self.space = self.letters[0x20]
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.latin, self.split = re.compile(LATIN), re.compile(PRE_TOKEN_LATIN)
+        spec = json.loads(self.tokenizer.to_str())
+        before = spec["pre_tokenizer"] or {}
+        self.known_split = (not spec["normalizer"] and spec["model"]["type"] == "BPE" and before.get("type") == "ByteLevel" and before.get("use_regex", True)
+                            and not before.get("add_prefix_space"))
 
     def _whole(self, text: str) -> bytes:
         return _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
@@ -59,7 +65,7 @@ class ByteIds(dict):
         """Little-endian unsigned 32-bit ids, without added special tokens; empty for null."""
         if not text:
             return b""
-        if _LOOSE.search(text) or not self.latin.fullmatch(text) or any(s in text for s in self.special):
+        if not self.known_split or _LOOSE.search(text) or not self.latin.fullmatch(text) or any(s in text for s in self.special):
             return self._whole(text)
         first, *rest = text.split(" ")
         return (self._whole(first) if first else b"") + b"".join(map(self.__getitem__, rest))
