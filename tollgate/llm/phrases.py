@@ -5,10 +5,11 @@ language becomes a 64-bit hash.  A *suffix* is a position of a piece with the wo
 that follow it, up to `LONGEST`.
 
 1. **Leading words.**  Words, then pairs of frequent words, are counted over all
-   texts.  Suffixes whose leading pair is infrequent are abandoned, and a suffix ends
-   before its first infrequent word or pair, since no frequent phrase goes further.
-2. **Routing.**  The other suffixes go to tasks by their leading pair; equal ones of a
-   task are added up first.  A pair with more than a fair share of all suffixes is
+   texts: the sizes of the parts that suffixes would be dealt to.  Suffixes of an
+   infrequent pair are abandoned, and a suffix ends before its first infrequent word or
+   pair, since no frequent phrase goes further.
+2. **Routing.**  Suffixes of three words or more go to tasks by their leading pair; equal
+   ones of a task are added up first.  A pair with more than a fair share of all suffixes is
    dealt on by the whole suffix, and its counts are partial until they are added up.
 3. **Sorting.**  Each task sorts pointers to its suffixes with a three-way quicksort, a
    word at a time: the middle part, equal in one more word, is a phrase whose count is
@@ -44,7 +45,7 @@ from pyspark.sql import functions as F
 
 from tollgate.llm.bitmap import bitmap_of, may_hold
 from tollgate.llm.storage import settle
-from tollgate.llm.wordhash import POSITION, U64, mix
+from tollgate.llm.wordhash import POSITION, U64, hashes, mix
 
 LEAST = 100
 LONGEST = 5
@@ -54,26 +55,21 @@ SHARE = 4  # a leading pair is dealt on if it has over 1 / SHARE of a task's suf
 SUFFIXES_A_TASK = 1 << 21
 SMALL = 2048
 _SLICE = 1 << 20
-_HELD = 1 << 21
-_WORDS = 1 << 18
+_HELD = 1 << 20  # suffixes or pairs added up at a time
+_WORDS = 1 << 18  # words counted before they are handed on
 _BREAK = b"."
 _PLAIN = bytes.maketrans(b".,;:!?\x0a\x0b\x0c\x0d\t", _BREAK * 10 + b" ")
 
 
-class _Hashes(dict):
-    """word -> hash, for one language and seed; a break is 0."""
+def _seed(lang: str, seed: int) -> int:
+    return int.from_bytes(blake2b(f"{seed} {lang}".encode(), digest_size=8).digest(), "little") or 1
 
-    def __init__(self, lang: str, seed: int):
-        super().__init__()
-        self.key = blake2b(f"{seed} {lang}".encode(), digest_size=16).digest()
 
-    def __missing__(self, word: bytes) -> int:
-        if word == _BREAK:
-            return 0
-        if len(self) >= _WORDS:
-            self.clear()
-        self[word] = h = int.from_bytes(blake2b(word, digest_size=8, key=self.key).digest(), "little") or 1
-        return h
+def _hashes(words: list[bytes], seed: int) -> np.ndarray:
+    """Hashes of words of one language; 0 for a break only."""
+    out = np.maximum(hashes(words, seed), U64(1))
+    out[out == hashes([_BREAK], seed)] = 0
+    return out
 
 
 def _word_lists(data: bytes) -> Iterator[list[bytes]]:
@@ -111,14 +107,9 @@ def _texts(batches) -> Iterator[tuple[str, bytes]]:
 
 def _hashed(batches, seed: int) -> Iterator[np.ndarray]:
     """Word hashes of some texts, 0 between pieces and at the end."""
-    known: dict[str, _Hashes] = {}
     for lang, data in _texts(batches):
-        if lang not in known:
-            if len(known) >= 8:
-                known.clear()
-            known[lang] = _Hashes(lang, seed)
-        table = known[lang].__getitem__
-        yield np.concatenate([*(np.fromiter(map(table, words), U64, len(words)) for words in _word_lists(data)), np.zeros(1, U64)])
+        own = _seed(lang, seed)
+        yield np.concatenate([*(_hashes(words, own) for words in _word_lists(data)), np.zeros(1, U64)])
 
 
 def pair_keys(first: np.ndarray, second: np.ndarray) -> np.ndarray:
@@ -133,9 +124,8 @@ def _count_words(seed: int):
         def out():
             for lang, words in held.items():
                 words.pop(_BREAK, None)
-                hashes = _Hashes(lang, seed)
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(words), pa.string()), pa.array(list(words), pa.binary()), pa.array(list(words.values()), pa.int64()),
-                                                  pa.array(np.fromiter(map(hashes.__getitem__, words), U64, len(words)).view(np.int64))],
+                                                  pa.array(_hashes(list(words), _seed(lang, seed)).view(np.int64))],
                                                  names=["lang", "word", "f", "h"])
             held.clear()
 
@@ -151,19 +141,19 @@ def _count_words(seed: int):
 
 
 def _count_pairs(seed: int, frequent):
-    """(key, n) of neighbouring frequent words."""
+    """(w0, w1, n) of neighbouring frequent words."""
 
     def run(batches):
         held, size = [], 0
 
         def out():
-            key, n = np.unique(np.concatenate(held), return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n)], names=["key", "n"])
+            rows, n, _ = added_up(np.concatenate(held), np.ones(size, np.int64))
+            return pa.RecordBatch.from_arrays([*_longs(rows), pa.array(n)], names=["w0", "w1", "n"])
 
         for h in _hashed(batches, seed):
             ok = may_hold(frequent.value, h) & (h != 0)
             at = np.flatnonzero(ok[:-1] & ok[1:])
-            held.append(pair_keys(h[at], h[at + 1]))
+            held.append(np.stack([h[at], h[at + 1]], axis=1))
             size += len(at)
             if size >= _HELD:
                 yield out()
@@ -174,15 +164,26 @@ def _count_pairs(seed: int, frequent):
     return run
 
 
+def _longs(rows: np.ndarray) -> list[pa.Array]:
+    return [pa.array(np.ascontiguousarray(rows[:, k]).view(np.int64)) for k in range(rows.shape[1])]
+
+
+def _keyed_pairs(batches):
+    for batch in batches:
+        key = pair_keys(*(np.asarray(batch.column(k)).view(U64) for k in (0, 1)))
+        yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), batch.column(2)], names=["key", "n"])
+
+
 def suffixes(h: np.ndarray, ok: np.ndarray, pair_ok: np.ndarray) -> np.ndarray:
-    """Suffixes of two words or more, padded with 0: *ok* marks frequent words and *pair_ok* (one shorter) pairs."""
-    at = np.flatnonzero(ok[:-1] & ok[1:] & pair_ok)
+    """Suffixes of three words or more, padded with 0: *ok* marks frequent words and *pair_ok* (one shorter) pairs."""
     linked = np.zeros(len(h) + LONGEST, bool)
-    linked[at] = True
+    linked[: len(h) - 1] = ok[:-1] & ok[1:] & pair_ok
+    at = np.flatnonzero(linked[:-1] & linked[1:])
     out = np.zeros((len(at), LONGEST), U64)
-    out[:, 0], out[:, 1] = h[at], h[at + 1]
+    for k in range(3):
+        out[:, k] = h[at + k]
     on = np.ones(len(at), bool)
-    for k in range(2, LONGEST):
+    for k in range(3, LONGEST):
         on &= linked[at + k - 1]
         out[on, k] = h[at[on] + k]
     return out
@@ -191,18 +192,19 @@ def suffixes(h: np.ndarray, ok: np.ndarray, pair_ok: np.ndarray) -> np.ndarray:
 def added_up(rows: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Equal neighbours in the order of a hash as one: rows, counts, hashes."""
     with np.errstate(over="ignore"):
-        key = mix((rows * POSITION[:LONGEST]).sum(axis=1, dtype=U64), 3)
+        key = mix((rows * POSITION[: rows.shape[1]]).sum(axis=1, dtype=U64), 3)
     order = np.argsort(key, kind="stable")
     rows, key = rows[order], key[order]
     head = np.r_[True, (key[1:] != key[:-1]) | (rows[1:] != rows[:-1]).any(axis=1)]
     return rows[head], np.add.reduceat(n[order], np.flatnonzero(head)), key[head]
 
 
-_ROUTED = pa.schema([("route", pa.int64()), ("partial", pa.bool_()), *((f"w{k}", pa.int64()) for k in range(LONGEST)), ("n", pa.int64())])
+_ROUTED = pa.schema([("task", pa.int32()), ("partial", pa.bool_()), ("block", pa.binary())])
 
 
-def _route(seed: int, frequent, pairs, hot):
-    """Suffixes by leading pair; those of a hot one are dealt on."""
+def _route(seed: int, frequent, pairs, hot, tasks: int):
+    """Suffixes by leading pair; those of a hot one are dealt on.  What a buffer has for one task is one row: the suffixes,
+    then their counts."""
 
     def run(batches):
         held, size = [], 0
@@ -214,9 +216,14 @@ def _route(seed: int, frequent, pairs, hot):
             at = np.minimum(np.searchsorted(keys, lead), max(len(keys) - 1, 0))
             deal = np.where(keys[at] == lead, deals[at], 1).astype(U64) if len(keys) else np.ones(len(lead), U64)
             with np.errstate(over="ignore"):
-                route = mix(lead + key % deal, 4)
-            return pa.RecordBatch.from_arrays([pa.array(route.view(np.int64)), pa.array(deal > 1), *(pa.array(np.ascontiguousarray(rows[:, k]).view(np.int64)) for k in range(LONGEST)),
-                                               pa.array(n)], schema=_ROUTED)
+                task = (mix(lead + key % deal, 4) % U64(tasks)).astype(np.int32)
+            partial = deal > 1
+            order = np.lexsort((partial, task))
+            task, partial, rows, n = task[order], partial[order], rows[order], n[order]
+            cut = np.flatnonzero((task[1:] != task[:-1]) | (partial[1:] != partial[:-1])) + 1
+            first = np.r_[0, cut]
+            blocks = [r.tobytes() + c.tobytes() for r, c in zip(np.split(rows, cut), np.split(n, cut), strict=True)]
+            return pa.RecordBatch.from_arrays([pa.array(task[first]), pa.array(partial[first]), pa.array(blocks, pa.binary())], schema=_ROUTED)
 
         for h in _hashed(batches, seed):
             ok = may_hold(frequent.value, h) & (h != 0)
@@ -225,7 +232,7 @@ def _route(seed: int, frequent, pairs, hot):
             pair_ok[at] = may_hold(pairs.value, pair_keys(h[at], h[at + 1]))
             held.append(suffixes(h, ok, pair_ok))
             size += len(held[-1])
-            if size >= _HELD // 2:
+            if size >= _HELD:
                 yield out()
                 held, size = [], 0
         if size:
@@ -278,23 +285,30 @@ def sorted_phrases(rows: np.ndarray, n: np.ndarray, least: int, small: int = SMA
 
 
 def _sort(least: int):
+    """Phrases of three words or more and their counts; suffixes of two are not among the rows."""
+
     def run(batches):
-        held = [b for b in batches if b.num_rows]
-        if not held:
-            return
-        table = pa.Table.from_batches(held)
-        rows = np.stack([np.asarray(table.column(f"w{k}")).view(U64) for k in range(LONGEST)], axis=1)
-        n, partial = np.asarray(table.column("n")), np.asarray(table.column("partial"))
-        for part, lowest in ((~partial, least), (partial, 1)):
-            phrase, f = sorted_phrases(rows[part], n[part], lowest)
-            yield pa.RecordBatch.from_arrays([*(pa.array(np.ascontiguousarray(phrase[:, k]).view(np.int64)) for k in range(LONGEST)), pa.array(f)],
-                                             names=[*(f"w{k}" for k in range(LONGEST)), "f"])
+        held = {False: [], True: []}
+        for batch in batches:
+            for partial, block in zip(batch.column(1).to_pylist(), batch.column(2), strict=True):
+                block = np.frombuffer(block.as_buffer(), U64)
+                cut = len(block) // (LONGEST + 1) * LONGEST
+                held[partial].append((block[:cut].reshape(-1, LONGEST).copy(), block[cut:].astype(np.int64)))
+        for partial, parts in held.items():
+            if not parts:
+                continue
+            rows, n = (np.concatenate(x) for x in zip(*parts, strict=True))
+            phrase, f = sorted_phrases(rows, n, 1 if partial else least)
+            longer = phrase[:, 2] != 0
+            yield pa.RecordBatch.from_arrays([*_longs(phrase[longer]), pa.array(f[longer])], names=[*(f"w{k}" for k in range(LONGEST)), "f"])
 
     return run
 
 
 def _collide(words: DataFrame, frequent: DataFrame) -> bool:
-    """Whether a frequent word shares its hash with another word."""
+    """Whether a frequent word shares its hash with another word, or any word with a break."""
+    if not words.where("h = 0").isEmpty():
+        return True
     shared = words.sparkSession.sparkContext.broadcast(bitmap_of(frequent, "h"))
 
     def may(batches):
@@ -317,21 +331,22 @@ def counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", *, l
         if not _collide(words, frequent):
             break
     word_bits = spark.sparkContext.broadcast(bitmap_of(frequent, "h"))
-    pairs = texts.mapInArrow(_count_pairs(seed, word_bits), "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    pairs = texts.mapInArrow(_count_pairs(seed, word_bits), "w0 long, w1 long, n long").groupBy("w0", "w1").agg(F.sum("n").alias("n"))
     pairs = settle(pairs.where(F.col("n") >= least), "pairs")
-    pair_bits = spark.sparkContext.broadcast(bitmap_of(pairs, "key", PAIR_BITS))
+    keyed = pairs.mapInArrow(_keyed_pairs, "key long, n long")
+    pair_bits = spark.sparkContext.broadcast(bitmap_of(keyed, "key", PAIR_BITS))
     total = pairs.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first().n
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(total / SUFFIXES_A_TASK))
     share = max(1, total // (SHARE * tasks))
-    many = pairs.where(F.col("n") > share).toArrow()  # at most SHARE rows a task
+    many = keyed.where(F.col("n") > share).toArrow()  # at most SHARE rows a task
     order = np.argsort(key := np.asarray(many.column("key").combine_chunks()).view(U64))
     hot = spark.sparkContext.broadcast((key[order], np.ceil(np.asarray(many.column("n").combine_chunks()) / share).astype(np.int64)[order]))
-    routed = texts.mapInArrow(_route(seed, word_bits, pair_bits, hot),
-                              "route long, partial boolean, " + ", ".join(f"w{k} long" for k in range(LONGEST)) + ", n long")
+    routed = texts.mapInArrow(_route(seed, word_bits, pair_bits, hot, tasks), "task int, partial boolean, block binary")
     columns = [f"w{k}" for k in range(LONGEST)]
-    found = routed.repartition(tasks, "route").mapInArrow(_sort(least), ", ".join(f"{c} long" for c in [*columns, "f"]))
+    found = routed.repartitionById(tasks, F.col("task")).mapInArrow(_sort(least), ", ".join(f"{c} long" for c in [*columns, "f"]))
     found = found.groupBy(*columns).agg(F.sum("f").alias("f")).where(F.col("f") >= least)
-    return words, frequent, settle(found.select(F.filter(F.array(*columns), lambda x: x != 0).alias("words"), "f"), "phrases")
+    found = found.select(F.filter(F.array(*columns), lambda x: x != 0).alias("words"), "f").union(pairs.select(F.array("w0", "w1"), "n"))
+    return words, frequent, settle(found, "phrases")
 
 
 def cut_score(a, n, left, right):
