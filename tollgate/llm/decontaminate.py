@@ -24,7 +24,6 @@ give no rows.
 from __future__ import annotations
 
 import re
-from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +32,7 @@ from pyspark.sql import functions as F
 
 from tollgate.llm.bitmap import bitmap_of, may_hold, without
 from tollgate.llm.storage import keyed_rows, settle
-from tollgate.llm.wordhash import POSITION, U64, WordHashes, mix
+from tollgate.llm.wordhash import POSITION, U64, hashes, mix
 
 #: Fixed masks of six words each.
 MASKS = ("11101011", "110110011", "1100101011")
@@ -44,18 +43,8 @@ _WORD = re.compile(r"\w+")
 _REGION = 128  # hits farther apart belong to different neighbourhoods; also the words kept on either side of one
 
 
-class _Words(WordHashes):
-    """Hashes of words as strings."""
-
-    def __missing__(self, word: str) -> int:
-        if len(self) >= self.limit:
-            self.clear()
-        self[word] = h = int.from_bytes(blake2b(word.encode(), digest_size=8).digest(), "little")
-        return h
-
-    def of(self, text: str | None) -> np.ndarray:
-        words = _WORD.findall(text.lower()) if text else []
-        return np.fromiter(map(self.__getitem__, words), U64, len(words))
+def _hashes_of(text: str | None) -> np.ndarray:
+    return hashes(_WORD.findall(text.lower()) if text else [])
 
 
 def short_mask(length: int) -> str:
@@ -92,10 +81,9 @@ def best_stretch(equal: np.ndarray) -> tuple[int, int, int]:
 
 def _items():
     def run(batches):
-        hashes = _Words()
         for batch in batches:
             rows = [(i, words) for i, t in zip(batch.column(0).to_pylist(), batch.column(1), strict=True)
-                    if len(words := hashes.of(t.as_py()))]
+                    if len(words := _hashes_of(t.as_py()))]
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1].tobytes() for r in rows], pa.binary())],
                                              names=["item", "words"])
 
@@ -118,11 +106,10 @@ def _regions(masks, shared):
     hit_type = pa.list_(pa.struct([("pos", pa.int64()), ("h", pa.int64())]))
 
     def run(batches):
-        hashes = _Words()
         for batch in batches:
             rows = []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                words = hashes.of(text.as_py())
+                words = _hashes_of(text.as_py())
                 pos, h = seeds(words, masks)
                 keep = may_hold(shared.value, h)
                 if not keep.any():

@@ -48,7 +48,7 @@ from tollgate.llm.bitmap import bitmap_of, may_hold, without
 from tollgate.llm.components import components
 from tollgate.llm.grouping import sorted_groups
 from tollgate.llm.storage import keyed_rows, settle
-from tollgate.llm.wordhash import U64, WordHashes, mix, shingle_set
+from tollgate.llm.wordhash import U64, mix, shingle_set, word_hashes
 
 WIDTH = 5
 THRESHOLD_PCT = 80
@@ -118,11 +118,10 @@ def _mapper(one, schema: pa.Schema, most_rows: int = _ROWS):
     """mapInArrow function: *one*(id, words) yields the columns of some rows; batches are bounded by rows."""
 
     def run(batches):
-        words = WordHashes(100_000)
         for batch in batches:
             parts, rows = [], 0
             for key, text in _texts(batch):
-                got = one(key, words.of(text.as_buffer().to_pybytes() if text.is_valid else None))
+                got = one(key, word_hashes(text.as_buffer().to_pybytes() if text.is_valid else None))
                 if got is None:
                     continue
                 parts.append(got)

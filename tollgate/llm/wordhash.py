@@ -1,9 +1,10 @@
 """Words of whole texts as 64-bit hashes, and hashes of runs of words (numpy, one text at a time)."""
 from __future__ import annotations
 
-from hashlib import blake2b
+from functools import partial
 
 import numpy as np
+from xxhash import xxh3_64_intdigest
 
 U64 = np.uint64
 #: Odd multipliers of the positions of a shingle.
@@ -19,23 +20,14 @@ def mix(h: np.ndarray, seed: int = 0) -> np.ndarray:
         return h ^ (h >> U64(31))
 
 
-class WordHashes(dict):
-    """word (bytes) -> 64-bit hash; forgets everything when *limit* distinct words are held."""
+def hashes(words: list, seed: int = 0) -> np.ndarray:
+    """64-bit hashes of words (bytes, or text as UTF-8)."""
+    return np.fromiter(map(partial(xxh3_64_intdigest, seed=seed) if seed else xxh3_64_intdigest, words), U64, len(words))
 
-    def __init__(self, limit: int = 400_000):
-        super().__init__()
-        self.limit = limit
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.limit:
-            self.clear()
-        self[word] = h = int.from_bytes(blake2b(word, digest_size=8).digest(), "little")
-        return h
-
-    def of(self, text: bytes | None) -> np.ndarray:
-        """Hashes of the words ``[^\\x20\\x09-\\x0D]+`` of *text* (UTF-8), A-Z lower-cased."""
-        words = text.lower().split() if text else []
-        return np.fromiter(map(self.__getitem__, words), U64, len(words))
+def word_hashes(text: bytes | None) -> np.ndarray:
+    """Hashes of the words ``[^\\x20\\x09-\\x0D]+`` of *text* (UTF-8), A-Z lower-cased."""
+    return hashes(text.lower().split() if text else [])
 
 
 def shingle_set(words: np.ndarray, width: int) -> np.ndarray:
