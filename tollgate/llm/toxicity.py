@@ -48,7 +48,8 @@ DRIFT = 0.05
 K = 0.1
 THRESHOLD = 0.7
 _WORD = re.compile(r"\w+")
-_REMEMBERED = 400_000
+_REMEMBERED = 100_000
+_CONTEXTS = 1 << 15  # contexts that a task holds before it hands them on
 
 
 @dataclass(frozen=True)
@@ -128,15 +129,25 @@ class Scorer:
 
 
 def _contexts(batches):
-    """(word, hash of the word with its neighbours, label, fold as a bit), each once a batch."""
+    """(word, hash of the word with its neighbours, label, fold as a bit), each once or more."""
+
+    def out(seen):
+        keys = [int.from_bytes(blake2b("\0".join(k[:3]).encode(), digest_size=8).digest(), "little", signed=True) for k in seen]
+        return pa.RecordBatch.from_arrays([pa.array([k[1] for k in seen], pa.string()), pa.array(keys, pa.int64()), pa.array([k[3] for k in seen], pa.int32()),
+                                           pa.array([1 << k[4] for k in seen], pa.int32())], names=["word", "context", "label", "folds"])
+
+    seen = set()
     for batch in batches:
-        seen = {}
         for text, label, fold in zip(batch.column(0), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
             words = ["", *_WORD.findall((text.as_py() or "").lower()), ""]
-            seen.update(((before, word, after, label, fold), word) for before, word, after in zip(words, words[1:], words[2:], strict=False))
-        keys = [int.from_bytes(blake2b("\0".join(k[:3]).encode(), digest_size=8).digest(), "little", signed=True) for k in seen]
-        yield pa.RecordBatch.from_arrays([pa.array(list(seen.values()), pa.string()), pa.array(keys, pa.int64()), pa.array([k[3] for k in seen], pa.int32()),
-                                          pa.array([1 << k[4] for k in seen], pa.int32())], names=["word", "context", "label", "folds"])
+            for k in range(0, len(words) - 2, _CONTEXTS):
+                part = words[k : k + _CONTEXTS + 2]
+                seen.update((before, word, after, label, fold) for before, word, after in zip(part, part[1:], part[2:], strict=False))
+                if len(seen) >= _CONTEXTS:
+                    yield out(seen)
+                    seen.clear()
+    if seen:
+        yield out(seen)
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, per_class: int) -> DataFrame:
