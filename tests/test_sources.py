@@ -132,3 +132,22 @@ def test_seed_types_keep_text_columns(spark):
     types = CAT.seed_types(df.columns)
     assert types == {"contract_start_date": "string", "phone": "string"}
     assert dict(CAT.typed_load(df, types).dtypes) == {"phone": "string", "contract_start_date": "string", "other": "string"}
+
+
+def test_a_layer_is_written_when_it_is_asked_for(spark):
+    from tollgate.sources.layers import Medallion
+
+    sf = tempfile.mkdtemp(prefix="tollgate-sf-", dir="/tmp")
+    root = tempfile.mkdtemp(prefix="tollgate-ondemand-", dir="/tmp")
+    spark.createDataFrame([(1, "a", 0, 5.0), (2, "b", 0, 6.0), (3, "c", 9, 7.0)], "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double") \
+        .write.parquet(sf + "/supplier.parquet")
+    spark.createDataFrame([(0, "X")], "n_nationkey int, n_name string").write.parquet(sf + "/nation.parquet")
+    m = Medallion(spark, sf).on_demand(root)  # no work orders, parts or events: nothing may ask for them
+    assert m.bronze_suppliers.count() == 3
+    assert {p.name for p in Path(root).iterdir()} == {"bronze_suppliers"}
+    silver, quarantine = m.silver_suppliers.count(), m._suppliers.quarantine.count()
+    assert silver + quarantine == 3 and {p.name for p in Path(root).iterdir()} == {"bronze_suppliers", "suppliers_flagged"}
+    again = Medallion(spark, sf).on_demand(root)
+    assert again.bronze_suppliers.inputFiles() == m.bronze_suppliers.inputFiles()  # a finished table is reused
+    landed = m.from_landed_bronze()
+    assert landed.silver_suppliers.count() == silver and landed.bronze_suppliers is m.bronze_suppliers

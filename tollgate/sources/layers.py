@@ -2,8 +2,9 @@
 
 Built lazily per (session, sf_dir).  Each property is a DataFrame plan; the
 whole chain is one Catalyst plan until a check runs.  For repeated gates over
-the same data, ``materialize()`` writes silver and gold to the shared folder
-and re-reads them (lineage cut, scans prune and push down on Parquet).
+the same data, ``on_demand()`` writes each table to the shared folder when it is
+first asked for and re-reads it (lineage cut, scans prune and push down on
+Parquet).
 """
 from __future__ import annotations
 
@@ -12,13 +13,14 @@ import threading
 from functools import cached_property
 from pathlib import Path
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import transform as T
 from . import fixtures
 from ..session import shared_path
 
+BRONZE = ("bronze_suppliers", "bronze_parts", "bronze_work_orders", "runs")
+
 
 class Medallion:
     def __init__(self, spark: SparkSession, sf_dir: str, as_of: str = T.DEFAULT_AS_OF):
@@ -113,70 +115,114 @@ class Medallion:
             h.update(src.read_bytes())
         return h.hexdigest()[:20]
 
-    def materialize(self, root: str | None = None) -> "Medallion":
-        """Write every layer once as Parquet (shared folder) and serve it from there.
-
-        Bronze is the landed table, silver and gold the promoted ones — as in
-        production, checks then start from files: one scan per table with
-        pushed filters and pruned columns, and a lost executor recomputes from
-        the written layer instead of from the sources.
-        """
+    def on_demand(self, root: str | None = None) -> "WrittenMedallion":
+        """This medallion served from Parquet tables (shared folder), each written when it is first asked for."""
         home = (root or shared_path(self.spark, "tollgate", "layers", self.fingerprint())).rstrip("/")
-        m = Medallion(self.spark, self.sf_dir, self.as_of)
-        marker = f"{home}/_complete"
-        try:  # a completed set with the same fingerprint is reused (other sessions, other processes)
-            base = self.spark.read.parquet(marker).first()["folder"]
-            done = True
-        except AnalysisException:
-            # each writer gets its own folder, so concurrent sessions never write into the same one
-            base = f"{home}/{self.spark.sparkContext.applicationId}"
-            done = False
-
-        def put(name: str, build) -> DataFrame:
-            """Write ``build()`` once; a reused set skips building the plan at all."""
-            path = f"{base}/{name}"
-            if not done:
-                # REBALANCE: AQE sizes the output files, so later scans split evenly
-                build().hint("rebalance").write.mode("overwrite").parquet(path)
-            return self.spark.read.parquet(path)
-
-        for name in ("bronze_suppliers", "bronze_parts", "bronze_work_orders", "runs"):
-            m.__dict__[name] = put(name, lambda name=name: getattr(self, name))
-        # each layer is computed from the already-written parents, once
-        m.__dict__["_suppliers"] = T.Promotion.split(
-            put("suppliers_flagged", lambda: T.promote_suppliers(m.bronze_suppliers, self.as_of).flagged))
-        m.__dict__["_parts"] = T.Promotion.split(
-            put("parts_flagged", lambda: T.promote_parts(m.bronze_parts, m.silver_suppliers, self.as_of).flagged))
-        m.__dict__["_work_orders"] = T.Promotion.split(
-            put("work_orders_flagged", lambda: T.promote_work_orders(m.bronze_work_orders, m.silver_parts, self.as_of).flagged))
-        m.__dict__["gold_clean"] = put(
-            "gold_clean", lambda: T.build_gold(m.silver_work_orders, m.silver_parts, m.silver_suppliers, self.as_of))
-        m.__dict__["gold"] = put("gold_production_metrics", lambda: fixtures.gold_with_drift(self.spark, m.gold_clean))
-        if not done:  # published only once every table is written
-            self.spark.createDataFrame([(self.sf_dir, base)], "sf_dir string, folder string").coalesce(1) \
-                .write.mode("overwrite").parquet(marker)
+        return WrittenMedallion(self, home)
+
+    def materialize(self, root: str | None = None) -> "WrittenMedallion":
+        """``on_demand`` with every table written at once."""
+        m = self.on_demand(root)
+        for name in (*BRONZE, "_suppliers", "_parts", "_work_orders", "gold_clean", "gold"):
+            getattr(m, name)
         return m
 
 
-    def from_landed_bronze(self) -> "Medallion":
+class WrittenMedallion(Medallion):
+    """Every table as Parquet, written on first use from the tables that it is made of, which are written before it.
+
+    Bronze is the landed table, silver and gold the promoted ones — as in production, checks then start from files:
+    one scan per table with pushed filters and pruned columns, and a lost executor recomputes from the written layer
+    instead of from the sources.  A check of suppliers does not wait for work orders or gold.  A table's marker names
+    its finished folder, so other sessions and processes reuse it; each writing session has a folder of its own, so
+    concurrent sessions never write into the same one.  Files are as large as the last step's tasks; no shuffle is
+    made for their sizes."""
+
+    def __init__(self, source: Medallion, home: str):
+        super().__init__(source.spark, source.sf_dir, source.as_of)
+        self._source, self._home, self._writing = source, home, threading.RLock()
+
+    def _put(self, name: str, build) -> DataFrame:
+        """The table of ``build()``, written once; a finished one is read without building the plan at all."""
+        marker = f"{self._home}/{name}/_complete"
+        with self._writing:  # concurrent callers wait for one writer
+            at = self.spark._jvm.org.apache.hadoop.fs.Path(marker)
+            if at.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(at.suffix("/_SUCCESS")):
+                folder = self.spark.read.parquet(marker).first()["folder"]
+            else:
+                folder = f"{self._home}/{name}/{self.spark.sparkContext.applicationId}"
+                build().write.mode("overwrite").parquet(folder)
+                self.spark.createDataFrame([(self.sf_dir, folder)], "sf_dir string, folder string").coalesce(1) \
+                    .write.mode("overwrite").parquet(marker)
+            return self.spark.read.parquet(folder)
+
+    @cached_property
+    def bronze_suppliers(self) -> DataFrame:
+        return self._put("bronze_suppliers", lambda: self._source.bronze_suppliers)
+
+    @cached_property
+    def bronze_parts(self) -> DataFrame:
+        return self._put("bronze_parts", lambda: self._source.bronze_parts)
+
+    @cached_property
+    def bronze_work_orders(self) -> DataFrame:
+        return self._put("bronze_work_orders", lambda: self._source.bronze_work_orders)
+
+    @cached_property
+    def runs(self) -> DataFrame:
+        return self._put("runs", lambda: self._source.runs)
+
+    @cached_property
+    def _suppliers(self) -> T.Promotion:
+        return T.Promotion.split(self._put(
+            "suppliers_flagged", lambda: T.promote_suppliers(self.bronze_suppliers, self.as_of).flagged))
+
+    @cached_property
+    def _parts(self) -> T.Promotion:
+        return T.Promotion.split(self._put(
+            "parts_flagged", lambda: T.promote_parts(self.bronze_parts, self.silver_suppliers, self.as_of).flagged))
+
+    @cached_property
+    def _work_orders(self) -> T.Promotion:
+        return T.Promotion.split(self._put(
+            "work_orders_flagged", lambda: T.promote_work_orders(self.bronze_work_orders, self.silver_parts, self.as_of).flagged))
+
+    @cached_property
+    def gold_clean(self) -> DataFrame:
+        return self._put("gold_clean", lambda: T.build_gold(
+            self.silver_work_orders, self.silver_parts, self.silver_suppliers, self.as_of))
+
+    @cached_property
+    def gold(self) -> DataFrame:
+        return self._put("gold_production_metrics", lambda: fixtures.gold_with_drift(self.spark, self.gold_clean))
+
+    def from_landed_bronze(self) -> Medallion:
         """Silver and gold recomputed lazily from this medallion's bronze tables
         (as a promotion job reads the landed bronze in production)."""
-        m = Medallion(self.spark, self.sf_dir, self.as_of)
-        for name in ("bronze_suppliers", "bronze_parts", "bronze_work_orders", "runs"):
-            m.__dict__[name] = getattr(self, name)
-        return m
+        return _Recomputed(self)
+
+
+class _Recomputed(Medallion):
+    def __init__(self, landed: WrittenMedallion):
+        super().__init__(landed.spark, landed.sf_dir, landed.as_of)
+        self._landed = landed
+
+    bronze_suppliers = property(lambda self: self._landed.bronze_suppliers)
+    bronze_parts = property(lambda self: self._landed.bronze_parts)
+    bronze_work_orders = property(lambda self: self._landed.bronze_work_orders)
+    runs = property(lambda self: self._landed.runs)
 
 
-_MATERIALIZED: dict[tuple[str, str, str], Medallion] = {}
+_MATERIALIZED: dict[tuple[str, str, str], WrittenMedallion] = {}
 _LOCK = threading.Lock()
 
 
-def materialized(spark: SparkSession, sf_dir: str) -> Medallion:
-    """The written medallion for ``sf_dir`` (built on first use, then reused by
+def materialized(spark: SparkSession, sf_dir: str) -> WrittenMedallion:
+    """The written medallion for ``sf_dir`` (each table built on first use, then reused by
     fingerprint, taken at every call — a changed input file or derivation code
     gives a new folder)."""
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), Medallion(spark, sf_dir).fingerprint())
-    with _LOCK:  # concurrent callers wait for one writer instead of racing on the same folder
+    with _LOCK:  # concurrent callers share one medallion, whose tables have one writer
         if key not in _MATERIALIZED:
-            _MATERIALIZED[key] = Medallion(spark, sf_dir).materialize()
+            _MATERIALIZED[key] = Medallion(spark, sf_dir).on_demand()
         return _MATERIALIZED[key]
