@@ -71,3 +71,16 @@ def test_keep_matching_null_semantics(spark):
     for semi, anti in ((SK.keep_matching(df, "v", keys, "v"), SK.keep_matching(df, "v", keys, "v", keep=False)),):
         both = [{r["k"] for r in semi.collect()}, {r["k"] for r in anti.collect()}]
         assert both == [{1, 4}, {2, 3}] == [{r["k"] for r in _shuffled(spark, lambda d=d: d)} for d in (semi, anti)]  # null never matches; left-anti keeps it
+
+
+def test_rows_without_the_keys_are_split_off(spark):
+    rows = spark.range(20000).select(F.col("id").alias("n"), F.when(F.col("id") % 10 > 0, F.concat(F.lit("K"), F.col("id").cast("string"))).alias("k"))
+    keys = rows.where("n % 100 = 7").select("k").union(spark.createDataFrame([(None,), ("other",)], "k string"))
+    may, none = SK.split_by(rows, "k", keys, "k")
+    assert may.columns == none.columns == rows.columns
+    a, b = {r.n for r in may.collect()}, {r.n for r in none.collect()}
+    assert a | b == set(range(20000)) and not a & b
+    assert {n for n in range(20000) if n % 100 == 7} <= a and len(a) < 400  # nulls and nearly all others are off
+    zero = spark.createDataFrame([(-0.0,), (1.0,)], "x double")  # equal doubles may hash apart: none is split off
+    may, none = SK.split_by(zero, "x", spark.createDataFrame([(0.0,)], "x double"), "x")
+    assert may.count() == 2 and none.count() == 0

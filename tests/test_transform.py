@@ -106,3 +106,38 @@ def test_promotion_reads_its_input_once(spark, tmp_path):
         assert path not in "".join(p.flagged.inputFiles())
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_only_rows_of_repeated_keys_are_joined(spark, monkeypatch):
+    seen = []
+    split = T.split_by
+    monkeypatch.setattr(T, "split_by", lambda *a: seen.append(split(*a)) or seen[-1])
+    rows = [(f"K{i % 900}", float(i)) for i in range(1000)] + [(None, 1.0)]
+    p = T.promote(spark.createDataFrame(rows, "k string, x double"), T.PromoteSpec(key="k"))
+    assert p.promoted.count() == 901 and {r.k for r in p.quarantine.collect()} == {f"K{i}" for i in range(100)}
+    assert all(r.x >= 900 for r in p.quarantine.collect())
+    assert 200 <= seen[0][0].count() < 250 and seen[0][0].count() + seen[0][1].count() == 1001
+
+
+def test_gold_totals_are_worked_out_before_the_join(spark):
+    orders = spark.createDataFrame(
+        [("W1", "P1", "2024-01-05", "CLOSED", 5, 4, 10.0, 1, "2024-02-01", "2024-02-02"), ("W1", "P1", "2024-01-06", "PARTIAL", 5, 4, 10.0, 1, "2024-02-03", "2024-02-02"),
+         ("W2", "P1", "2024-01-07", None, 7, 7, 7.0, 7, None, None), (None, "P1", "2024-01-07", "CLOSED", 1, 0, None, 0, None, "2024-02-02"),
+         ("W3", None, "2024-01-07", "CLOSED", 1, 1, 1.0, 1, None, None), ("W4", "P2", "bad", "OPEN", 1, 1, 1.0, 1, None, None)],
+        "work_order_id string, part_id string, order_date string, status string, quantity_ordered bigint, quantity_received bigint, total_cost double, "
+        "defect_count bigint, actual_delivery string, expected_delivery string")
+    parts = spark.createDataFrame([("P1", "S1", 10), ("P2", "S1", 20)], "part_id string, supplier_id string, lead_time_days bigint")
+    suppliers = spark.createDataFrame([("S1", "one", 4.5)], "supplier_id string, supplier_name string, quality_rating double")
+    gold = T.build_gold(orders, parts, suppliers)
+    got = {r.metric_month: r for r in gold.collect()}
+    jan = got["2024-01"]
+    assert (jan.total_orders, jan.total_parts_ordered, jan.total_parts_received, jan.total_spend, jan.defect_count) == (1, 11, 8, 20.0, 2)
+    assert (jan.on_time_delivery_count, jan.on_time_delivery_pct, jan.avg_lead_time_days) == (1, 33.33, 10.0)
+    assert (got[None].total_orders, got[None].total_spend, got[None].avg_lead_time_days) == (0, 0.0, 0.0)
+
+    def joins(node):
+        found = [node] if node.nodeName() == "Join" else []
+        return found + [x for i in range(node.children().size()) for x in joins(node.children().apply(i))]
+
+    sides = "".join(j.children().apply(0).output().toString() for j in joins(gold._jdf.queryExecution().optimizedPlan()))
+    assert "part_id" in sides and not any(c in sides for c in ("order_date", "status", "expected_delivery"))

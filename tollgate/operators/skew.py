@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 NULL_SPREAD = 4096  # null keys are dealt over this many join keys
+FILTER_WORDS = 1 << 20  # 64-bit words of the filter of `split_by`, whatever the table
+_PLAIN = ("string", "boolean", "date", "timestamp", "timestamp_ntz", "tinyint", "smallint", "int", "bigint")  # equal values, equal hashes
 
 
 def _keys(parent: DataFrame, pk: str) -> DataFrame:
@@ -50,6 +52,26 @@ def mark_membership(child: DataFrame, fk: str, parent: DataFrame, pk: str, flag:
     return c.join(keys, (c[fk] == keys["__pk"]) & (c["__spread"] == keys["__zero"]), "left").select(*[c[x] for x in child.columns], flag)
 
 
+def split_by(df: DataFrame, col: str, keys: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """(rows of *df* that may hold one of ``keys[key]``, rows that hold none), by a filter of the keys' hashes of fixed
+    size, which is broadcast.  The second stay where they are, so only the first need a shuffle; a full filter calls
+    every row possible and changes no result.  Rows with a null in *col* hold none.  Keys of types whose equal values
+    may hash apart (floats, nested types, collated text) are not filtered.  *keys* is read, so it is best written."""
+    if dict(df.dtypes)[col] not in _PLAIN or dict(keys.dtypes)[key] != dict(df.dtypes)[col]:
+        return df, df.where(F.lit(False))
+
+    def spot(c):
+        return F.pmod(F.xxhash64(c), F.lit(FILTER_WORDS * 64))
+
+    bit = F.expr("shiftleft(1L, CAST(__spot & 63 AS INT))")
+    words = (keys.where(F.col(key).isNotNull()).select(spot(key).alias("__spot"))
+             .groupBy(F.expr("shiftright(__spot, 6)").alias("__word")).agg(F.bit_or(bit).alias("__bits")))
+    joined = df.withColumn("__spot", F.when(F.col(col).isNotNull(), spot(col)))
+    joined = joined.join(F.broadcast(words), F.expr("shiftright(__spot, 6)") == words["__word"], "left")
+    may = F.coalesce((F.col("__bits").bitwiseAND(bit)) != 0, F.lit(False))
+    return joined.where(may).select(*df.columns), joined.where(~may).select(*df.columns)
+
+
 def keep_matching(df: DataFrame, col: str, keys: DataFrame, key: str, keep: bool = True) -> DataFrame:
     """Semi join (``keep``) or anti join (not ``keep``; null keys stay) of ``df`` with ``keys[key]``."""
     return (matching if keep else missing)(df, col, keys, key)

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ..functions.text import iso_date, is_null_or_blank, strip_ws, to_number
 from ..sources.fixtures import PAYMENT_TERMS, SUPPLIER_STATUSES, WORK_ORDER_STATUSES
 from ._common import written
-from .skew import mark_membership
+from .skew import mark_membership, split_by
 
 DEFAULT_AS_OF = "2025-01-01"
 
@@ -110,17 +110,20 @@ def _one_row_a_key(staged: DataFrame, key: str, columns: list[str]) -> DataFrame
     """Of the accepted rows of a key, the first in column order (nulls first) stays; the others become ``duplicate_key``.
 
     Only keys that repeat are looked at: their counts are combined before the shuffle, and so is the least row of each
-    (one row a task, however often a key occurs); nothing is sorted by row.  Equal rows are told apart by ``__row``,
-    which is fixed because *staged* is a written table.  Both small tables are written, so the joins are plain."""
+    (one row a task, however often a key occurs); nothing is sorted by row.  Rejected rows and rows whose key surely
+    does not repeat are not shuffled (``split_by``).  Equal rows are told apart by ``__row``, which is fixed because *staged* is a written
+    table.  Both small tables are written, so the joins are plain."""
     kept = F.col("reject_reason").isNull()
     repeated = written(staged.where(kept).groupBy(key).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").select(key), "repeated-keys")
     if repeated.isEmpty():
         return staged
-    least = staged.where(kept).join(repeated, key, "left_semi").groupBy(key).agg(F.min(F.struct(*columns, "__row")).alias("__least"))
+    may, single = split_by(staged.withColumn("__kept_key", F.when(kept, F.col(key))), "__kept_key", repeated, key)
+    least = may.where(kept).join(repeated, key, "left_semi").groupBy(key).agg(F.min(F.struct(*columns, "__row")).alias("__least"))
     first = written(least.select(F.col(key).alias("__key"), F.col("__least.__row").alias("__first")), "first-rows")
-    out = staged.join(first, staged[key] == first["__key"], "left")
+    out = may.join(first, may[key] == first["__key"], "left")
     later = kept & (F.col("__first") != F.col("__row"))  # null, so no, where the key does not repeat
-    return out.select(*columns, F.when(later, F.lit("duplicate_key")).otherwise(F.col("reject_reason")).alias("reject_reason"))
+    out = out.select(*columns, F.when(later, F.lit("duplicate_key")).otherwise(F.col("reject_reason")).alias("reject_reason"))
+    return out.union(single.select(*columns, "reject_reason"))
 
 
 # ---------------------------------------------------------------------------
@@ -238,30 +241,34 @@ def build_gold(work_orders: DataFrame, parts: DataFrame, suppliers: DataFrame, a
     ``quality_score`` has no formula in the reference; it is taken from the
     supplier's promoted ``quality_rating`` (an input, not a derived KPI).
     """
-    closed = F.col("status").isin(*CLOSED_STATES)
+    closed = F.coalesce(F.col("status").isin(*CLOSED_STATES), F.lit(False))
 
-    def when_closed(c, other=0):
-        return F.when(closed, c).otherwise(F.lit(other))
+    def when_closed(c):
+        return F.when(closed, c).otherwise(F.lit(0))
 
+    # what the totals need of a row is worked out before the join, so no dates or states are shuffled
     wo = work_orders.select(
-        "work_order_id", "part_id", "order_date", "status", "quantity_ordered", "quantity_received", "total_cost",
-        "defect_count", "actual_delivery", "expected_delivery",
+        "part_id", month_of("order_date").alias("metric_month"), closed.alias("closed"),
+        F.when(closed, F.col("work_order_id")).alias("closed_id"),
+        when_closed(F.col("quantity_ordered")).alias("ordered"),
+        when_closed(F.col("quantity_received")).alias("received"),
+        when_closed(F.col("total_cost").cast("decimal(18,2)")).alias("spend"),
+        when_closed(F.col("defect_count")).alias("defects"),
+        when_closed((F.col("actual_delivery") <= F.col("expected_delivery")).cast("int")).alias("on_time"),
     )
     p = parts.select("part_id", "supplier_id", "lead_time_days")
     agg = (
         wo.join(p, "part_id", "inner")
-        .groupBy(month_of("order_date").alias("metric_month"), F.col("supplier_id"))
+        .groupBy("metric_month", "supplier_id")
         .agg(
-            F.countDistinct(F.when(closed, F.col("work_order_id"))).alias("total_orders"),
-            F.sum(when_closed(F.col("quantity_ordered"))).cast("bigint").alias("total_parts_ordered"),
-            F.sum(when_closed(F.col("quantity_received"))).cast("bigint").alias("total_parts_received"),
-            F.sum(when_closed(F.col("total_cost").cast("decimal(18,2)"))).cast("double").alias("total_spend"),
-            F.sum(when_closed(F.col("defect_count"))).cast("bigint").alias("defect_count"),
-            F.sum(when_closed(F.lit(1))).cast("bigint").alias("closed_lines"),
-            F.sum(when_closed((F.col("actual_delivery") <= F.col("expected_delivery")).cast("int"))).cast("bigint").alias(
-                "on_time_delivery_count"
-            ),
-            F.sum(when_closed(F.col("lead_time_days"))).cast("bigint").alias("lead_sum"),
+            F.countDistinct("closed_id").alias("total_orders"),
+            F.sum("ordered").cast("bigint").alias("total_parts_ordered"),
+            F.sum("received").cast("bigint").alias("total_parts_received"),
+            F.sum("spend").cast("double").alias("total_spend"),
+            F.sum("defects").cast("bigint").alias("defect_count"),
+            F.sum(F.col("closed").cast("int")).cast("bigint").alias("closed_lines"),
+            F.sum("on_time").cast("bigint").alias("on_time_delivery_count"),
+            F.sum(F.when(F.col("closed"), F.col("lead_time_days")).otherwise(F.lit(0))).cast("bigint").alias("lead_sum"),
         )
     )
     s = suppliers.select("supplier_id", F.col("supplier_name"), F.col("quality_rating").alias("quality_score"))
