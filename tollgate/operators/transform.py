@@ -111,8 +111,8 @@ def _one_row_a_key(staged: DataFrame, key: str, columns: list[str]) -> DataFrame
 
     Only keys that repeat are looked at: their counts are combined before the shuffle, and so is the least row of each
     (one row a task, however often a key occurs); nothing is sorted by row.  Rejected rows and rows whose key surely
-    does not repeat are not shuffled (``split_by``).  Equal rows are told apart by ``__row``, which is fixed because *staged* is a written
-    table.  Both small tables are written, so the joins are plain."""
+    does not repeat are not shuffled (``split_by``).  Equal rows are told apart by ``__row``, which is fixed because
+    *staged* is a written table.  Both small tables are written, so the joins are plain."""
     kept = F.col("reject_reason").isNull()
     repeated = written(staged.where(kept).groupBy(key).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").select(key), "repeated-keys")
     if repeated.isEmpty():
