@@ -7,6 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tollgate.llm.rows import keep_rows
 from tollgate.llm.storage import settle
 from tollgate.llm.wordhash import U64, mix
 
@@ -49,16 +50,16 @@ def without(rows: DataFrame, id_col: str, gone: DataFrame) -> DataFrame:
     clears stay where they are; only the others go through an anti join, so long texts are not shuffled."""
     gone = settle(gone.toDF("_gone").where("_gone IS NOT NULL").distinct(), "gone")
     shared = rows.sparkSession.sparkContext.broadcast(bitmap_of(gone, "_gone"))
-    at = rows.columns.index(id_col)
 
     def part(wanted: bool):
-        def run(batches):
-            for batch in batches:
-                ids = batch.column(at).cast(pa.int64())
-                may = may_hold(shared.value, np.asarray(ids.fill_null(0))) & np.asarray(ids.is_valid())
-                yield batch.filter(pa.array(may == wanted))
+        def judge():
+            def keep(ids):
+                ids = ids.cast(pa.int64())
+                return (may_hold(shared.value, np.asarray(ids.fill_null(0))) & np.asarray(ids.is_valid())) == wanted
 
-        return rows.mapInArrow(run, rows.schema)
+            return keep
+
+        return keep_rows(rows, id_col, judge)
 
     doubtful = part(True)
     return part(False).union(doubtful.join(gone, doubtful[id_col] == gone["_gone"], "left_anti"))

@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tollgate.llm.bitmap import bitmap_of, may_hold, without
+from tollgate.llm.rows import released
 from tollgate.llm.storage import keyed_rows, settle
 from tollgate.llm.wordhash import POSITION, U64, hashes, mix
 
@@ -161,7 +162,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     size = F.octet_length("words") / 8  # at most one row a length under the shortest mask
     short = [r.n for r in unique.select(size.cast("int").alias("n")).where(F.col("n") < min(map(len, masks))).distinct().orderBy("n").collect()]
     texts = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("body"))
-    regions = settle(texts.mapInArrow(_regions((*masks, *map(short_mask, short)), shared), "doc long, begin long, words binary, hits array<struct<pos:long,h:long>>")
+    regions = settle(texts.mapInArrow(released(_regions((*masks, *map(short_mask, short)), shared)), "doc long, begin long, words binary, hits array<struct<pos:long,h:long>>")
                      .withColumn("region", F.monotonically_increasing_id()), "regions")
     hits = regions.select("region", F.explode("hits").alias("hit")).select("region", "hit.pos", "hit.h")
     lines = hits.join(item_seeds, "h").groupBy("region", "item", (F.col("pos") - F.col("at")).alias("diagonal")).agg(F.count("*").alias("n"))

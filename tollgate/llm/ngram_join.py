@@ -47,6 +47,7 @@ from pyspark.sql import functions as F
 from tollgate.llm.bitmap import bitmap_of, may_hold, without
 from tollgate.llm.components import components
 from tollgate.llm.grouping import sorted_groups
+from tollgate.llm.rows import released
 from tollgate.llm.storage import keyed_rows, settle
 from tollgate.llm.wordhash import U64, mix, shingle_set, word_hashes
 
@@ -250,7 +251,7 @@ class _Join:
             s = shingle_set(words, width)
             return [doc], [len(s)], [set_fingerprint(s)], [narrow_sketch(s)], [block_keys(s, hot.value, pct).view(_S64)]
 
-        return self.texts.mapInArrow(_mapper(one, _SETS, 1 << 12), "doc long, n int, fp long, sketch binary, keys array<long>")
+        return self.texts.mapInArrow(released(_mapper(one, _SETS, 1 << 12)), "doc long, n int, fp long, sketch binary, keys array<long>")
 
     def hot_shingles(self) -> tuple[np.ndarray, np.ndarray]:
         """Shingles frequent in a fixed share of the texts, with counts; at most HOT_SHINGLES reach the driver."""
@@ -260,7 +261,7 @@ class _Join:
             return (shingle_set(words, width).view(_S64),)
 
         sample = self.texts.where(F.expr(f"pmod(xxhash64(doc), {HOT_SAMPLE})") == 0)
-        counts = sample.mapInArrow(_mapper(one, pa.schema([("h", pa.int64())])), "h long").groupBy("h").count()
+        counts = sample.mapInArrow(released(_mapper(one, pa.schema([("h", pa.int64())]))), "h long").groupBy("h").count()
         top = counts.where(F.col("count") >= HOT_COUNT).orderBy(F.desc("count"), "h").limit(HOT_SHINGLES)
         rows = [(r.h, r[1]) for r in top.collect()]
         h, n = np.array([r[0] for r in rows], _S64).view(U64), np.array([r[1] for r in rows], np.int64)
@@ -291,7 +292,7 @@ class _Join:
         def needed(batches):  # one Python worker a task: filter and sets in one function
             yield from sets(batch.filter(pa.array(may_hold(shared.value, np.asarray(batch.column(0))))) for batch in batches)
 
-        return self.texts.mapInArrow(needed, "doc long, fp long, shingles binary").dropDuplicates(["doc", "fp"])
+        return self.texts.mapInArrow(released(needed), "doc long, fp long, shingles binary").dropDuplicates(["doc", "fp"])
 
     def near(self, star: DataFrame, classes: DataFrame) -> DataFrame:
         """Pairs of classes ((pn, pfp), (n, fp)) whose sketches are near enough, as documents and fingerprints."""
@@ -310,7 +311,7 @@ class _Join:
             return near.select("a", "b")
         full = settle(self.full_sets(near), "sets")
         both = (near.join(full.toDF("a", "afp", "x"), ["a", "afp"]).join(full.toDF("b", "bfp", "y"), ["b", "bfp"]))
-        return settle(both.select("a", "b", "x", "y").mapInArrow(_exact_filter(self.pct), "a long, b long"), "links")
+        return settle(both.select("a", "b", "x", "y").mapInArrow(released(_exact_filter(self.pct)), "a long, b long"), "links")
 
     def apart(self, groups: DataFrame, label: DataFrame, classes: DataFrame) -> DataFrame:
         """Near pairs of members of one group that are in different components so far.  A group is cut into tiles of

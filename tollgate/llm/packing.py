@@ -31,6 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tollgate.llm.rows import released
 from tollgate.llm.vocabulary import WordIds
 
 CAPACITY = 2048
@@ -169,7 +170,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, voc
     unsigned 32-bit), doc_tokens, sequence_id and the offset in that sequence.  Ids of a sequence, by offset, are
     gapless from 0 and at most *capacity*; *end_id* ends each document."""
     texts = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("body"))
-    out = texts.mapInArrow(_pack(vocabulary, capacity, end_id),
+    out = texts.mapInArrow(released(_pack(vocabulary, capacity, end_id)),
                            "doc long, start long, ids binary, doc_tokens long, sequence_id long, offset long")
     return out.select(F.col("doc").alias(id_col), "start", (F.length("ids") / 4).cast("long").alias("length"), "ids", "doc_tokens",
                       "sequence_id", "offset")

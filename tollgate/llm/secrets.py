@@ -36,6 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tollgate.llm.rows import keep_rows
 from tollgate.llm.toxicity import segments
 from tollgate.llm.vocabulary import vocabulary_path
 
@@ -173,11 +174,9 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def keep_clean(docs: DataFrame, text_col: str = "text", *, vocabulary: str = "byte_bpe_50k.tiktoken", max_ratio: float = MAX_RATIO) -> DataFrame:
     """The rows of *docs* without a span of any kind (all columns, in one pass over the table)."""
-    at = docs.columns.index(text_col)
 
-    def run(batches):
+    def judge():
         finder = Finder(vocabulary, max_ratio)
-        for batch in batches:
-            yield batch.filter(pa.array([not finder.spans(t.as_py()) for t in batch.column(at)], pa.bool_()))
+        return lambda texts: [not finder.spans(t.as_py()) for t in texts]
 
-    return docs.mapInArrow(run, docs.schema)
+    return keep_rows(docs, text_col, judge)

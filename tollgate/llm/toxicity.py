@@ -37,6 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tollgate.llm.rows import keep_rows, released
 from tollgate.llm.storage import settle
 
 TRAIN_PER_CLASS = 4_000
@@ -173,7 +174,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str
                 yield pa.RecordBatch.from_arrays([text, pa.array(marks[at][hit])], names=["body", "label"])
 
     rows = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("body"))
-    return rows.mapInArrow(pick, "body string, label int")
+    return rows.mapInArrow(released(pick), "body string, label int")
 
 
 def solve_lambda(probability: np.ndarray, score: np.ndarray) -> float:
@@ -238,7 +239,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         per_class: int = TRAIN_PER_CLASS) -> Model:
     rows = training_rows(docs, labels, id_col, text_col, label_col, per_class).withColumn("fold", F.expr(f"cast(pmod(xxhash64(body), {FOLDS}) as int)"))
     rows = settle(rows, "toxic-training")
-    words = (rows.mapInArrow(_contexts, "word string, context long, label int, folds int")
+    words = (rows.mapInArrow(released(_contexts), "word string, context long, label int, folds int")
              .groupBy("word", "context", "label").agg(F.bit_or("folds").alias("folds")))
     of = lambda label, folds: F.count_if((F.col("label") == label) & (F.col("folds").bitwiseAND(folds) != 0))
     others = [(1 << FOLDS) - 1 - (1 << k) for k in range(FOLDS)]
@@ -260,7 +261,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
                  for t, fold in zip(batch.column(0), batch.column(2).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.float64()), batch.column(1)], names=["x", "label"])
 
-    bins = rows.mapInArrow(evidence, "x double, label int").groupBy("x", "label").count().orderBy("x", "label").collect()
+    bins = rows.mapInArrow(released(evidence), "x double, label int").groupBy("x", "label").count().orderBy("x", "label").collect()
     x, label, weight = (np.array([r[i] for r in bins], float) for i in range(3))
     return Model(whole.weights, whole.lam, *fit_logistic(x, label, weight))
 
@@ -289,12 +290,9 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 def keep_clean(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """The rows of *docs* that score under *threshold* (all columns, in one pass over the table)."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    at = docs.columns.index(text_col)
 
-    def run(batches):
+    def judge():
         scorer = Scorer(shared.value)
-        for batch in batches:
-            keep = [scorer.score(sum(p[3] for p in scorer.passages(t.as_py()))) < threshold for t in batch.column(at)]
-            yield batch.filter(pa.array(keep, pa.bool_()))
+        return lambda texts: [scorer.score(sum(p[3] for p in scorer.passages(t.as_py()))) < threshold for t in texts]
 
-    return docs.mapInArrow(run, docs.schema)
+    return keep_rows(docs, text_col, judge)
